@@ -73,7 +73,14 @@ def replace_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -
     replacement = side_name(table, NEXT)
     create_table(df, replacement, partition_by)
     spark.sql(f"DROP TABLE IF EXISTS {table}")
+    _take_name(spark, replacement, table)
+
+
+def _take_name(spark: SparkSession, replacement: str, table: str) -> None:
     spark.sql(f"ALTER TABLE {replacement} RENAME TO {table}")
+    if partition_columns(spark, table):
+        # Not every catalog moves partition locations along with the table.
+        spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
 
 
 def finish_replacement(spark: SparkSession, table: str) -> None:
@@ -85,7 +92,7 @@ def finish_replacement(spark: SparkSession, table: str) -> None:
     waiting = spark.sql(f"SHOW TABLES{place} LIKE '{name}{NEXT}*'").where("NOT isTemporary").first()
     if waiting is not None:
         source = f"{namespace}.{waiting.tableName}" if namespace else waiting.tableName
-        spark.sql(f"ALTER TABLE {source} RENAME TO {table}")
+        _take_name(spark, source, table)
 
 
 def add_missing_columns(df: DataFrame, table: str) -> list[str]:

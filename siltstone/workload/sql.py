@@ -7,7 +7,7 @@ FEEDS = {
         SELECT CASE WHEN o_orderstatus = 'P' THEN '' ELSE CAST(o_custkey AS VARCHAR) END AS user_id,
                l_orderkey AS session_id,
                l_linenumber AS item_in_session,
-               epoch_ms(l_shipdate) + l_linenumber * 60000 AS ts,
+               epoch_us(l_shipdate) // 1000 + l_linenumber * 60000 AS ts,
                CASE WHEN l_returnflag = 'N' THEN 'Home' ELSE 'NextSong' END AS page,
                CASE WHEN o_orderstatus = 'P' THEN 'Logged Out' ELSE 'Logged In' END AS auth,
                CASE WHEN l_discount >= 0.05 THEN 'paid' ELSE 'free' END AS level,
@@ -22,7 +22,7 @@ FEEDS = {
         JOIN part ON p_partkey = l_partkey""",
     "user_logs": """
         SELECT CASE WHEN event_type = 'signup' THEN '' ELSE CAST(user_id AS VARCHAR) END AS user_id,
-               epoch_ms(ts) AS ts,
+               epoch_us(ts) // 1000 AS ts,
                CASE event_type WHEN 'purchase' THEN 'Submit Upgrade'
                                WHEN 'error' THEN 'Submit Downgrade'
                                ELSE 'NextSong' END AS page,
