@@ -1,0 +1,245 @@
+from __future__ import annotations
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from siltstone.sources import (
+    add_missing_columns,
+    clustered,
+    create_table,
+    finish_replacement,
+    merge_rows,
+    partition_columns,
+    rename_columns,
+    replace_partitions,
+    replace_table,
+    staged_view,
+    upsert,
+)
+
+
+def frame(spark, data, schema):
+    return spark.createDataFrame(data, schema)
+
+
+def tables(spark, namespace):
+    return {row.tableName for row in spark.sql(f"SHOW TABLES IN {namespace}").collect()}
+
+
+def test_partition_overwrite_is_idempotent_and_leaves_the_rest(spark, namespace):
+    table = f"{namespace}.t"
+    schema = "id int, v string, day string"
+    create_table(frame(spark, [(1, "a", "d1"), (2, "b", "d2"), (3, "c", "d2")], schema), table, ["day"])
+    again = frame(spark, [("d2", 9, "z")], "day string, id int, v string")
+    for _ in range(2):
+        replace_partitions(again, table)
+    assert rows(spark.table(table)) == [(1, "a", "d1"), (9, "z", "d2")]
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == "STATIC"
+
+
+def test_missing_columns_are_written_as_null(spark, namespace):
+    table = f"{namespace}.t"
+    create_table(frame(spark, [(1, "a", "d1")], "id int, v string, day string"), table, ["day"])
+    replace_partitions(frame(spark, [(2, "d2")], "id int, day string"), table)
+    assert rows(spark.table(table)) == [(1, "a", "d1"), (2, None, "d2")]
+
+
+def test_added_columns_are_sorted_and_precede_partitions(spark, namespace):
+    table = f"{namespace}.t"
+    create_table(frame(spark, [(1, "d1")], "id int, day string"), table, ["day"])
+    wider = frame(spark, [(2, 1.5, "x", "d2")], "id int, `z z` double, b string, day string")
+    assert add_missing_columns(wider, table) == ["b", "z z"]
+    assert spark.table(table).columns == ["id", "b", "z z", "day"]
+    replace_partitions(wider, table)
+    assert rows(spark.table(table)) == [(1, None, None, "d1"), (2, "x", 1.5, "d2")]
+    assert add_missing_columns(wider, table) == []
+
+
+def test_rename_keeps_rows_and_partitions(spark, namespace):
+    table = f"{namespace}.t"
+    create_table(frame(spark, [(1, "a", "d1"), (2, "b", "d2")], "userId int, v string, dayOf string"), table, ["dayOf"])
+    names = {"userId": "user_id", "dayOf": "day_of", "absent": "other"}
+    assert rename_columns(spark, table, names) == {"userId": "user_id", "dayOf": "day_of"}
+    assert partition_columns(spark, table) == ["day_of"]
+    assert rows(spark.table(table)) == [(1, "a", "d1"), (2, "b", "d2")]
+    assert rows(spark.table(table).where("day_of = 'd2'")) == [(2, "b", "d2")]
+    assert rename_columns(spark, table, names) == {}
+
+
+def test_rename_does_not_take_an_existing_name(spark, namespace):
+    table = f"{namespace}.t"
+    create_table(frame(spark, [(1, 2)], "userId int, user_id int"), table)
+    assert rename_columns(spark, table, {"userId": "user_id"}) == {}
+
+
+def test_replacement_may_read_the_table_it_replaces(spark, namespace):
+    table = f"{namespace}.t"
+    create_table(frame(spark, [(1, 2)], "a int, b int"), table)
+    replace_table(spark.table(table).select((F.col("a") + F.col("b")).alias("c")), table)
+    assert rows(spark.table(table)) == [(3,)]
+    assert tables(spark, namespace) == {"t"}
+
+
+def test_an_interrupted_replacement_is_finished(spark, namespace):
+    create_table(frame(spark, [(1, "d1")], "a int, day string"), f"{namespace}.t__next_0a1b2c3d", ["day"])
+    finish_replacement(spark, f"{namespace}.t")
+    assert rows(spark.table(f"{namespace}.t")) == [(1, "d1")]
+    finish_replacement(spark, f"{namespace}.unknown")
+    assert tables(spark, namespace) == {"t"}
+
+
+TARGET = [(1, "a", "keep1"), (2, "b", "keep2"), (None, "n", "keepn")]
+
+
+def test_merge_sets_all_staged_columns_and_keeps_the_others(spark):
+    target = frame(spark, TARGET, "k int, v string, own string")
+    staged = frame(spark, [(2, None), (3, "c"), (None, "m")], "k int, v string")
+    assert rows(merge_rows(target, staged, ["k"])) == [
+        (None, "m", None),
+        (None, "n", "keepn"),
+        (1, "a", "keep1"),
+        (2, None, "keep2"),
+        (3, "c", None),
+    ]
+
+
+def test_upsert_adds_columns_and_inserts_null_keys_each_time(spark, namespace):
+    table = f"{namespace}.t"
+    create_table(frame(spark, TARGET, "k int, v string, own string"), table)
+    staged = frame(spark, [(2, "B", 1.5), (None, "m", 2.5)], "k int, v string, extra double")
+    for _ in range(2):
+        upsert(staged, table, ["k"])
+    assert rows(spark.table(table)) == [
+        (None, "m", None, 2.5),
+        (None, "m", None, 2.5),
+        (None, "n", "keepn", None),
+        (1, "a", "keep1", None),
+        (2, "B", "keep2", 1.5),
+    ]
+    assert tables(spark, namespace) == {"t"}
+
+
+def test_composite_keys_match_as_a_whole(spark, namespace):
+    table = f"{namespace}.t"
+    create_table(frame(spark, [(1, 1, "a"), (1, 2, "b"), (1, None, "c")], "a int, b int, v string"), table)
+    upsert(frame(spark, [(1, 2, "B"), (1, None, "C"), (2, 1, "D")], "a int, b int, v string"), table, ["a", "b"])
+    assert rows(spark.table(table)) == [
+        (1, None, "C"),
+        (1, None, "c"),
+        (1, 1, "a"),
+        (1, 2, "B"),
+        (2, 1, "D"),
+    ]
+
+
+def partitioned(spark, namespace):
+    table = f"{namespace}.t"
+    data = [(1, "a", "o1", "d1"), (2, "b", "o2", "d1"), (3, "c", "o3", "d2"), (4, "d", "o4", "d3")]
+    create_table(frame(spark, data, "k int, v string, own string, day string"), table, ["day"])
+    return table
+
+
+def partition_names(spark, table):
+    return {row.partition for row in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+
+
+def test_a_row_can_move_to_another_partition(spark, namespace):
+    table = partitioned(spark, namespace)
+    staged = frame(spark, [(1, "A", "d2"), (3, "C", "d4"), (5, "E", "d4")], "k int, v string, day string")
+    for _ in range(2):
+        upsert(staged, table, ["k"])
+        assert rows(spark.table(table)) == [
+            (1, "A", "o1", "d2"),
+            (2, "b", "o2", "d1"),
+            (3, "C", "o3", "d4"),
+            (4, "d", "o4", "d3"),
+            (5, "E", None, "d4"),
+        ]
+    assert partition_names(spark, table) == {"day=d1", "day=d2", "day=d3", "day=d4"}
+
+
+def test_an_emptied_partition_is_dropped(spark, namespace):
+    table = partitioned(spark, namespace)
+    upsert(frame(spark, [(3, "C", "d1")], "k int, v string, day string"), table, ["k"])
+    assert rows(spark.table(table).where("k = 3")) == [(3, "C", "o3", "d1")]
+    assert partition_names(spark, table) == {"day=d1", "day=d3"}
+
+
+def test_an_upsert_that_stopped_before_the_drop_is_repaired_by_rerun(spark, namespace):
+    table = partitioned(spark, namespace)
+    staged = frame(spark, [(3, "C", "d1")], "k int, v string, day string")
+    moved = spark.table(table).where("day = 'd1'").unionByName(staged.withColumn("own", F.lit("o3")))
+    replace_partitions(moved, table)
+    assert spark.table(table).where("k = 3").count() == 2
+    upsert(staged, table, ["k"])
+    assert rows(spark.table(table).where("k = 3")) == [(3, "C", "o3", "d1")]
+
+
+def test_untouched_partitions_are_not_rewritten(spark, namespace):
+    table = partitioned(spark, namespace)
+
+    def files(day):
+        return sorted(r[0] for r in spark.table(table).where(f"day = '{day}'").select("_metadata.file_path").distinct().collect())
+
+    before = files("d3")
+    upsert(frame(spark, [(1, "A", "d1")], "k int, v string, day string"), table, ["k"])
+    assert files("d3") == before
+
+
+def test_two_partition_columns_with_null_and_quote(spark, namespace):
+    table = f"{namespace}.t"
+    schema = "k int, v string, p string, q date"
+    data = frame(spark, [(1, "a", "it's", None), (2, "b", None, None), (3, "c", "x", None)], schema)
+    create_table(data.withColumn("q", F.lit("2024-01-01").cast("date")), table, ["p", "q"])
+    moved = frame(spark, [(1, "A", "x", None), (2, "B", "x", None)], schema)
+    upsert(moved.withColumn("q", F.lit("2024-01-02").cast("date")), table, ["k"])
+    assert rows(spark.table(table).select("k", "v", "p", F.col("q").cast("string"))) == [
+        (1, "A", "x", "2024-01-02"),
+        (2, "B", "x", "2024-01-02"),
+        (3, "c", "x", "2024-01-01"),
+    ]
+
+
+def test_an_empty_batch_changes_nothing(spark, namespace):
+    table = partitioned(spark, namespace)
+    before = rows(spark.table(table))
+    upsert(frame(spark, [], "k int, v string, day string"), table, ["k"])
+    assert rows(spark.table(table)) == before
+
+
+def test_a_large_partition_is_split_between_writers(spark, namespace):
+    """One value may hold most rows; a rebalance spreads it over tasks."""
+    df = spark.range(0, 60_000, 1, 6).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("v"),
+        F.when(F.col("id") % 10 == 0, F.col("id") % 7).otherwise(99).alias("day"),
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256KB")
+    try:
+        create_table(clustered(df, ["day"]), f"{namespace}.t", ["day"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    written = spark.table(f"{namespace}.t")
+    assert written.count() == 60_000
+    assert written.where("day = 99").select("_metadata.file_path").distinct().count() > 2
+
+
+def test_staged_views_are_unique_and_removed(spark):
+    df = spark.range(3)
+    with staged_view(df, "x") as first, staged_view(df, "x") as second:
+        assert first != second
+        result = spark.sql(f"SELECT count(*) AS n FROM {first}")
+    assert result.first().n == 3
+    assert not spark.catalog.tableExists(first)
+
+
+def test_files_are_snappy_parquet(spark, namespace):
+    create_table(spark.range(3).toDF("id"), f"{namespace}.t")
+    path = spark.table(f"{namespace}.t").inputFiles()[0]
+    assert path.endswith(".snappy.parquet")
+
+
+@pytest.mark.parametrize("columns", [[], ["day"]])
+def test_clustering_keeps_every_row(spark, columns):
+    df = spark.createDataFrame([(1, "a"), (2, None), (3, "a")], "id int, day string")
+    assert rows(clustered(df, columns)) == rows(df)
