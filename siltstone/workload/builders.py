@@ -2,20 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.plans import gold, silver
-from siltstone.workload import feeds
+from siltstone.workload.feeds import Feeds
 from siltstone.workload.registry import query
 from siltstone.workload.sql import level_tables, with_tables
 
-query("users", with_tables("SELECT * FROM users", "users"))(feeds.users)
-query("artists", with_tables("SELECT * FROM artists", "artists"))(feeds.artists)
-query("songs", with_tables("SELECT * FROM songs", "songs"))(feeds.songs)
-query("song_versions", with_tables("SELECT * FROM song_versions", "song_versions"))(feeds.song_versions)
-query("user_levels", with_tables("SELECT * FROM user_levels", "user_levels"))(feeds.user_levels)
-query("resolve_events", with_tables("SELECT * FROM play_events", "play_events"))(feeds.events)
+
+def _whole_table(name: str, sql_table: str, attribute: str) -> None:
+    def build(feeds: Feeds) -> DataFrame:
+        return getattr(feeds, attribute)
+
+    query(name, with_tables(f"SELECT * FROM {sql_table}", sql_table))(build)
+
+
+for _name in ("users", "artists", "songs", "song_versions", "user_levels"):
+    _whole_table(_name, _name, _name)
+_whole_table("resolve_events", "play_events", "events")
 
 _ONE_DAY = "2024-01-15"
 
@@ -24,9 +29,9 @@ _ONE_DAY = "2024-01-15"
     "user_levels_interval",
     with_tables("SELECT * FROM day_user_levels", "user_logs", **level_tables(_ONE_DAY, "day_")),
 )
-def user_levels_interval(spark: SparkSession, folder: str) -> DataFrame:
+def user_levels_interval(feeds: Feeds) -> DataFrame:
     """Changes of one day, first levels of all days up to it."""
-    return silver.user_levels(feeds.user_logs(spark, folder), _ONE_DAY)
+    return silver.user_levels(feeds.user_logs, _ONE_DAY)
 
 
 @query(
@@ -58,12 +63,12 @@ def user_levels_interval(spark: SparkSession, folder: str) -> DataFrame:
         "user_levels",
     ),
 )
-def user_facts(spark: SparkSession, folder: str) -> DataFrame:
+def user_facts(feeds: Feeds) -> DataFrame:
     facts = gold.user_facts(
-        feeds.users(spark, folder),
-        feeds.events(spark, folder),
-        feeds.song_versions(spark, folder),
-        feeds.user_levels(spark, folder),
+        feeds.users,
+        feeds.events,
+        feeds.song_versions,
+        feeds.user_levels,
     )
     return facts.withColumn("total_listening_seconds", F.round("total_listening_seconds", 2))
 
@@ -91,8 +96,8 @@ def user_facts(spark: SparkSession, folder: str) -> DataFrame:
         "play_events",
     ),
 )
-def session_facts(spark: SparkSession, folder: str) -> DataFrame:
-    facts = gold.session_facts(feeds.events(spark, folder), feeds.song_versions(spark, folder))
+def session_facts(feeds: Feeds) -> DataFrame:
+    facts = gold.session_facts(feeds.events, feeds.song_versions)
     return facts.withColumn("total_listening_seconds", F.round("total_listening_seconds", 2))
 
 
@@ -114,8 +119,8 @@ def session_facts(spark: SparkSession, folder: str) -> DataFrame:
         "play_events",
     ),
 )
-def song_facts(spark: SparkSession, folder: str) -> DataFrame:
-    return gold.song_facts(feeds.songs(spark, folder), feeds.events(spark, folder))
+def song_facts(feeds: Feeds) -> DataFrame:
+    return gold.song_facts(feeds.songs, feeds.events)
 
 
 @query(
@@ -136,5 +141,5 @@ def song_facts(spark: SparkSession, folder: str) -> DataFrame:
         "play_events",
     ),
 )
-def artist_facts(spark: SparkSession, folder: str) -> DataFrame:
-    return gold.artist_facts(feeds.artists(spark, folder), feeds.events(spark, folder))
+def artist_facts(feeds: Feeds) -> DataFrame:
+    return gold.artist_facts(feeds.artists, feeds.events)

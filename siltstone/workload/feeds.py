@@ -2,173 +2,155 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.plans import silver
-from siltstone.plans.values import DOWNGRADE_PAGE, FREE, PAID, PLAY_PAGE, SIGNED_IN, UPGRADE_PAGE
 from siltstone.sources import stamp_interval
+from siltstone.workload.scratch import new_namespace
 
 # One batch label for feeds that are loaded whole.
 BATCH = "2024-01-31"
-REGISTRATION_START_MS = 1_672_531_200_000
-DAY_MS = 86_400_000
-
-
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
-
-
-def millis(stamp: Column | str) -> Column:
-    return F.unix_millis((F.col(stamp) if isinstance(stamp, str) else stamp).cast("timestamp"))
-
-
-def play_length() -> Column:
-    """Price plus a step per line: lines 2 to 6 lie within 0.01 of the price, 1 and 7 do not."""
-    return F.col("p_retailprice") + (F.col("l_linenumber") - 4) * F.lit(0.004)
-
-
-def play_time() -> Column:
-    return millis("l_shipdate") + F.col("l_linenumber") * F.lit(60_000)
 
-
-def play_level() -> Column:
-    return F.when(F.col("l_discount") >= 0.05, PAID).otherwise(FREE)
-
-
-def play_page() -> Column:
-    return F.when(F.col("l_returnflag") == "N", "Home").otherwise(PLAY_PAGE)
-
-
-def play_logs(spark: SparkSession, folder: str) -> DataFrame:
-    """Listening log: one row per order line, monthly intervals; pending orders are guests."""
-    guest = F.col("o_orderstatus") == "P"
-    return (
-        table(spark, folder, "lineitem")
-        .join(table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
-        .select(
-            F.when(guest, "").otherwise(F.col("o_custkey").cast("string")).alias("user_id"),
-            F.col("l_orderkey").alias("session_id"),
-            F.col("l_linenumber").alias("item_in_session"),
-            play_time().alias("ts"),
-            play_page().alias("page"),
-            F.when(guest, "Logged Out").otherwise(SIGNED_IN).alias("auth"),
-            play_level().alias("level"),
-            F.col("p_name").alias("song"),
-            F.col("p_brand").alias("artist"),
-            play_length().alias("length"),
-            F.concat(F.lit("Supplier "), F.col("l_suppkey").cast("string")).alias("location"),
-            F.col("l_linestatus").alias("user_agent"),
-            F.date_format("l_shipdate", "yyyy-MM").alias("data_interval"),
-        )
-    )
-
-
-def user_logs(spark: SparkSession, folder: str) -> DataFrame:
-    """User log: one row per event, daily intervals; sign-ups have no id yet."""
-    kind = F.col("event_type")
-    return table(spark, folder, "events").select(
-        F.when(kind == "signup", "").otherwise(F.col("user_id").cast("string")).alias("user_id"),
-        millis("ts").alias("ts"),
-        F.when(kind == "purchase", UPGRADE_PAGE)
-        .when(kind == "error", DOWNGRADE_PAGE)
-        .otherwise(PLAY_PAGE)
-        .alias("page"),
-        F.when(kind == "view", "Logged Out").otherwise(SIGNED_IN).alias("auth"),
-        F.when(F.col("value") > 10, PAID).otherwise(FREE).alias("level"),
-        F.concat(F.lit("F"), F.col("event_id").cast("string")).alias("first_name"),
-        F.concat(F.lit("L"), F.col("user_id").cast("string")).alias("last_name"),
-        F.when(F.col("value") > 5, "F").otherwise("M").alias("gender"),
-        F.col("props").alias("location"),
-        (F.col("user_id") * DAY_MS + REGISTRATION_START_MS + 1).alias("registration"),
-        F.date_format("ts", "yyyy-MM-dd").alias("data_interval"),
-    )
-
-
-def catalogue(spark: SparkSession, folder: str) -> DataFrame:
-    """Song feed: four rows per part.
-
-    ``studio`` and ``reissue`` are one version of a song with different metadata, ``extended`` is a
-    longer version of it, and ``live`` is another song by another artist, which no play names.
-    """
-    edition = F.col("edition")
-    live = edition == "live"
-    year = (
-        F.when(F.col("p_size") > 40, F.lit(0)).when(F.col("p_size") > 3, F.col("p_size") + 1950)
-    ).cast("long")
-    artist = F.when(live, F.concat("p_brand", F.lit(" Live"))).otherwise(F.col("p_brand"))
-    place = F.when(F.col("p_type") == "SMALL", "").otherwise(F.col("p_type"))
-    point = F.when(F.col("p_size") <= 30, F.col("p_size").cast("double"))
-    return (
-        table(spark, folder, "part")
-        .withColumn(
-            "edition",
-            F.explode(F.array(*(F.lit(e) for e in ("studio", "reissue", "extended", "live")))),
+PLAY_LENGTH = "p_retailprice + (l_linenumber - 4) * 0.004D"
+
+PLAY_LOG_COLUMNS = (
+    "if(o_orderstatus = 'P', '', string(o_custkey)) AS user_id",
+    "l_orderkey AS session_id",
+    "l_linenumber AS item_in_session",
+    "unix_millis(timestamp(l_shipdate)) + l_linenumber * 60000 AS ts",
+    "if(l_returnflag = 'N', 'Home', 'NextSong') AS page",
+    "if(o_orderstatus = 'P', 'Logged Out', 'Logged In') AS auth",
+    "if(l_discount >= 0.05D, 'paid', 'free') AS level",
+    "p_name AS song",
+    "p_brand AS artist",
+    f"{PLAY_LENGTH} AS length",
+    "concat('Supplier ', l_suppkey) AS location",
+    "l_linestatus AS user_agent",
+    "date_format(l_shipdate, 'yyyy-MM') AS data_interval",
+)
+
+USER_LOG_COLUMNS = (
+    "if(event_type = 'signup', '', string(user_id)) AS user_id",
+    "unix_millis(timestamp(ts)) AS ts",
+    """CASE event_type WHEN 'purchase' THEN 'Submit Upgrade' WHEN 'error' THEN 'Submit Downgrade'
+       ELSE 'NextSong' END AS page""",
+    "if(event_type = 'view', 'Logged Out', 'Logged In') AS auth",
+    "if(value > 10, 'paid', 'free') AS level",
+    "concat('F', event_id) AS first_name",
+    "concat('L', user_id) AS last_name",
+    "if(value > 5, 'F', 'M') AS gender",
+    "props AS location",
+    "user_id * 86400000 + 1672531200001 AS registration",
+    "date_format(ts, 'yyyy-MM-dd') AS data_interval",
+)
+
+EDITION_COLUMNS = (
+    "*",
+    "explode(array('studio', 'reissue', 'extended', 'live')) AS edition",
+    "bigint(CASE WHEN p_size > 40 THEN 0 WHEN p_size > 3 THEN p_size + 1950 END) AS made",
+    "CASE WHEN p_size <= 30 THEN double(p_size) END AS point",
+)
+
+CATALOGUE_COLUMNS = (
+    "concat(if(edition = 'live', 'L', 'S'), p_partkey) AS song_id",
+    "p_name AS title",
+    "if(edition = 'live', concat(p_brand, ' Live'), p_brand) AS artist_id",
+    """CASE edition WHEN 'live' THEN concat(p_brand, ' Live') WHEN 'reissue' THEN upper(p_brand)
+       ELSE p_brand END AS artist_name""",
+    """CASE edition WHEN 'extended' THEN round(p_retailprice + 50.0D, 1)
+       WHEN 'live' THEN round(p_retailprice + 80.0D, 1) ELSE p_retailprice END AS duration""",
+    """CASE edition WHEN 'extended' THEN NULL WHEN 'reissue' THEN made + 10 ELSE made END AS year""",
+    "CASE WHEN edition <> 'reissue' THEN if(p_type = 'SMALL', '', p_type) END AS artist_location",
+    "CASE WHEN edition <> 'extended' THEN point END AS artist_latitude",
+    "CASE WHEN edition = 'studio' THEN -point END AS artist_longitude",
+    f"'{BATCH}' AS data_interval",
+)
+
+
+def millis(stamp: str) -> Column:
+    return F.unix_millis(F.col(stamp).cast("timestamp"))
+
+
+class Feeds:
+    """The feeds over one table folder; what several steps of a query read is built once."""
+
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        self.spark = spark
+        self.folder = folder
+        self._tables: dict[str, DataFrame] = {}
+
+    def table(self, name: str) -> DataFrame:
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
+
+    def scratch(self) -> tuple[str, str]:
+        return new_namespace(self.spark)
+
+    @cached_property
+    def play_logs(self) -> DataFrame:
+        """Listening log: one row per order line, monthly intervals; pending orders are guests."""
+        return (
+            self.table("lineitem")
+            .join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+            .join(self.table("part"), F.col("l_partkey") == F.col("p_partkey"))
+            .selectExpr(*PLAY_LOG_COLUMNS)
         )
-        .select(
-            F.concat(F.when(live, "L").otherwise("S"), F.col("p_partkey").cast("string")).alias(
-                "song_id"
-            ),
-            F.col("p_name").alias("title"),
-            artist.alias("artist_id"),
-            F.when(edition == "reissue", F.upper(artist)).otherwise(artist).alias("artist_name"),
-            F.when(edition == "extended", F.round(F.col("p_retailprice") + 50.0, 1))
-            .when(live, F.round(F.col("p_retailprice") + 80.0, 1))
-            .otherwise(F.col("p_retailprice"))
-            .alias("duration"),
-            F.when(edition == "extended", F.lit(None).cast("long"))
-            .when(edition == "reissue", year + 10)
-            .otherwise(year)
-            .alias("year"),
-            F.when(edition != "reissue", place).alias("artist_location"),
-            F.when(edition != "extended", point).alias("artist_latitude"),
-            F.when(edition == "studio", -point).alias("artist_longitude"),
-            F.lit(BATCH).alias("data_interval"),
-        )
-    )
-
 
-def play_batch(spark: SparkSession, folder: str) -> DataFrame:
-    """The whole listening log as one batch."""
-    return stamp_interval(play_logs(spark, folder), BATCH)
-
-
-def user_batch(spark: SparkSession, folder: str) -> DataFrame:
-    """The whole user log as one batch."""
-    return stamp_interval(user_logs(spark, folder), BATCH)
-
-
-def users(spark: SparkSession, folder: str) -> DataFrame:
-    return silver.users(user_batch(spark, folder), BATCH)
-
-
-def user_levels(spark: SparkSession, folder: str) -> DataFrame:
-    return silver.user_levels(user_batch(spark, folder), BATCH)
-
-
-def artists(spark: SparkSession, folder: str) -> DataFrame:
-    return silver.artists(catalogue(spark, folder), BATCH)
-
-
-def songs(spark: SparkSession, folder: str) -> DataFrame:
-    return silver.songs(catalogue(spark, folder), BATCH)
-
-
-def song_versions(spark: SparkSession, folder: str) -> DataFrame:
-    return silver.song_versions(catalogue(spark, folder), BATCH)
-
-
-def plays(spark: SparkSession, folder: str) -> DataFrame:
-    return silver.plays(play_batch(spark, folder), BATCH)
-
-
-def events(spark: SparkSession, folder: str) -> DataFrame:
-    return silver.resolve_events(
-        play_batch(spark, folder),
-        users(spark, folder),
-        songs(spark, folder),
-        artists(spark, folder),
-        song_versions(spark, folder),
-        BATCH,
-    )
+    @cached_property
+    def user_logs(self) -> DataFrame:
+        """User log: one row per event, daily intervals; sign-ups have no id yet."""
+        return self.table("events").selectExpr(*USER_LOG_COLUMNS)
+
+    @cached_property
+    def catalogue(self) -> DataFrame:
+        """Song feed: four rows per part.
+
+        ``studio`` and ``reissue`` are one version of a song with different metadata, ``extended``
+        is a longer version of it, and ``live`` is another song by another artist, which no play
+        names.
+        """
+        return self.table("part").selectExpr(*EDITION_COLUMNS).selectExpr(*CATALOGUE_COLUMNS)
+
+    @cached_property
+    def play_batch(self) -> DataFrame:
+        """The whole listening log as one batch."""
+        return stamp_interval(self.play_logs, BATCH)
+
+    @cached_property
+    def user_batch(self) -> DataFrame:
+        """The whole user log as one batch."""
+        return stamp_interval(self.user_logs, BATCH)
+
+    @cached_property
+    def users(self) -> DataFrame:
+        return silver.users(self.user_batch, BATCH)
+
+    @cached_property
+    def user_levels(self) -> DataFrame:
+        return silver.user_levels(self.user_batch, BATCH)
+
+    @cached_property
+    def artists(self) -> DataFrame:
+        return silver.artists(self.catalogue, BATCH)
+
+    @cached_property
+    def songs(self) -> DataFrame:
+        return silver.songs(self.catalogue, BATCH)
+
+    @cached_property
+    def song_versions(self) -> DataFrame:
+        return silver.song_versions(self.catalogue, BATCH)
+
+    @cached_property
+    def plays(self) -> DataFrame:
+        return silver.plays(self.play_batch, BATCH)
+
+    @cached_property
+    def events(self) -> DataFrame:
+        return silver.resolve_events(
+            self.play_batch, self.users, self.songs, self.artists, self.song_versions, BATCH
+        )

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltstone.session import SESSION_SETTINGS
+from siltstone.workload.feeds import Feeds
 
+Build = Callable[[Feeds], DataFrame]
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -24,16 +26,16 @@ def comparable(df: DataFrame) -> DataFrame:
     )
 
 
-def query(name: str, sql: str) -> Callable[[Query], Query]:
+def query(name: str, sql: str) -> Callable[[Build], Build]:
     """Registers a query under its inventory key, with its oracle."""
     if name in QUERIES:
         raise ValueError(f"duplicate query: {name}")
 
-    def register(build: Query) -> Query:
+    def register(build: Build) -> Build:
         def run(spark: SparkSession, folder: str) -> DataFrame:
             for key, value in SESSION_SETTINGS.items():
                 spark.conf.set(key, value)
-            return comparable(build(spark, folder))
+            return comparable(build(Feeds(spark, folder)))
 
         run.__name__ = build.__name__
         run.__doc__ = build.__doc__

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.functions import (
@@ -23,7 +23,7 @@ from siltstone.operators import (
 )
 from siltstone.plans import silver
 from siltstone.plans.values import DOWNGRADE_PAGE, DURATION_TOLERANCE, UPGRADE_PAGE
-from siltstone.workload import feeds
+from siltstone.workload.feeds import PLAY_LENGTH, Feeds
 from siltstone.workload.registry import query
 from siltstone.workload.sql import with_tables
 
@@ -32,8 +32,8 @@ from siltstone.workload.sql import with_tables
     "project_rename",
     "SELECT c_custkey AS user_id, c_name AS full_name, c_mktsegment AS segment FROM customer",
 )
-def project_rename(spark: SparkSession, folder: str) -> DataFrame:
-    return feeds.table(spark, folder, "customer").select(
+def project_rename(feeds: Feeds) -> DataFrame:
+    return feeds.table("customer").select(
         F.col("c_custkey").alias("user_id"),
         F.col("c_name").alias("full_name"),
         F.col("c_mktsegment").alias("segment"),
@@ -50,14 +50,14 @@ def project_rename(spark: SparkSession, folder: str) -> DataFrame:
         "catalogue",
     ),
 )
-def filter_required(spark: SparkSession, folder: str) -> DataFrame:
-    rows = feeds.catalogue(spark, folder).select("song_id", "artist_id", "artist_location")
+def filter_required(feeds: Feeds) -> DataFrame:
+    rows = feeds.catalogue.select("song_id", "artist_id", "artist_location")
     return rows.where(is_required("artist_location"))
 
 
 @query("filter_category", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'")
-def filter_category(spark: SparkSession, folder: str) -> DataFrame:
-    orders = feeds.table(spark, folder, "orders").where(F.col("o_orderstatus") == "F")
+def filter_category(feeds: Feeds) -> DataFrame:
+    orders = feeds.table("orders").where(F.col("o_orderstatus") == "F")
     return orders.select("o_orderkey", "o_totalprice")
 
 
@@ -65,14 +65,14 @@ def filter_category(spark: SparkSession, folder: str) -> DataFrame:
     "filter_in_list",
     "SELECT event_id, user_id, event_type FROM events WHERE event_type IN ('purchase', 'error')",
 )
-def filter_in_list(spark: SparkSession, folder: str) -> DataFrame:
-    events = feeds.table(spark, folder, "events").select("event_id", "user_id", "event_type")
+def filter_in_list(feeds: Feeds) -> DataFrame:
+    events = feeds.table("events").select("event_id", "user_id", "event_type")
     return events.where(F.col("event_type").isin("purchase", "error"))
 
 
 @query("filter_positive", "SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal > 0")
-def filter_positive(spark: SparkSession, folder: str) -> DataFrame:
-    customers = feeds.table(spark, folder, "customer").select("c_custkey", "c_acctbal")
+def filter_positive(feeds: Feeds) -> DataFrame:
+    customers = feeds.table("customer").select("c_custkey", "c_acctbal")
     return customers.where(is_positive("c_acctbal"))
 
 
@@ -80,14 +80,14 @@ def filter_positive(spark: SparkSession, folder: str) -> DataFrame:
     "filter_not_null",
     with_tables("SELECT song_id, duration, year FROM catalogue WHERE year IS NOT NULL", "catalogue"),
 )
-def filter_not_null(spark: SparkSession, folder: str) -> DataFrame:
-    rows = feeds.catalogue(spark, folder).select("song_id", "duration", "year")
+def filter_not_null(feeds: Feeds) -> DataFrame:
+    rows = feeds.catalogue.select("song_id", "duration", "year")
     return rows.where(F.col("year").isNotNull())
 
 
 @query("filter_plays", with_tables("SELECT * FROM plays", "plays"))
-def filter_plays(spark: SparkSession, folder: str) -> DataFrame:
-    return feeds.plays(spark, folder)
+def filter_plays(feeds: Feeds) -> DataFrame:
+    return feeds.plays
 
 
 @query(
@@ -101,9 +101,9 @@ def filter_plays(spark: SparkSession, folder: str) -> DataFrame:
         "users",
     ),
 )
-def semi_known_users(spark: SparkSession, folder: str) -> DataFrame:
-    plays = feeds.plays(spark, folder).select("play_key", "user_id", "session_id", "played_title")
-    return keep_known(plays, feeds.users(spark, folder), ["user_id"])
+def semi_known_users(feeds: Feeds) -> DataFrame:
+    plays = feeds.plays.select("play_key", "user_id", "session_id", "played_title")
+    return keep_known(plays, feeds.users, ["user_id"])
 
 
 @query(
@@ -118,11 +118,11 @@ def semi_known_users(spark: SparkSession, folder: str) -> DataFrame:
         "songs",
     ),
 )
-def join_title(spark: SparkSession, folder: str) -> DataFrame:
+def join_title(feeds: Feeds) -> DataFrame:
     """Songs that a played title may mean. Plays are counted per title first, so the result grows
     with the catalogue and not with plays times songs of one name."""
-    titles = feeds.plays(spark, folder).groupBy("played_title").agg(F.count("*").alias("title_plays"))
-    songs = feeds.songs(spark, folder).select("song_id", "title")
+    titles = feeds.plays.groupBy("played_title").agg(F.count("*").alias("title_plays"))
+    songs = feeds.songs.select("song_id", "title")
     return join_pairs(titles, songs, {"played_title": "title"}).drop("title")
 
 
@@ -138,28 +138,28 @@ def join_title(spark: SparkSession, folder: str) -> DataFrame:
         "artists",
     ),
 )
-def join_composite_key(spark: SparkSession, folder: str) -> DataFrame:
+def join_composite_key(feeds: Feeds) -> DataFrame:
     """Catalogue rows that credit the artist by the chosen name."""
-    credits = feeds.catalogue(spark, folder).select(
+    credits = feeds.catalogue.select(
         "song_id",
         "duration",
         F.col("artist_id").alias("credited_id"),
         F.col("artist_name").alias("credited_name"),
     )
-    artists = feeds.artists(spark, folder).select("artist_id", "artist_name", "latitude")
+    artists = feeds.artists.select("artist_id", "artist_name", "latitude")
     pairs = {"credited_id": "artist_id", "credited_name": "artist_name"}
     return join_pairs(credits, artists, pairs).drop(*pairs)
 
 
-def _line_lengths(spark: SparkSession, folder: str) -> DataFrame:
+def _line_lengths(feeds: Feeds) -> DataFrame:
     """Each order line as a play of its part's song."""
-    lines = feeds.table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-    parts = feeds.table(spark, folder, "part").select("p_partkey", "p_retailprice")
+    lines = feeds.table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    parts = feeds.table("part").select("p_partkey", "p_retailprice")
     return join_pairs(lines, parts, {"l_partkey": "p_partkey"}).select(
         F.col("l_orderkey").alias("session_id"),
         F.col("l_linenumber").alias("item_in_session"),
         F.concat(F.lit("S"), F.col("l_partkey").cast("string")).alias("played_song"),
-        feeds.play_length().alias("length"),
+        F.expr(PLAY_LENGTH).alias("length"),
     )
 
 
@@ -181,10 +181,10 @@ _LINE_LENGTHS = """
         lengths=_LINE_LENGTHS,
     ),
 )
-def tolerance_join_lengths(spark: SparkSession, folder: str) -> DataFrame:
+def tolerance_join_lengths(feeds: Feeds) -> DataFrame:
     return tolerance_join(
-        _line_lengths(spark, folder),
-        feeds.song_versions(spark, folder),
+        _line_lengths(feeds),
+        feeds.song_versions,
         {"played_song": "song_id"},
         "length",
         "duration",
@@ -206,10 +206,10 @@ def tolerance_join_lengths(spark: SparkSession, folder: str) -> DataFrame:
         lengths=_LINE_LENGTHS,
     ),
 )
-def left_join_zero_fill(spark: SparkSession, folder: str) -> DataFrame:
+def left_join_zero_fill(feeds: Feeds) -> DataFrame:
     """Every song; the live ones are never played."""
     measures = (
-        _line_lengths(spark, folder)
+        _line_lengths(feeds)
         .groupBy(F.col("played_song").alias("song_id"))
         .agg(
             F.count("*").alias("plays"),
@@ -217,7 +217,7 @@ def left_join_zero_fill(spark: SparkSession, folder: str) -> DataFrame:
             F.min("session_id").alias("first_session"),
         )
     )
-    songs = feeds.songs(spark, folder).select("song_id", "title")
+    songs = feeds.songs.select("song_id", "title")
     return zero_fill_join(songs, measures, ["song_id"], {"plays": 0, "longest": 0.0})
 
 
@@ -232,15 +232,15 @@ def left_join_zero_fill(spark: SparkSession, folder: str) -> DataFrame:
         lengths=_LINE_LENGTHS,
     ),
 )
-def left_join_lookup(spark: SparkSession, folder: str) -> DataFrame:
+def left_join_lookup(feeds: Feeds) -> DataFrame:
     """The duration behind a version key; plays of an odd length have a key without version."""
-    plays = _line_lengths(spark, folder).select(
+    plays = _line_lengths(feeds).select(
         "session_id",
         "item_in_session",
         "played_song",
         version_key("played_song", "length").alias("version_id"),
     )
-    versions = feeds.song_versions(spark, folder).select("version_id", "duration")
+    versions = feeds.song_versions.select("version_id", "duration")
     return lookup(plays, versions, ["version_id"]).drop("version_id")
 
 
@@ -257,9 +257,9 @@ def left_join_lookup(spark: SparkSession, folder: str) -> DataFrame:
         "user_levels",
     ),
 )
-def left_join_latest(spark: SparkSession, folder: str) -> DataFrame:
-    latest = top_row(feeds.user_levels(spark, folder), ["user_id"], [F.desc("changed_at")])
-    customers = feeds.table(spark, folder, "customer").select(
+def left_join_latest(feeds: Feeds) -> DataFrame:
+    latest = top_row(feeds.user_levels, ["user_id"], [F.desc("changed_at")])
+    customers = feeds.table("customer").select(
         F.col("c_custkey").alias("user_id"), "c_name"
     )
     return lookup(customers, latest.select("user_id", F.col("new_level").alias("current_level")), ["user_id"])
@@ -273,9 +273,9 @@ def left_join_latest(spark: SparkSession, folder: str) -> DataFrame:
     FROM customer
     """,
 )
-def membership_flag(spark: SparkSession, folder: str) -> DataFrame:
-    buyers = feeds.table(spark, folder, "events").where(F.col("event_type") == "purchase")
-    customers = feeds.table(spark, folder, "customer").select(
+def membership_flag(feeds: Feeds) -> DataFrame:
+    buyers = feeds.table("events").where(F.col("event_type") == "purchase")
+    customers = feeds.table("customer").select(
         F.col("c_custkey").alias("user_id"), "c_mktsegment"
     )
     return membership(customers, buyers, ["user_id"], "is_converted")
@@ -293,9 +293,9 @@ def membership_flag(spark: SparkSession, folder: str) -> DataFrame:
         "user_logs",
     ),
 )
-def using_join(spark: SparkSession, folder: str) -> DataFrame:
+def using_join(feeds: Feeds) -> DataFrame:
     keys = ["user_id", "data_interval"]
-    logs = feeds.user_logs(spark, folder).select(*keys, "page")
+    logs = feeds.user_logs.select(*keys, "page")
     seen = logs.groupBy(*keys).agg(F.count("*").alias("seen"))
     upgrades = (
         logs.where(F.col("page") == UPGRADE_PAGE).groupBy(*keys).agg(F.count("*").alias("upgrades"))
@@ -315,14 +315,14 @@ def using_join(spark: SparkSession, folder: str) -> DataFrame:
         "resolved",
     ),
 )
-def star_resolution(spark: SparkSession, folder: str) -> DataFrame:
+def star_resolution(feeds: Feeds) -> DataFrame:
     """Plays of all customers, each with the nearest of its candidate versions."""
-    customers = feeds.table(spark, folder, "customer").select(F.col("c_custkey").alias("user_id"))
+    customers = feeds.table("customer").select(F.col("c_custkey").alias("user_id"))
     candidates = silver.candidate_versions(
-        keep_known(feeds.plays(spark, folder), customers, ["user_id"]),
-        feeds.songs(spark, folder),
-        feeds.artists(spark, folder),
-        feeds.song_versions(spark, folder),
+        keep_known(feeds.plays, customers, ["user_id"]),
+        feeds.songs,
+        feeds.artists,
+        feeds.song_versions,
     ).select(
         "play_key",
         "user_id",
@@ -345,8 +345,8 @@ def star_resolution(spark: SparkSession, folder: str) -> DataFrame:
         "user_logs",
     ),
 )
-def union_of_changes(spark: SparkSession, folder: str) -> DataFrame:
-    logs = feeds.user_logs(spark, folder)
+def union_of_changes(feeds: Feeds) -> DataFrame:
+    logs = feeds.user_logs
     parts = {
         name: logs.where(F.col("page") == page).select("user_id", "ts")
         for name, page in {"up": UPGRADE_PAGE, "down": DOWNGRADE_PAGE}.items()

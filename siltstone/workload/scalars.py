@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.functions import (
@@ -20,7 +20,7 @@ from siltstone.functions import (
     version_key,
 )
 from siltstone.plans.values import LEVEL_AFTER
-from siltstone.workload import feeds
+from siltstone.workload.feeds import Feeds, millis
 from siltstone.workload.registry import query
 from siltstone.workload.sql import with_tables
 
@@ -34,9 +34,9 @@ from siltstone.workload.sql import with_tables
     FROM lineitem
     """,
 )
-def line_keys(spark: SparkSession, folder: str) -> DataFrame:
+def line_keys(feeds: Feeds) -> DataFrame:
     """First lines have no number in their key."""
-    lines = feeds.table(spark, folder, "lineitem").select("l_orderkey", "l_suppkey", "l_linenumber")
+    lines = feeds.table("lineitem").select("l_orderkey", "l_suppkey", "l_linenumber")
     number = F.nullif("l_linenumber", F.lit(1))
     return lines.withColumn("line_id", surrogate_key("l_orderkey", "l_suppkey", number))
 
@@ -53,9 +53,9 @@ def line_keys(spark: SparkSession, folder: str) -> DataFrame:
         "catalogue",
     ),
 )
-def catalogue_keys(spark: SparkSession, folder: str) -> DataFrame:
+def catalogue_keys(feeds: Feeds) -> DataFrame:
     """A key from a DOUBLE and one from a BIGINT that may be NULL."""
-    feed = feeds.catalogue(spark, folder).select("song_id", "duration", "year")
+    feed = feeds.catalogue.select("song_id", "duration", "year")
     return feed.withColumns(
         {"version_id": version_key("song_id", "duration"), "year_id": version_key("song_id", "year")}
     )
@@ -65,14 +65,14 @@ def catalogue_keys(spark: SparkSession, folder: str) -> DataFrame:
     "epoch_to_timestamp",
     "SELECT event_id, make_timestamp(epoch_us(ts) // 1000 // 1000 * 1000000) AS seen_at FROM events",
 )
-def epoch_to_timestamp(spark: SparkSession, folder: str) -> DataFrame:
-    events = feeds.table(spark, folder, "events").select("event_id", feeds.millis("ts").alias("ts"))
+def epoch_to_timestamp(feeds: Feeds) -> DataFrame:
+    events = feeds.table("events").select("event_id", millis("ts").alias("ts"))
     return events.select("event_id", timestamp_from_epoch_ms("ts").alias("seen_at"))
 
 
 @query("epoch_to_date", "SELECT event_id, strftime(ts, '%Y-%m-%d') AS event_date FROM events")
-def epoch_to_date(spark: SparkSession, folder: str) -> DataFrame:
-    events = feeds.table(spark, folder, "events").select("event_id", feeds.millis("ts").alias("ts"))
+def epoch_to_date(feeds: Feeds) -> DataFrame:
+    events = feeds.table("events").select("event_id", millis("ts").alias("ts"))
     return events.select("event_id", date_from_epoch_ms("ts").alias("event_date"))
 
 
@@ -83,10 +83,10 @@ def epoch_to_date(spark: SparkSession, folder: str) -> DataFrame:
     FROM lineitem JOIN orders ON o_orderkey = l_orderkey
     """,
 )
-def duration_seconds(spark: SparkSession, folder: str) -> DataFrame:
+def duration_seconds(feeds: Feeds) -> DataFrame:
     """From order to shipment."""
-    lines = feeds.table(spark, folder, "lineitem").select("l_orderkey", "l_shipdate")
-    orders = feeds.table(spark, folder, "orders").select("o_orderkey", "o_orderdate")
+    lines = feeds.table("lineitem").select("l_orderkey", "l_shipdate")
+    orders = feeds.table("orders").select("o_orderkey", "o_orderdate")
     joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     return joined.select("l_orderkey", seconds_between("o_orderdate", "l_shipdate").alias("seconds"))
 
@@ -104,9 +104,9 @@ def duration_seconds(spark: SparkSession, folder: str) -> DataFrame:
         "user_logs",
     ),
 )
-def typed_casts(spark: SparkSession, folder: str) -> DataFrame:
+def typed_casts(feeds: Feeds) -> DataFrame:
     """Text that is no number (an empty id, a level) becomes NULL."""
-    return feeds.user_logs(spark, folder).select(
+    return feeds.user_logs.select(
         "first_name",
         as_long("user_id").alias("user_id"),
         as_integer("level").alias("level_number"),
@@ -128,8 +128,8 @@ def typed_casts(spark: SparkSession, folder: str) -> DataFrame:
         "user_logs",
     ),
 )
-def map_level(spark: SparkSession, folder: str) -> DataFrame:
-    logs = feeds.user_logs(spark, folder).select("first_name", "page")
+def map_level(feeds: Feeds) -> DataFrame:
+    logs = feeds.user_logs.select("first_name", "page")
     return logs.withColumn("new_level", translate("page", LEVEL_AFTER))
 
 
@@ -137,8 +137,8 @@ def map_level(spark: SparkSession, folder: str) -> DataFrame:
     "sentinel_to_null",
     with_tables("SELECT song_id, duration, nullif(year, 0) AS year FROM catalogue", "catalogue"),
 )
-def unknown_years(spark: SparkSession, folder: str) -> DataFrame:
-    feed = feeds.catalogue(spark, folder).select("song_id", "duration", "year")
+def unknown_years(feeds: Feeds) -> DataFrame:
+    feed = feeds.catalogue.select("song_id", "duration", "year")
     return feed.withColumn("year", sentinel_to_null("year"))
 
 
@@ -153,8 +153,8 @@ def unknown_years(spark: SparkSession, folder: str) -> DataFrame:
         "catalogue",
     ),
 )
-def coalesce_default(spark: SparkSession, folder: str) -> DataFrame:
-    return feeds.catalogue(spark, folder).select(
+def coalesce_default(feeds: Feeds) -> DataFrame:
+    return feeds.catalogue.select(
         "song_id",
         "duration",
         or_default("artist_location", "unknown").alias("location"),
@@ -169,11 +169,11 @@ def coalesce_default(spark: SparkSession, folder: str) -> DataFrame:
     FROM lineitem JOIN orders ON o_orderkey = l_orderkey
     """,
 )
-def abs_difference(spark: SparkSession, folder: str) -> DataFrame:
-    lines = feeds.table(spark, folder, "lineitem").select(
+def abs_difference(feeds: Feeds) -> DataFrame:
+    lines = feeds.table("lineitem").select(
         "l_orderkey", "l_linenumber", "l_extendedprice"
     )
-    orders = feeds.table(spark, folder, "orders").select("o_orderkey", "o_totalprice")
+    orders = feeds.table("orders").select("o_orderkey", "o_totalprice")
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         "l_orderkey", "l_linenumber", distance("l_extendedprice", "o_totalprice").alias("difference")
     )
@@ -186,15 +186,15 @@ def abs_difference(spark: SparkSession, folder: str) -> DataFrame:
     FROM lineitem
     """,
 )
-def float_ratio(spark: SparkSession, folder: str) -> DataFrame:
-    return feeds.table(spark, folder, "lineitem").select(
+def float_ratio(feeds: Feeds) -> DataFrame:
+    return feeds.table("lineitem").select(
         "l_orderkey", "l_linenumber", ratio("l_suppkey", "l_linenumber").alias("suppliers_per_line")
     )
 
 
 @query("literal_tag", "SELECT event_id, 'transition' AS source, TRUE AS is_converted FROM events")
-def literal_tag(spark: SparkSession, folder: str) -> DataFrame:
-    return feeds.table(spark, folder, "events").select(
+def literal_tag(feeds: Feeds) -> DataFrame:
+    return feeds.table("events").select(
         "event_id", F.lit("transition").alias("source"), F.lit(True).alias("is_converted")
     )
 
@@ -203,6 +203,6 @@ def literal_tag(spark: SparkSession, folder: str) -> DataFrame:
     "null_to_boolean",
     with_tables("SELECT song_id, duration, year IS NOT NULL AS is_dated FROM catalogue", "catalogue"),
 )
-def null_to_boolean(spark: SparkSession, folder: str) -> DataFrame:
-    feed = feeds.catalogue(spark, folder)
+def null_to_boolean(feeds: Feeds) -> DataFrame:
+    feed = feeds.catalogue
     return feed.select("song_id", "duration", F.col("year").isNotNull().alias("is_dated"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from siltstone.plans.values import UPGRADE_PAGE
 from siltstone.sources import (
@@ -18,32 +18,31 @@ from siltstone.sources import (
     stamp_interval,
     up_to_interval,
 )
-from siltstone.workload import feeds
+from siltstone.workload.feeds import BATCH, Feeds, millis
 from siltstone.workload.registry import query
-from siltstone.workload.scratch import new_namespace
 from siltstone.workload.sql import with_tables
 
 
 @query("json_scan", "SELECT event_id, epoch_us(ts) // 1000 AS ts_ms, user_id, event_type, value, props FROM events")
-def json_scan(spark: SparkSession, folder: str) -> DataFrame:
-    _, scratch = new_namespace(spark)
-    rows = feeds.table(spark, folder, "events").select(
-        "event_id", feeds.millis("ts").alias("ts_ms"), "user_id", "event_type", "value", "props"
+def json_scan(feeds: Feeds) -> DataFrame:
+    _, scratch = feeds.scratch()
+    rows = feeds.table("events").select(
+        "event_id", millis("ts").alias("ts_ms"), "user_id", "event_type", "value", "props"
     )
     rows.write.json(f"{scratch}/landing")
-    return read_landing(spark, f"{scratch}/landing")
+    return read_landing(feeds.spark, f"{scratch}/landing")
 
 
 @query("empty_input_guard", "SELECT event_id, event_type, value FROM events")
-def empty_input_guard(spark: SparkSession, folder: str) -> DataFrame:
+def empty_input_guard(feeds: Feeds) -> DataFrame:
     """A batch without rows leaves the table as it is."""
-    namespace, _ = new_namespace(spark)
+    namespace, _ = feeds.scratch()
     table = f"{namespace}.guarded"
-    batch = feeds.table(spark, folder, "events").select("event_id", "event_type", "value")
+    batch = feeds.table("events").select("event_id", "event_type", "value")
     for landed in (batch, batch.where("event_type = 'refund'")):
         if has_input(landed):
             replace_table(landed, table)
-    return spark.table(table)
+    return feeds.spark.table(table)
 
 
 @query(
@@ -54,7 +53,7 @@ def empty_input_guard(spark: SparkSession, folder: str) -> DataFrame:
     FROM orders
     """,
 )
-def snake_case_columns(spark: SparkSession, folder: str) -> DataFrame:
+def snake_case_columns(feeds: Feeds) -> DataFrame:
     camel = {
         "o_orderkey": "orderKey",
         "o_custkey": "customerID",
@@ -63,21 +62,21 @@ def snake_case_columns(spark: SparkSession, folder: str) -> DataFrame:
         "o_orderdate": "order_Date",
         "o_orderpriority": "priority",
     }
-    return normalise_columns(feeds.table(spark, folder, "orders").withColumnsRenamed(camel))
+    return normalise_columns(feeds.table("orders").withColumnsRenamed(camel))
 
 
 @query("interval_stamp", "SELECT event_id, user_id, value, '2024-01-31' AS data_interval FROM events")
-def interval_stamp(spark: SparkSession, folder: str) -> DataFrame:
-    rows = feeds.table(spark, folder, "events").select("event_id", "user_id", "value")
-    return stamp_interval(rows, feeds.BATCH)
+def interval_stamp(feeds: Feeds) -> DataFrame:
+    rows = feeds.table("events").select("event_id", "user_id", "value")
+    return stamp_interval(rows, BATCH)
 
 
 @query("catalog_scan", "SELECT l_orderkey, l_partkey, l_quantity FROM lineitem")
-def catalog_scan(spark: SparkSession, folder: str) -> DataFrame:
+def catalog_scan(feeds: Feeds) -> DataFrame:
     """Scans an external table over the given file; three of its columns are read."""
-    namespace, _ = new_namespace(spark)
-    spark.sql(f"CREATE TABLE {namespace}.lines USING parquet LOCATION '{folder}/lineitem.parquet'")
-    return scan(spark, f"{namespace}.lines", "l_orderkey", "l_partkey", "l_quantity")
+    namespace, _ = feeds.scratch()
+    feeds.spark.sql(f"CREATE TABLE {namespace}.lines USING parquet LOCATION '{feeds.folder}/lineitem.parquet'")
+    return scan(feeds.spark, f"{namespace}.lines", "l_orderkey", "l_partkey", "l_quantity")
 
 
 @query(
@@ -87,8 +86,8 @@ def catalog_scan(spark: SparkSession, folder: str) -> DataFrame:
         "user_logs",
     ),
 )
-def interval_scan(spark: SparkSession, folder: str) -> DataFrame:
-    logs = feeds.user_logs(spark, folder).select("user_id", "ts", "page", "data_interval")
+def interval_scan(feeds: Feeds) -> DataFrame:
+    logs = feeds.user_logs.select("user_id", "ts", "page", "data_interval")
     return in_interval(logs, "2024-01-15")
 
 
@@ -99,8 +98,8 @@ def interval_scan(spark: SparkSession, folder: str) -> DataFrame:
         "user_logs",
     ),
 )
-def cumulative_interval_scan(spark: SparkSession, folder: str) -> DataFrame:
-    logs = feeds.user_logs(spark, folder).select("user_id", "ts", "page", "data_interval")
+def cumulative_interval_scan(feeds: Feeds) -> DataFrame:
+    logs = feeds.user_logs.select("user_id", "ts", "page", "data_interval")
     return up_to_interval(logs, "2024-01-15")
 
 
@@ -114,12 +113,12 @@ def cumulative_interval_scan(spark: SparkSession, folder: str) -> DataFrame:
         "user_logs",
     ),
 )
-def parameterised_query(spark: SparkSession, folder: str) -> DataFrame:
+def parameterised_query(feeds: Feeds) -> DataFrame:
     """Values are bound by Spark, not pasted into the text."""
-    return spark.sql(
+    return feeds.spark.sql(
         "SELECT user_id, ts, level FROM {logs} WHERE data_interval = :interval AND page = :page",
         args={"interval": "2024-01-15", "page": UPGRADE_PAGE},
-        logs=feeds.user_logs(spark, folder),
+        logs=feeds.user_logs,
     )
 
 
@@ -130,9 +129,9 @@ def parameterised_query(spark: SparkSession, folder: str) -> DataFrame:
     FROM orders GROUP BY o_orderstatus
     """,
 )
-def staged_view_query(spark: SparkSession, folder: str) -> DataFrame:
-    with staged_view(feeds.table(spark, folder, "orders"), "orders") as view:
-        return spark.sql(
+def staged_view_query(feeds: Feeds) -> DataFrame:
+    with staged_view(feeds.table("orders"), "orders") as view:
+        return feeds.spark.sql(
             "SELECT o_orderstatus, count(*) AS orders, max(o_totalprice) AS largest "
             "FROM IDENTIFIER(:view) GROUP BY o_orderstatus",
             args={"view": view},
@@ -145,21 +144,21 @@ def staged_view_query(spark: SparkSession, folder: str) -> DataFrame:
         "SELECT count(*) AS row_count FROM user_logs WHERE data_interval = '2024-01-05'", "user_logs"
     ),
 )
-def interval_row_count(spark: SparkSession, folder: str) -> DataFrame:
+def interval_row_count(feeds: Feeds) -> DataFrame:
     """Counts a partition of a table that was just written."""
-    namespace, _ = new_namespace(spark)
-    create_table(feeds.user_logs(spark, folder), f"{namespace}.logs", ["data_interval"])
-    return interval_rows(spark.table(f"{namespace}.logs"), "2024-01-05")
+    namespace, _ = feeds.scratch()
+    create_table(feeds.user_logs, f"{namespace}.logs", ["data_interval"])
+    return interval_rows(feeds.spark.table(f"{namespace}.logs"), "2024-01-05")
 
 
 @query(
     "parquet_snappy_roundtrip",
     "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part",
 )
-def parquet_snappy_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    namespace, _ = new_namespace(spark)
-    create_table(feeds.table(spark, folder, "part"), f"{namespace}.parts")
-    return spark.table(f"{namespace}.parts")
+def parquet_snappy_roundtrip(feeds: Feeds) -> DataFrame:
+    namespace, _ = feeds.scratch()
+    create_table(feeds.table("part"), f"{namespace}.parts")
+    return feeds.spark.table(f"{namespace}.parts")
 
 
 @query(
@@ -177,9 +176,9 @@ def parquet_snappy_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
         """,
     ),
 )
-def cte_composition(spark: SparkSession, folder: str) -> DataFrame:
+def cte_composition(feeds: Feeds) -> DataFrame:
     """Named sub-queries and a derived table in one statement."""
-    return spark.sql(
+    return feeds.spark.sql(
         """
         WITH changes AS (
             SELECT user_id, data_interval FROM {logs}
@@ -194,5 +193,5 @@ def cte_composition(spark: SparkSession, folder: str) -> DataFrame:
         JOIN (SELECT user_id, max(changes) AS busiest FROM daily GROUP BY user_id) t
           ON t.user_id = d.user_id
         """,
-        logs=feeds.user_logs(spark, folder),
+        logs=feeds.user_logs,
     )

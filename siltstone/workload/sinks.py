@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.operators import top_row
@@ -19,14 +19,13 @@ from siltstone.sources import (
     snake_case,
     upsert,
 )
-from siltstone.workload import feeds
+from siltstone.workload.feeds import Feeds, millis
 from siltstone.workload.registry import query
-from siltstone.workload.scratch import new_namespace
 from siltstone.workload.sql import with_tables
 
 
-def _logs(spark: SparkSession, folder: str) -> DataFrame:
-    return feeds.user_logs(spark, folder).select(
+def _logs(feeds: Feeds) -> DataFrame:
+    return feeds.user_logs.select(
         "user_id", "ts", "page", "level", "first_name", "data_interval"
     )
 
@@ -35,10 +34,10 @@ def _logs(spark: SparkSession, folder: str) -> DataFrame:
     "create_partitioned",
     with_tables("SELECT user_id, ts, page, level, first_name, data_interval FROM user_logs", "user_logs"),
 )
-def create_partitioned(spark: SparkSession, folder: str) -> DataFrame:
-    namespace, _ = new_namespace(spark)
-    create_table(clustered(_logs(spark, folder), ["data_interval"]), f"{namespace}.logs", ["data_interval"])
-    return spark.table(f"{namespace}.logs")
+def create_partitioned(feeds: Feeds) -> DataFrame:
+    namespace, _ = feeds.scratch()
+    create_table(clustered(_logs(feeds), ["data_interval"]), f"{namespace}.logs", ["data_interval"])
+    return feeds.spark.table(f"{namespace}.logs")
 
 
 @query(
@@ -53,16 +52,16 @@ def create_partitioned(spark: SparkSession, folder: str) -> DataFrame:
         "user_logs",
     ),
 )
-def partition_overwrite(spark: SparkSession, folder: str) -> DataFrame:
+def partition_overwrite(feeds: Feeds) -> DataFrame:
     """Two intervals are delivered again with another level, twice; the rest stays."""
-    namespace, _ = new_namespace(spark)
+    namespace, _ = feeds.scratch()
     table = f"{namespace}.logs"
-    logs = _logs(spark, folder)
+    logs = _logs(feeds)
     create_table(clustered(logs, ["data_interval"]), table, ["data_interval"])
     again = logs.where(F.col("data_interval").isin("2024-01-03", "2024-01-20"))
     for _ in range(2):
         replace_partitions(again.withColumn("level", F.lit(PAID)), table)
-    return spark.table(table)
+    return feeds.spark.table(table)
 
 
 @query(
@@ -71,11 +70,11 @@ def partition_overwrite(spark: SparkSession, folder: str) -> DataFrame:
     SELECT event_id, user_id, event_type, value, strftime(ts, '%Y-%m-%d') AS event_day FROM events
     """,
 )
-def rename_migration(spark: SparkSession, folder: str) -> DataFrame:
+def rename_migration(feeds: Feeds) -> DataFrame:
     """A table written with source names, its partition column included, is renamed."""
-    namespace, _ = new_namespace(spark)
+    namespace, _ = feeds.scratch()
     table = f"{namespace}.events"
-    source = feeds.table(spark, folder, "events").select(
+    source = feeds.table("events").select(
         F.col("event_id").alias("eventId"),
         F.col("user_id").alias("userId"),
         F.col("event_type").alias("eventType"),
@@ -83,8 +82,8 @@ def rename_migration(spark: SparkSession, folder: str) -> DataFrame:
         F.date_format("ts", "yyyy-MM-dd").alias("eventDay"),
     )
     create_table(clustered(source, ["eventDay"]), table, ["eventDay"])
-    rename_columns(spark, table, {name: snake_case(name) for name in source.columns})
-    return spark.table(table)
+    rename_columns(feeds.spark, table, {name: snake_case(name) for name in source.columns})
+    return feeds.spark.table(table)
 
 
 @query(
@@ -97,11 +96,11 @@ def rename_migration(spark: SparkSession, folder: str) -> DataFrame:
     FROM events
     """,
 )
-def add_columns(spark: SparkSession, folder: str) -> DataFrame:
+def add_columns(feeds: Feeds) -> DataFrame:
     """Later intervals bring two columns the earlier ones lack."""
-    namespace, _ = new_namespace(spark)
+    namespace, _ = feeds.scratch()
     table = f"{namespace}.events"
-    rows = feeds.table(spark, folder, "events").select(
+    rows = feeds.table("events").select(
         "event_id", "value", "user_id", "event_type", F.date_format("ts", "yyyy-MM-dd").alias("data_interval")
     )
     early = rows.where(F.col("data_interval") <= "2024-01-15").drop("user_id", "event_type")
@@ -109,7 +108,7 @@ def add_columns(spark: SparkSession, folder: str) -> DataFrame:
     create_table(clustered(early, ["data_interval"]), table, ["data_interval"])
     add_missing_columns(late, table)
     replace_partitions(clustered(late, ["data_interval"]), table)
-    return spark.table(table)
+    return feeds.spark.table(table)
 
 
 @query(
@@ -125,12 +124,12 @@ def add_columns(spark: SparkSession, folder: str) -> DataFrame:
     FROM orders
     """,
 )
-def keyed_upsert(spark: SparkSession, folder: str) -> DataFrame:
+def keyed_upsert(feeds: Feeds) -> DataFrame:
     """Orders before 1999, then orders since 1997 with changed prices, some NULL states, a new
     column and without the priority."""
-    namespace, _ = new_namespace(spark)
+    namespace, _ = feeds.scratch()
     table = f"{namespace}.orders"
-    orders = feeds.table(spark, folder, "orders")
+    orders = feeds.table("orders")
     create_table(
         orders.where(F.col("o_orderdate") < "1999-01-01").select(
             "o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority"
@@ -144,7 +143,7 @@ def keyed_upsert(spark: SparkSession, folder: str) -> DataFrame:
         F.lit("recounted").alias("remark"),
     )
     upsert(staged, table, ["o_orderkey"])
-    return spark.table(table)
+    return feeds.spark.table(table)
 
 
 @query(
@@ -167,19 +166,19 @@ def keyed_upsert(spark: SparkSession, folder: str) -> DataFrame:
         """,
     ),
 )
-def keyed_upsert_composite(spark: SparkSession, folder: str) -> DataFrame:
+def keyed_upsert_composite(feeds: Feeds) -> DataFrame:
     """Each user's last downgrade of a day, overwritten by the last upgrade of that day if any."""
-    namespace, _ = new_namespace(spark)
+    namespace, _ = feeds.scratch()
     table = f"{namespace}.changes"
     keys = ["user_id", "data_interval"]
-    logs = feeds.user_logs(spark, folder).where("user_id <> ''").select(*keys, "page", "ts")
+    logs = feeds.user_logs.where("user_id <> ''").select(*keys, "page", "ts")
     last = {
         page: top_row(logs.where(F.col("page") == page), keys, [F.desc("ts")])
         for page in (DOWNGRADE_PAGE, UPGRADE_PAGE)
     }
     create_table(last[DOWNGRADE_PAGE], table)
     upsert(last[UPGRADE_PAGE], table, keys)
-    return spark.table(table)
+    return feeds.spark.table(table)
 
 
 @query(
@@ -188,36 +187,36 @@ def keyed_upsert_composite(spark: SparkSession, folder: str) -> DataFrame:
     SELECT event_type, count(*) AS events, max(value) AS largest FROM events GROUP BY event_type
     """,
 )
-def snapshot_replace(spark: SparkSession, folder: str) -> DataFrame:
+def snapshot_replace(feeds: Feeds) -> DataFrame:
     """The second snapshot has another schema and leaves nothing of the first."""
-    namespace, _ = new_namespace(spark)
+    namespace, _ = feeds.scratch()
     table = f"{namespace}.summary"
-    events = feeds.table(spark, folder, "events")
+    events = feeds.table("events")
     replace_table(events.groupBy("user_id").agg(F.count("*").alias("events")), table)
     replace_table(
         events.groupBy("event_type").agg(F.count("*").alias("events"), F.max("value").alias("largest")),
         table,
     )
-    return spark.table(table)
+    return feeds.spark.table(table)
 
 
 @query("clustered_write", "SELECT event_id, user_id, value, event_type FROM events")
-def clustered_write(spark: SparkSession, folder: str) -> DataFrame:
-    namespace, _ = new_namespace(spark)
-    rows = feeds.table(spark, folder, "events").select("event_id", "user_id", "value", "event_type")
+def clustered_write(feeds: Feeds) -> DataFrame:
+    namespace, _ = feeds.scratch()
+    rows = feeds.table("events").select("event_id", "user_id", "value", "event_type")
     create_table(clustered(rows, ["event_type"]), f"{namespace}.events", ["event_type"])
-    return spark.table(f"{namespace}.events")
+    return feeds.spark.table(f"{namespace}.events")
 
 
 @query("create_or_update", "SELECT c_custkey, c_mktsegment, c_acctbal FROM customer")
-def create_or_update(spark: SparkSession, folder: str) -> DataFrame:
+def create_or_update(feeds: Feeds) -> DataFrame:
     """The first promotion creates the table, the second adds a column to it."""
-    namespace, _ = new_namespace(spark)
+    namespace, _ = feeds.scratch()
     table = f"{namespace}.customers"
-    customers = feeds.table(spark, folder, "customer")
+    customers = feeds.table("customer")
     promote(customers.select("c_custkey", "c_mktsegment"), table, ["c_custkey"])
     promote(customers.select("c_custkey", "c_acctbal"), table, ["c_custkey"])
-    return spark.table(table)
+    return feeds.spark.table(table)
 
 
 _LINE_ORDER = """
@@ -245,11 +244,11 @@ _LINE_ORDER = """
         WHERE s.l_orderkey = f.l_orderkey AND s.l_linenumber = f.l_linenumber)
     """,
 )
-def promote_table(spark: SparkSession, folder: str) -> DataFrame:
+def promote_table(feeds: Feeds) -> DataFrame:
     """Two loads with duplicate keys into a partitioned table; updated rows change partition."""
-    namespace, _ = new_namespace(spark)
+    namespace, _ = feeds.scratch()
     table = f"{namespace}.lines"
-    lines = feeds.table(spark, folder, "lineitem").withColumn(
+    lines = feeds.table("lineitem").withColumn(
         "ship_year", F.date_format("l_shipdate", "yyyy")
     )
     for status in ("F", "O"):
@@ -257,7 +256,7 @@ def promote_table(spark: SparkSession, folder: str) -> DataFrame:
             "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_shipdate", "l_suppkey", "ship_year"
         )
         promote(staged, table, ["l_orderkey", "l_linenumber"], ["ship_year"])
-    return spark.table(table)
+    return feeds.spark.table(table)
 
 
 @query(
@@ -270,20 +269,20 @@ def promote_table(spark: SparkSession, folder: str) -> DataFrame:
     FROM events
     """,
 )
-def ingest_raw(spark: SparkSession, folder: str) -> DataFrame:
+def ingest_raw(feeds: Feeds) -> DataFrame:
     """Two landing batches with source-style names, the second with a new column and loaded twice."""
-    namespace, scratch = new_namespace(spark)
-    landing = feeds.table(spark, folder, "events").select(
+    namespace, scratch = feeds.scratch()
+    landing = feeds.table("events").select(
         F.col("event_id").alias("eventId"),
         F.col("user_id").alias("userID"),
         F.col("event_type").alias("EventType"),
         "value",
-        feeds.millis("ts").alias("tsMs"),
+        millis("ts").alias("tsMs"),
         "props",
         (F.date_format("ts", "yyyy-MM-dd") > "2024-01-15").alias("late"),
     )
     landing.where("NOT late").drop("props", "late").write.json(f"{scratch}/2024-01-15")
     landing.where("late").drop("late").write.json(f"{scratch}/2024-01-31")
     for interval in ("2024-01-15", "2024-01-31", "2024-01-31"):
-        raw.ingest(spark, f"{scratch}/{interval}", f"{namespace}.events", interval)
-    return spark.table(f"{namespace}.events")
+        raw.ingest(feeds.spark, f"{scratch}/{interval}", f"{namespace}.events", interval)
+    return feeds.spark.table(f"{namespace}.events")

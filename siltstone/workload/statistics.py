@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.functions import distance, share
@@ -18,18 +18,18 @@ from siltstone.operators import (
 from siltstone.operators.aggregates import count_where, sum_or_zero
 from siltstone.plans.values import INITIAL, TRANSITION, UNRESOLVED_LIMIT
 from siltstone.sources import in_interval
-from siltstone.workload import feeds
+from siltstone.workload.feeds import Feeds
 from siltstone.workload.registry import query
 from siltstone.workload.sql import with_tables
 
 
-def _events(spark: SparkSession, folder: str) -> DataFrame:
-    return feeds.table(spark, folder, "events")
+def _events(feeds: Feeds) -> DataFrame:
+    return feeds.table("events")
 
 
 @query("group_count", "SELECT event_type, count(*) AS events FROM events GROUP BY event_type")
-def group_count(spark: SparkSession, folder: str) -> DataFrame:
-    return _events(spark, folder).groupBy("event_type").agg(F.count("*").alias("events"))
+def group_count(feeds: Feeds) -> DataFrame:
+    return _events(feeds).groupBy("event_type").agg(F.count("*").alias("events"))
 
 
 @query(
@@ -41,8 +41,8 @@ def group_count(spark: SparkSession, folder: str) -> DataFrame:
     FROM lineitem GROUP BY l_suppkey
     """,
 )
-def multi_count_distinct(spark: SparkSession, folder: str) -> DataFrame:
-    lines = feeds.table(spark, folder, "lineitem").withColumnRenamed("l_shipdate", "ts")
+def multi_count_distinct(feeds: Feeds) -> DataFrame:
+    lines = feeds.table("lineitem").withColumnRenamed("l_shipdate", "ts")
     return play_rollup(
         lines,
         ["l_suppkey"],
@@ -57,9 +57,9 @@ def multi_count_distinct(spark: SparkSession, folder: str) -> DataFrame:
     "first_last_seen",
     "SELECT user_id, min(ts) AS first_seen_at, max(ts) AS last_seen_at FROM events GROUP BY user_id",
 )
-def first_last_seen(spark: SparkSession, folder: str) -> DataFrame:
+def first_last_seen(feeds: Feeds) -> DataFrame:
     return (
-        _events(spark, folder)
+        _events(feeds)
         .groupBy("user_id")
         .agg(F.min("ts").alias("first_seen_at"), F.max("ts").alias("last_seen_at"))
     )
@@ -73,12 +73,12 @@ def first_last_seen(spark: SparkSession, folder: str) -> DataFrame:
     FROM events GROUP BY ALL
     """,
 )
-def sum_of_purchases(spark: SparkSession, folder: str) -> DataFrame:
+def sum_of_purchases(feeds: Feeds) -> DataFrame:
     """Days without a purchase sum to 0.0."""
     spent = F.when(F.col("event_type") == "purchase", F.col("value"))
     day = F.date_format("ts", "yyyy-MM-dd").alias("day")
     return (
-        _events(spark, folder).groupBy("user_id", day).agg(F.round(sum_or_zero(spent), 2).alias("spent"))
+        _events(feeds).groupBy("user_id", day).agg(F.round(sum_or_zero(spent), 2).alias("spent"))
     )
 
 
@@ -89,9 +89,9 @@ def sum_of_purchases(spark: SparkSession, folder: str) -> DataFrame:
     FROM events GROUP BY user_id
     """,
 )
-def conditional_count(spark: SparkSession, folder: str) -> DataFrame:
+def conditional_count(feeds: Feeds) -> DataFrame:
     purchases = count_where(F.col("event_type") == "purchase").alias("purchases")
-    return _events(spark, folder).groupBy("user_id").agg(purchases)
+    return _events(feeds).groupBy("user_id").agg(purchases)
 
 
 @query(
@@ -104,14 +104,14 @@ def conditional_count(spark: SparkSession, folder: str) -> DataFrame:
         FROM events GROUP BY user_id) e ON e.user_id = c_custkey
     """,
 )
-def paid_share(spark: SparkSession, folder: str) -> DataFrame:
+def paid_share(feeds: Feeds) -> DataFrame:
     """Customers without events have share 0.0."""
     counts = (
-        _events(spark, folder)
+        _events(feeds)
         .groupBy("user_id")
         .agg(F.count("*").alias("seen"), count_where(F.col("value") > 10).alias("paid"))
     )
-    customers = feeds.table(spark, folder, "customer").select(F.col("c_custkey").alias("user_id"))
+    customers = feeds.table("customer").select(F.col("c_custkey").alias("user_id"))
     joined = customers.join(counts, "user_id", "left")
     return joined.select("user_id", share("paid", "seen").alias("paid_share"))
 
@@ -123,17 +123,17 @@ def paid_share(spark: SparkSession, folder: str) -> DataFrame:
     FROM lineitem GROUP BY l_returnflag, l_linestatus, l_suppkey
     """,
 )
-def multi_key_group(spark: SparkSession, folder: str) -> DataFrame:
+def multi_key_group(feeds: Feeds) -> DataFrame:
     return (
-        feeds.table(spark, folder, "lineitem")
+        feeds.table("lineitem")
         .groupBy("l_returnflag", "l_linestatus", "l_suppkey")
         .agg(F.count("*").alias("lines"), F.max("l_extendedprice").alias("dearest"))
     )
 
 
 @query("distinct_keys", "SELECT DISTINCT l_suppkey, l_returnflag, l_linenumber FROM lineitem")
-def distinct_keys(spark: SparkSession, folder: str) -> DataFrame:
-    lines = feeds.table(spark, folder, "lineitem")
+def distinct_keys(feeds: Feeds) -> DataFrame:
+    lines = feeds.table("lineitem")
     return lines.select("l_suppkey", "l_returnflag", "l_linenumber").distinct()
 
 
@@ -147,9 +147,9 @@ def distinct_keys(spark: SparkSession, folder: str) -> DataFrame:
                  l_quantity, l_returnflag, l_suppkey, l_tax) = 1
     """,
 )
-def drop_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+def drop_duplicates(feeds: Feeds) -> DataFrame:
     """The latest shipment per order line number."""
-    lines = feeds.table(spark, folder, "lineitem")
+    lines = feeds.table("lineitem")
     return drop_duplicate_keys(lines, ["l_orderkey", "l_linenumber"], [F.desc("l_shipdate")])
 
 
@@ -163,8 +163,8 @@ def drop_duplicates(spark: SparkSession, folder: str) -> DataFrame:
         "user_logs",
     ),
 )
-def global_aggregate(spark: SparkSession, folder: str) -> DataFrame:
-    return feeds.user_logs(spark, folder).agg(
+def global_aggregate(feeds: Feeds) -> DataFrame:
+    return feeds.user_logs.agg(
         F.count("*").alias("row_count"),
         F.countDistinct("data_interval").alias("intervals"),
         F.max("ts").alias("latest"),
@@ -179,8 +179,8 @@ def global_aggregate(spark: SparkSession, folder: str) -> DataFrame:
         PARTITION BY o_custkey ORDER BY o_orderdate DESC NULLS LAST, o_orderkey, o_totalprice) = 1
     """,
 )
-def latest_per_key(spark: SparkSession, folder: str) -> DataFrame:
-    orders = feeds.table(spark, folder, "orders").select(
+def latest_per_key(feeds: Feeds) -> DataFrame:
+    orders = feeds.table("orders").select(
         "o_custkey", "o_orderkey", "o_orderdate", "o_totalprice"
     )
     return top_row(orders, ["o_custkey"], [F.desc("o_orderdate")])
@@ -194,8 +194,8 @@ def latest_per_key(spark: SparkSession, folder: str) -> DataFrame:
         PARTITION BY o_custkey ORDER BY o_orderdate ASC NULLS FIRST, o_orderkey, o_totalprice) = 1
     """,
 )
-def earliest_per_key(spark: SparkSession, folder: str) -> DataFrame:
-    orders = feeds.table(spark, folder, "orders").select(
+def earliest_per_key(feeds: Feeds) -> DataFrame:
+    orders = feeds.table("orders").select(
         "o_custkey", "o_orderkey", "o_orderdate", "o_totalprice"
     )
     return top_row(orders, ["o_custkey"], ["o_orderdate"])
@@ -214,8 +214,8 @@ def earliest_per_key(spark: SparkSession, folder: str) -> DataFrame:
         "catalogue",
     ),
 )
-def most_complete_per_key(spark: SparkSession, folder: str) -> DataFrame:
-    rows = feeds.catalogue(spark, folder).select(
+def most_complete_per_key(feeds: Feeds) -> DataFrame:
+    rows = feeds.catalogue.select(
         "song_id", "artist_location", "artist_latitude", "year", "duration"
     )
     flags = [F.col("artist_latitude").isNull(), F.col("year").isNull()]
@@ -232,12 +232,12 @@ def most_complete_per_key(spark: SparkSession, folder: str) -> DataFrame:
         PARTITION BY l_partkey ORDER BY gap, l_extendedprice, l_linenumber, l_orderkey) = 1
     """,
 )
-def nearest_per_key(spark: SparkSession, folder: str) -> DataFrame:
+def nearest_per_key(feeds: Feeds) -> DataFrame:
     """Per part, the order line priced nearest to the list price."""
-    lines = feeds.table(spark, folder, "lineitem").select(
+    lines = feeds.table("lineitem").select(
         "l_partkey", "l_orderkey", "l_linenumber", "l_extendedprice"
     )
-    parts = feeds.table(spark, folder, "part").select(
+    parts = feeds.table("part").select(
         F.col("p_partkey").alias("l_partkey"), "p_retailprice"
     )
     gaps = lines.join(parts, "l_partkey").withColumn("gap", distance("l_extendedprice", "p_retailprice"))
@@ -255,8 +255,8 @@ def nearest_per_key(spark: SparkSession, folder: str) -> DataFrame:
         "catalogue",
     ),
 )
-def canonical_per_key(spark: SparkSession, folder: str) -> DataFrame:
-    rows = feeds.catalogue(spark, folder).select("song_id", "title", "artist_id", "year")
+def canonical_per_key(feeds: Feeds) -> DataFrame:
+    rows = feeds.catalogue.select("song_id", "title", "artist_id", "year")
     return top_row(rows, ["song_id"], [F.col("year").desc_nulls_last()])
 
 
@@ -271,9 +271,9 @@ def canonical_per_key(spark: SparkSession, folder: str) -> DataFrame:
         PARTITION BY user_id, day ORDER BY source = 'transition' DESC, source, ts, value) = 1
     """,
 )
-def priority_dedup(spark: SparkSession, folder: str) -> DataFrame:
+def priority_dedup(feeds: Feeds) -> DataFrame:
     """Per user and day, a purchase if there is one, otherwise a view."""
-    events = _events(spark, folder).select(
+    events = _events(feeds).select(
         "user_id", F.date_format("ts", "yyyy-MM-dd").alias("day"), "ts", "value", "event_type"
     )
     sources = {
@@ -295,8 +295,8 @@ def priority_dedup(spark: SparkSession, folder: str) -> DataFrame:
         "catalogue",
     ),
 )
-def any_per_key(spark: SparkSession, folder: str) -> DataFrame:
-    rows = feeds.catalogue(spark, folder).select("song_id", "duration", "artist_name", "year")
+def any_per_key(feeds: Feeds) -> DataFrame:
+    rows = feeds.catalogue.select("song_id", "duration", "artist_name", "year")
     return top_row(rows, ["song_id", "duration"])
 
 
@@ -309,17 +309,17 @@ def any_per_key(spark: SparkSession, folder: str) -> DataFrame:
         ORDER BY l_extendedprice DESC NULLS LAST, l_linenumber, l_orderkey, l_partkey) = 1
     """,
 )
-def top_one_per_group(spark: SparkSession, folder: str) -> DataFrame:
-    lines = feeds.table(spark, folder, "lineitem").select(
+def top_one_per_group(feeds: Feeds) -> DataFrame:
+    lines = feeds.table("lineitem").select(
         "l_suppkey", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"
     )
     return top_row(lines, ["l_suppkey"], [F.desc("l_extendedprice")])
 
 
 @query("sort_within_partitions", "SELECT o_orderkey, o_orderdate, o_totalprice FROM orders")
-def sort_within_partitions(spark: SparkSession, folder: str) -> DataFrame:
+def sort_within_partitions(feeds: Feeds) -> DataFrame:
     """Sorts each task's rows; there is no shuffle."""
-    orders = feeds.table(spark, folder, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
+    orders = feeds.table("orders").select("o_orderkey", "o_orderdate", "o_totalprice")
     return orders.sortWithinPartitions("o_orderdate")
 
 
@@ -340,8 +340,8 @@ def _verdicts(checks: dict[str, DataFrame]) -> DataFrame:
         "user_logs",
     ),
 )
-def check_has_rows(spark: SparkSession, folder: str) -> DataFrame:
-    logs = feeds.user_logs(spark, folder)
+def check_has_rows(feeds: Feeds) -> DataFrame:
+    logs = feeds.user_logs
     return _verdicts(
         {
             "present": has_rows(in_interval(logs, "2024-01-15")),
@@ -360,11 +360,11 @@ def check_has_rows(spark: SparkSession, folder: str) -> DataFrame:
            CASE WHEN count(*) = count(DISTINCT l_orderkey) THEN 1 ELSE 0 END AS passed FROM lineitem
     """,
 )
-def check_pk_single(spark: SparkSession, folder: str) -> DataFrame:
+def check_pk_single(feeds: Feeds) -> DataFrame:
     return _verdicts(
         {
-            "orders": keys_unique(feeds.table(spark, folder, "orders"), ["o_orderkey"]),
-            "lines": keys_unique(feeds.table(spark, folder, "lineitem"), ["l_orderkey"]),
+            "orders": keys_unique(feeds.table("orders"), ["o_orderkey"]),
+            "lines": keys_unique(feeds.table("lineitem"), ["l_orderkey"]),
         }
     )
 
@@ -384,11 +384,11 @@ def check_pk_single(spark: SparkSession, folder: str) -> DataFrame:
         "user_levels",
     ),
 )
-def check_pk_composite(spark: SparkSession, folder: str) -> DataFrame:
-    lines = feeds.table(spark, folder, "lineitem")
+def check_pk_composite(feeds: Feeds) -> DataFrame:
+    lines = feeds.table("lineitem")
     return _verdicts(
         {
-            "levels": keys_unique(feeds.user_levels(spark, folder), ["user_id", "changed_at"]),
+            "levels": keys_unique(feeds.user_levels, ["user_id", "changed_at"]),
             "lines": keys_unique(lines, ["l_orderkey", "l_linenumber"]),
         }
     )
@@ -409,8 +409,8 @@ def check_pk_composite(spark: SparkSession, folder: str) -> DataFrame:
         "catalogue",
     ),
 )
-def check_null_ratio(spark: SparkSession, folder: str) -> DataFrame:
-    feed = feeds.catalogue(spark, folder)
+def check_null_ratio(feeds: Feeds) -> DataFrame:
+    feed = feeds.catalogue
     return _verdicts(
         {
             "year": null_ratio_below(feed, "year", UNRESOLVED_LIMIT),
