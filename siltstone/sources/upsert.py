@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from siltstone.operators.rows import drop_duplicate_keys
 from siltstone.sources.tables import partition_columns
 from siltstone.sources.writers import (
+    STAGED,
     add_missing_columns,
     clustered,
     create_table,
@@ -45,7 +46,7 @@ def upsert(staged: DataFrame, table: str, keys: Sequence[str]) -> None:
     add_missing_columns(staged, table)
     partition_by = partition_columns(spark, table)
     # Written once: it is read several times below, and must not differ between reads.
-    holding = side_name(table, "__staged_")
+    holding = side_name(table, STAGED)
     create_table(staged, holding)
     try:
         if partition_by:

@@ -14,6 +14,7 @@ from siltstone.sources.tables import partition_columns
 FORMAT = "parquet"
 COMPRESSION = "snappy"
 NEXT = "__next_"
+STAGED = "__staged_"
 
 
 def quoted(name: str) -> str:
@@ -84,15 +85,21 @@ def _take_name(spark: SparkSession, replacement: str, table: str) -> None:
 
 
 def finish_replacement(spark: SparkSession, table: str) -> None:
-    """Gives a complete replacement its name if a run stopped between drop and rename."""
-    if spark.catalog.tableExists(table):
-        return
+    """Settles what a stopped run left beside ``table``.
+
+    A side table is in the catalog only once it is complete, so a replacement takes the name if the
+    old table is gone already, and is dropped if the old table still stands.
+    """
     namespace, _, name = table.rpartition(".")
     place = f" IN {namespace}" if namespace else ""
-    waiting = spark.sql(f"SHOW TABLES{place} LIKE '{name}{NEXT}*'").where("NOT isTemporary").first()
-    if waiting is not None:
-        source = f"{namespace}.{waiting.tableName}" if namespace else waiting.tableName
-        _take_name(spark, source, table)
+    listed = spark.sql(f"SHOW TABLES{place} LIKE '{name}__*'").where("NOT isTemporary").collect()
+    prefix = f"{namespace}." if namespace else ""
+    left = sorted(row.tableName for row in listed)
+    waiting = [other for other in left if other.startswith(name.lower() + NEXT)]
+    if waiting and not spark.catalog.tableExists(table):
+        _take_name(spark, prefix + waiting.pop(0), table)
+    for other in waiting + [other for other in left if other.startswith(name.lower() + STAGED)]:
+        spark.sql(f"DROP TABLE {prefix}{other}")
 
 
 def add_missing_columns(df: DataFrame, table: str) -> list[str]:

@@ -89,6 +89,13 @@ def test_an_interrupted_replacement_is_finished(spark, namespace):
     assert tables(spark, namespace) == {"t"}
 
 
+def test_leftovers_beside_a_standing_table_are_dropped(spark, namespace):
+    for name in ("t", "t__next_0a1b2c3d", "t__staged_0a1b2c3d", "t__other", "tt__next_0a1b2c3d"):
+        create_table(spark.range(1), f"{namespace}.{name}")
+    finish_replacement(spark, f"{namespace}.t")
+    assert tables(spark, namespace) == {"t", "t__other", "tt__next_0a1b2c3d"}
+
+
 TARGET = [(1, "a", "keep1"), (2, "b", "keep2"), (None, "n", "keepn")]
 
 
