@@ -7,6 +7,7 @@ from siltstone.functions.values import (
     as_integer,
     as_long,
     distance,
+    id_from_text,
     or_default,
     ratio,
     sentinel_to_null,
@@ -20,6 +21,7 @@ __all__ = [
     "date_from_epoch_ms",
     "distance",
     "hashed",
+    "id_from_text",
     "is_positive",
     "is_required",
     "key_text",

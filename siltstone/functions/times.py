@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 def timestamp_from_epoch_ms(millis: Column | str) -> Column:
     """Timestamp in whole seconds; ``div`` truncates toward zero, also before 1970."""
     millis = F.col(millis) if isinstance(millis, str) else millis
-    return F.timestamp_seconds(F.call_function("div", millis.cast("long"), F.lit(1000)))
+    return F.timestamp_seconds(F.call_function("div", millis.try_cast("long"), F.lit(1000)))
 
 
 def date_from_epoch_ms(millis: Column | str) -> Column:

@@ -8,6 +8,9 @@ from typing import Any
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# A sign and digits, with the white space and control characters that a cast trims.
+WHOLE_NUMBER = r"^[\s\p{Cntrl}]*[+-]?[0-9]+[\s\p{Cntrl}]*$"
+
 
 def _col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
@@ -18,6 +21,16 @@ def as_long(value: Column | str) -> Column:
     return _col(value).try_cast("long")
 
 
+def id_from_text(value: Column | str) -> Column:
+    """BIGINT from a text id, or NULL.
+
+    A failed ``try_cast`` costs as much as an exception, so text that cannot be a whole number is
+    sorted out by its shape first; what remains may still be too large and become NULL.
+    """
+    text = _col(value)
+    return F.when(text.rlike(WHOLE_NUMBER), text.try_cast("long"))
+
+
 def as_integer(value: Column | str) -> Column:
     return _col(value).try_cast("int")
 

@@ -11,6 +11,7 @@ from siltstone.functions import (
     date_from_epoch_ms,
     distance,
     hashed,
+    id_from_text,
     is_positive,
     is_required,
     key_text,
@@ -38,7 +39,7 @@ def users(logs: DataFrame, interval: str) -> DataFrame:
     """
     seen = in_interval(logs, interval).where(is_required("user_id") & (F.col("auth") == SIGNED_IN))
     attributes = seen.select(
-        as_long("user_id").alias("user_id"),
+        id_from_text("user_id").alias("user_id"),
         "first_name",
         "last_name",
         "gender",
@@ -94,7 +95,7 @@ def level_changes(logs: DataFrame, interval: str) -> DataFrame:
         is_required("user_id") & F.col("page").isin(*LEVEL_AFTER)
     )
     return submitted.select(
-        as_long("user_id").alias("user_id"), "ts", translate("page", LEVEL_AFTER).alias("new_level")
+        id_from_text("user_id").alias("user_id"), "ts", translate("page", LEVEL_AFTER).alias("new_level")
     )
 
 
@@ -104,7 +105,7 @@ def first_levels(logs: DataFrame, interval: str) -> DataFrame:
         is_required("user_id") & (F.col("auth") == SIGNED_IN) & F.col("level").isNotNull()
     )
     levels = known.select(
-        as_long("user_id").alias("user_id"), "ts", F.col("level").alias("new_level")
+        id_from_text("user_id").alias("user_id"), "ts", F.col("level").alias("new_level")
     )
     return top_row(levels, ["user_id"], ["ts"])
 
@@ -141,7 +142,7 @@ def plays(logs: DataFrame, interval: str) -> DataFrame:
     return played.select(
         key_text("user_id", "session_id", "item_in_session").alias("play_key"),
         timestamp_from_epoch_ms("ts").alias("ts"),
-        as_long("user_id").alias("user_id"),
+        id_from_text("user_id").alias("user_id"),
         as_long("session_id").alias("session_id"),
         as_integer("item_in_session").alias("item_in_session"),
         F.col("song").alias("played_title"),

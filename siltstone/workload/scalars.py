@@ -10,6 +10,7 @@ from siltstone.functions import (
     as_long,
     date_from_epoch_ms,
     distance,
+    id_from_text,
     or_default,
     ratio,
     seconds_between,
@@ -96,8 +97,9 @@ def duration_seconds(feeds: Feeds) -> DataFrame:
     with_tables(
         """
         SELECT first_name, TRY_CAST(user_id AS BIGINT) AS user_id,
-               TRY_CAST(level AS INTEGER) AS level_number,
+               TRY_CAST(level AS BIGINT) AS level_id,
                TRY_CAST(substr(first_name, 2) AS INTEGER) AS event_number,
+               TRY_CAST(substr(last_name, 2) AS BIGINT) AS log_user,
                CAST(registration AS DOUBLE) AS registration, CAST(ts AS VARCHAR) AS ts
         FROM user_logs
         """,
@@ -108,9 +110,10 @@ def typed_casts(feeds: Feeds) -> DataFrame:
     """Text that is no number (an empty id, a level) becomes NULL."""
     return feeds.user_logs.select(
         "first_name",
-        as_long("user_id").alias("user_id"),
-        as_integer("level").alias("level_number"),
+        id_from_text("user_id").alias("user_id"),
+        id_from_text("level").alias("level_id"),
         as_integer(F.substring("first_name", 2, 20)).alias("event_number"),
+        as_long(F.substring("last_name", 2, 20)).alias("log_user"),
         F.col("registration").cast("double").alias("registration"),
         F.col("ts").cast("string").alias("ts"),
     )

@@ -65,6 +65,30 @@ def test_ids_that_are_no_numbers_become_null(spark):
     )
 
 
+@pytest.mark.parametrize(
+    ("text", "expected"),
+    [
+        ("7", 7),
+        ("07", 7),
+        ("-12", -12),
+        ("+3", 3),
+        (" 5\t", 5),
+        ("\u00007\n", 7),
+        ("9223372036854775807", 2**63 - 1),
+        ("9223372036854775808", None),
+        ("7.0", None),
+        ("1e3", None),
+        ("", None),
+        ("abc", None),
+        ("1:2", None),
+        (None, None),
+    ],
+)
+def test_ids_from_text_equal_a_plain_try_cast(spark, text, expected):
+    value = F.lit(text).cast("string")
+    assert one(spark, fn.id_from_text(value), value.try_cast("long")) == (expected, expected)
+
+
 def test_required_accepts_numbers(spark):
     values = [fn.is_required(F.lit(5)), fn.is_required(F.lit("")), fn.is_required(F.lit("x"))]
     assert one(spark, *values) == (True, False, True)
