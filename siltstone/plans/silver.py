@@ -156,16 +156,25 @@ def plays(logs: DataFrame, interval: str) -> DataFrame:
 
 
 def playable_versions(songs: DataFrame, artists: DataFrame, versions: DataFrame) -> DataFrame:
-    """Each version with the title and artist name under which a play refers to it."""
+    """Each version with the title and artist name under which a play refers to it.
+
+    Of versions equal in title, artist name and duration, which no play can tell apart, the first
+    by artist, song and version id stands for all. It is the one that wins the tie in the end, and a
+    catalogue full of copies does not multiply the plays of them.
+    """
     titled = songs.select("song_id", "title", "artist_id")
     named = artists.select("artist_id", "artist_name")
-    return versions.join(titled, "song_id").join(named, "artist_id")
+    return top_row(
+        versions.join(titled, "song_id").join(named, "artist_id"),
+        ["title", "artist_name", "duration"],
+        ["artist_id", "song_id", "version_id"],
+    )
 
 
 def candidate_versions(
     plays: DataFrame, songs: DataFrame, artists: DataFrame, versions: DataFrame
 ) -> DataFrame:
-    """Every play with each version of equal title, artist name and (nearly) equal length.
+    """Every play with the versions of equal title, artist name and (nearly) equal length.
 
     The catalogue is joined up first, so plays meet it on title, artist and length at once. Going
     by title alone would pair a play with every song of that name before narrowing down.

@@ -90,6 +90,15 @@ def test_level_history_is_read_once(spark, namespace):
     assert text.count("FileScan") == 1 and text.count("Exchange") == 1
 
 
+def test_session_facts_resolve_plays_once(spark):
+    """Both passes over the events start from one shuffle."""
+    feeds = Feeds(spark, SMALL)
+    facts = gold.session_facts(feeds.events, feeds.song_versions)
+    facts.collect()
+    final = plan(facts).split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final and final.count("lineitem.parquet") == 1
+
+
 def test_a_small_batch_merges_without_shuffling_the_target(spark, namespace):
     create_table(spark.range(1000).select("id", F.lit("x").alias("v")), f"{namespace}.target")
     create_table(spark.range(10).select("id", F.lit("y").alias("v")), f"{namespace}.staged")

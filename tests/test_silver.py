@@ -202,3 +202,14 @@ def test_a_play_without_item_number_may_share_its_key(spark):
     ]
     events = silver.resolve_events(*silver_inputs(spark, log_rows, [{}]), DAY)
     assert events.count() == 1
+
+
+def test_copies_in_the_catalogue_do_not_multiply_plays(spark):
+    copies = [{"song_id": f"S{i:03}", "artist_id": f"A{i % 3}"} for i in range(300)]
+    log_rows = [{"item_in_session": i} for i in range(40)]
+    log, users, songs, artists, versions = silver_inputs(spark, log_rows, copies)
+    plays = silver.plays(log, DAY)
+    assert silver.candidate_versions(plays, songs, artists, versions).count() == 40
+    events = silver.resolve_events(log, users, songs, artists, versions, DAY)
+    assert rows(events.select("song_id", "artist_id").distinct()) == [("S000", "A0")]
+    assert events.count() == 40
