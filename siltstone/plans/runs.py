@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from siltstone.operators import drop_duplicate_keys, enforce, has_rows, keys_unique, null_ratio_below
 from siltstone.plans import gold, raw, silver
@@ -43,13 +44,22 @@ def promote(
 
 
 def ingest_raw(
-    spark: SparkSession, landing: str, namespace: str, interval: str, feeds: Sequence[str]
+    spark: SparkSession,
+    landing: str,
+    namespace: str,
+    interval: str,
+    feeds: Sequence[str],
+    schemas: Mapping[str, StructType] | None = None,
 ) -> list[str]:
-    """Loads ``<landing>/<interval>/<feed>`` for each feed; returns the feeds that had rows."""
+    """Loads ``<landing>/<interval>/<feed>`` for each feed; returns the feeds that had rows.
+
+    A feed with a schema is read once; without, its schema is inferred in a pass of its own.
+    """
     loaded = []
     for feed in feeds:
         table = f"{namespace}.{feed}"
-        if raw.ingest(spark, f"{landing}/{interval}/{feed}", table, interval):
+        schema = (schemas or {}).get(feed)
+        if raw.ingest(spark, f"{landing}/{interval}/{feed}", table, interval, schema):
             enforce(has_rows(in_interval(spark.table(table), interval)), f"{table} has rows")
             loaded.append(feed)
     return loaded

@@ -112,6 +112,14 @@ def test_a_given_schema_is_used(spark, landing):
     ]
 
 
+def test_feeds_without_rows_are_not_reported(spark, namespace, landing):
+    landing("logs", "d1", [{"userId": "1", "ts": 5}])
+    landing("songs", "d1", [])
+    schemas = {"logs": spark.createDataFrame([], "userId string, ts string").schema}
+    assert ingest_raw(spark, landing.root, namespace, "d1", ["logs", "songs"], schemas) == ["logs"]
+    assert rows(spark.table(f"{namespace}.logs")) == [("1", "5", "d1")]
+
+
 def log(user, ts, **more):
     base = {
         "userId": user,

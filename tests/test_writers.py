@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -231,6 +233,35 @@ def test_a_large_partition_is_split_between_writers(spark, namespace):
     assert written.where("day = 99").select("_metadata.file_path").distinct().count() > 2
 
 
+@pytest.mark.parametrize("partition_by", [[], ["day"]])
+def test_random_upserts_equal_a_model(spark, namespace, partition_by):
+    """Rows by key, last write wins; NULL keys pile up; the target-only column survives."""
+    generator = random.Random(len(partition_by))
+    table = f"{namespace}.t"
+    schema = "k int, v int, day string"
+
+    def batch(size):
+        keys = generator.sample(range(24), size)
+        data = [(k, generator.choice([None, *range(9)]), f"d{generator.randrange(4)}") for k in keys]
+        return [*data, (None, generator.randrange(9), f"d{generator.randrange(4)}")]
+
+    first = batch(10)
+    create_table(frame(spark, first, schema).withColumn("own", F.col("v") * 10), table, partition_by)
+    keyed = {k: (v, day, None if v is None else v * 10) for k, v, day in first if k is not None}
+    loose = [(v, day, v * 10) for k, v, day in first if k is None]
+    for size in (3, 12):
+        staged = batch(size)
+        upsert(frame(spark, staged, schema), table, ["k"])
+        for k, v, day in staged:
+            if k is None:
+                loose.append((v, day, None))
+            else:
+                keyed[k] = (v, day, keyed[k][2] if k in keyed else None)
+        expected = [(k, *row) for k, row in keyed.items()] + [(None, *row) for row in loose]
+        found = spark.table(table).select("k", "v", "day", "own").collect()
+        assert sorted(map(tuple, found), key=str) == sorted(expected, key=str)
+
+
 def test_staged_views_are_unique_and_removed(spark):
     df = spark.range(3)
     with staged_view(df, "x") as first, staged_view(df, "x") as second:
