@@ -23,12 +23,15 @@ from siltstone.sources.writers import (
 )
 
 
-def merge_rows(target: DataFrame, staged: DataFrame, keys: Sequence[str]) -> DataFrame:
+def merge_rows(
+    target: DataFrame, staged: DataFrame, keys: Sequence[str], cluster_by: Sequence[str] = ()
+) -> DataFrame:
     """Target rows after the upsert: matched ones take all staged values, also NULLs.
 
     Target-only columns keep their value. A NULL key matches nothing, so such target rows stay and
     such staged rows are inserted. Staged keys must be unique. Both joins have the staged side,
     usually one interval, as the side that can be broadcast, so a large target need not shuffle.
+    ``cluster_by`` gathers the staged rows only, as untouched ones already lie by partition.
     """
     keys = list(keys)
     staged_keys = staged.select(*keys)
@@ -37,7 +40,8 @@ def merge_rows(target: DataFrame, staged: DataFrame, keys: Sequence[str]) -> Dat
     if kept:
         matched = target.join(staged_keys, keys, "left_semi").select(*keys, *kept)
         staged = staged.join(drop_duplicate_keys(matched, keys), keys, "left")
-    return untouched.select(*target.columns).unionByName(staged.select(*target.columns))
+    arriving = clustered(staged.select(*target.columns), cluster_by)
+    return untouched.select(*target.columns).unionByName(arriving)
 
 
 def upsert(staged: DataFrame, table: str, keys: Sequence[str]) -> None:
@@ -84,7 +88,7 @@ def _upsert_partitions(
     touched = sources | arrivals
     if touched:
         affected = target.where(_in_partitions(touched))
-        replace_partitions(clustered(merge_rows(affected, staged, keys), partition_by), table)
+        replace_partitions(merge_rows(affected, staged, keys, partition_by), table)
     # Last, so that a run that stops here is repaired by running it again.
     for place in emptied:
         spec = ", ".join(f"{quoted(n)} = {_literal(v)}" for n, v in place.asDict().items())

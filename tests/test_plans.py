@@ -108,6 +108,18 @@ def test_a_small_batch_merges_without_shuffling_the_target(spark, namespace):
     assert "hashpartitioning" not in text
 
 
+def test_clustering_an_upsert_shuffles_the_staged_rows_only(spark, namespace):
+    for name, count, partition_by in (("target", 1000, ["day"]), ("staged", 10, [])):
+        rows = spark.range(count).select("id", F.lit("x").alias("v"), (F.col("id") % 3).alias("day"))
+        create_table(rows, f"{namespace}.{name}", partition_by)
+    target, staged = (spark.table(f"{namespace}.{name}") for name in ("target", "staged"))
+    text = plan(merge_rows(target, staged, ["id"], ["day"]))
+    # One shuffle in the whole plan, below the branch that reads the target.
+    assert text.count("hashpartitioning") == text.count("REBALANCE_PARTITIONS_BY_COL") == 1
+    assert text.index("LeftAnti, BuildRight") < text.index("REBALANCE_PARTITIONS_BY_COL")
+    assert "target" in text[: text.index("REBALANCE_PARTITIONS_BY_COL")]
+
+
 SKEW = {
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
