@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from siltstone.session import shared_folder
 
 #: Rows per Arrow batch. Spark bounds batches by rows only, so long texts call for few rows.
-BATCH_ROWS = 512
+BATCH_ROWS = 1024
 #: Bytes of text handled at once inside a task; a longer text is a slice of its own.
 SLICE_BYTES = 1 << 21
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from siltstone.llm.binary_output import read_documents, sequence_folder, write_sequences
 from siltstone.llm.common import table
 from siltstone.llm.packing import packed_documents
+from siltstone.llm.simhash import near_duplicates
 from siltstone.llm.token_counts import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,3 +36,9 @@ def op8_binary_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     manifest = write_sequences(documents, sequence_folder(spark), "word_bpe_49k.json", end=1)
     return read_documents(manifest)
+
+
+@query
+def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents"), shingle=4, distance=4)
+    return found.select("doc_id", "fingerprint", "component_id")
