@@ -26,48 +26,55 @@ def place(uri: str) -> tuple[fs.FileSystem, str]:
 
 
 class SequenceWriter:
-    """One Arrow file of fixed-size lists ``ids`` and ``mask``, both ``length`` long.
+    """One Arrow file of fixed-size lists, each ``length`` long: ``ids``, and the bit masks ``mask``
+    (a token, not padding) and ``last`` (the last token of a document).
 
-    Mask 0: padding, 1: a token, 2: the last token of a document. Only the last sequence is padded.
-    A file gets its name when it is complete, so a task that runs twice leaves one whole file.
+    Ids take two bytes where the vocabulary allows it. Only the last sequence is padded. A file gets its
+    name when it is complete, so a task that runs twice leaves one whole file.
     """
 
-    def __init__(self, uri: str, length: int):
+    def __init__(self, uri: str, length: int, vocabulary: int):
         self.fs, self.path = place(uri)
+        self.kind = np.uint16 if vocabulary <= 1 << 16 else np.uint32
         self.length = length
         self.fs.create_dir(self.path.rpartition("/")[0], recursive=True)
         self.draft = f"{self.path}.{uuid.uuid4().hex}"
         self.schema = pa.schema(
-            [("ids", pa.list_(pa.uint32(), length)), ("mask", pa.list_(pa.uint8(), length))]
+            [
+                ("ids", pa.list_(pa.from_numpy_dtype(self.kind), length)),
+                ("mask", pa.list_(pa.bool_(), length)),
+                ("last", pa.list_(pa.bool_(), length)),
+            ]
         )
         self.sink = self.fs.open_output_stream(self.draft)
         self.writer = pa.ipc.new_file(self.sink, self.schema)
-        self.held: list[tuple[np.ndarray, np.ndarray]] = []
+        self.held: list[tuple[np.ndarray, ...]] = []
         self.n_held = 0
 
-    def write(self, ids: np.ndarray, mask: np.ndarray) -> None:
-        self.held.append((ids, mask))
+    def write(self, ids: np.ndarray, last: np.ndarray) -> None:
+        self.held.append((ids.astype(self.kind), np.ones(len(ids), bool), last))
         self.n_held += len(ids)
         if self.n_held >= BATCH_SEQUENCES * self.length:
             self.flush(self.n_held // self.length * self.length)
 
     def flush(self, n: int) -> None:
-        ids, mask = (np.concatenate(x) for x in zip(*self.held))
+        held = [np.concatenate(x) for x in zip(*self.held)]
         step = BATCH_SEQUENCES * self.length
         for at in range(0, n, step):
             columns = [
                 pa.FixedSizeListArray.from_arrays(pa.array(x[at : min(n, at + step)]), self.length)
-                for x in (ids, mask)
+                for x in held
             ]
             self.writer.write_batch(pa.RecordBatch.from_arrays(columns, schema=self.schema))
-        self.held = [(ids[n:], mask[n:])]
-        self.n_held = len(ids) - n
+        self.held = [tuple(x[n:] for x in held)]
+        self.n_held -= n
 
     def close(self) -> None:
         if self.n_held:
             pad = -self.n_held % self.length
-            self.held.append((np.zeros(pad, np.uint32), np.zeros(pad, np.uint8)))
-            self.flush(self.n_held + pad)
+            self.held.append((np.zeros(pad, self.kind), np.zeros(pad, bool), np.zeros(pad, bool)))
+            self.n_held += pad
+            self.flush(self.n_held)
         self.writer.close()
         self.sink.close()
         self.fs.move(self.draft, self.path)
@@ -83,29 +90,29 @@ class SequenceFile:
         self.reader = pa.ipc.open_file(self.source)
         self.length = self.reader.schema.field("ids").type.list_size
 
-    def batch(self, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and mask of record batch ``k`` as matrices that share the file's memory."""
+    def batch(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, mask and last tokens of record batch ``k``. The matrix of ids shares the file's memory;
+        the masks are unpacked from the bits that do."""
         batch = self.reader.get_batch(k)
-        return tuple(
-            batch.column(c).flatten().to_numpy(zero_copy_only=True).reshape(-1, self.length)
-            for c in ("ids", "mask")
-        )
+        flat = [batch.column(c).flatten() for c in ("ids", "mask", "last")]
+        return tuple(x.to_numpy(zero_copy_only=not k).reshape(-1, self.length) for k, x in enumerate(flat))
 
-    def sequence(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and mask of sequence ``n``, found by arithmetic alone."""
-        ids, mask = self.batch(n // BATCH_SEQUENCES)
-        return ids[n % BATCH_SEQUENCES], mask[n % BATCH_SEQUENCES]
+    def sequence(self, n: int) -> tuple[np.ndarray, pa.BooleanArray]:
+        """Ids and mask of sequence ``n``, found by arithmetic alone, both without a copy."""
+        batch = self.reader.get_batch(n // BATCH_SEQUENCES)
+        ids, mask = (batch.column(c).slice(n % BATCH_SEQUENCES, 1).flatten() for c in ("ids", "mask"))
+        return ids.to_numpy(zero_copy_only=True), mask
 
     def documents(self):
         """The ids of each document in turn, with one batch in memory."""
         rest: list[np.ndarray] = []
         for k in range(self.reader.num_record_batches):
-            ids, mask = (x.reshape(-1) for x in self.batch(k))
+            ids, mask, last = (x.reshape(-1) for x in self.batch(k))
             at = 0
-            for end in np.flatnonzero(mask == 2) + 1:
+            for end in np.flatnonzero(last) + 1:
                 yield np.concatenate([*rest, ids[at:end]]) if rest else ids[at:end]
                 rest, at = [], int(end)
-            tail = ids[at : len(ids) - int((mask == 0).sum())]
+            tail = ids[at : len(ids) - int((~mask).sum())]
             if len(tail):
                 rest.append(tail.copy())
 
@@ -142,7 +149,7 @@ def write_sequences(
                 continue
             if out is None:
                 stem = f"{folder}/{uuid.uuid4().hex}"
-                out = SequenceWriter(f"{stem}.arrow", length)
+                out = SequenceWriter(f"{stem}.arrow", length, encode.tokenizer.get_vocab_size())
                 index_fs, index_path = place(f"{stem}.docs")
                 index = index_fs.open_output_stream(index_path)
                 ids_out = pa.ipc.new_file(index, pa.schema([batch.schema.field("id")]))
@@ -150,9 +157,9 @@ def write_sequences(
             last = batch.column("id").slice(batch.num_rows - 1, 1)
             ids, bounds = encode.encode(*utf8(batch.column("text")))
             with_end = np.insert(ids, bounds[1:], end).astype(np.uint32)
-            mask = np.ones(len(with_end), np.uint8)
-            mask[bounds[1:] + np.arange(batch.num_rows)] = 2
-            out.write(with_end, mask)
+            final = np.zeros(len(with_end), bool)
+            final[bounds[1:] + np.arange(batch.num_rows)] = True
+            out.write(with_end, final)
             ids_out.write_batch(pa.RecordBatch.from_arrays([batch.column("id")], names=["id"]))
             n_docs, n_tokens = n_docs + batch.num_rows, n_tokens + len(with_end)
         if out is not None:
