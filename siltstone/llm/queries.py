@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from siltstone.llm import language, quality
 from siltstone.llm.binary_output import read_documents, sequence_folder, write_sequences
 from siltstone.llm.common import table
+from siltstone.llm.fingerprints import edited_fingerprints
 from siltstone.llm.packing import packed_documents
 from siltstone.llm.simhash import near_duplicates
 from siltstone.llm.token_counts import token_counts
@@ -42,3 +44,20 @@ def op8_binary_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"), shingle=4, distance=4)
     return found.select("doc_id", "fingerprint", "component_id")
+
+
+@query
+def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return quality.scored(documents, quality.train(documents, table(spark, sf_dir, "labels")))
+
+
+@query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return language.identified(documents, language.train(documents))
