@@ -132,7 +132,7 @@ class WordHashes:
     def __init__(self, seed: int):
         rng = np.random.default_rng(seed)
         self.values = rng.integers(1, 2**63, 256, dtype=np.uint64)
-        self.base = int(rng.integers(0, 2**62)) * 8 + 5
+        self.base = (int(rng.integers(0, 2**62)) * 8 + 5) % 2**64
         self.inverse = pow(self.base, -1, 2**64)
         self.powers = self.inverses = np.ones(1, np.uint64)
 
@@ -140,7 +140,7 @@ class WordHashes:
         if len(self.powers) < n:
             size = max(n, SLICE_BYTES + 1)
             for attribute, factor in (("powers", self.base), ("inverses", self.inverse)):
-                steps = np.full(size, factor, np.uint64)
+                steps = np.full(size, np.uint64(factor))
                 steps[0] = 1
                 setattr(self, attribute, np.multiply.accumulate(steps))
 

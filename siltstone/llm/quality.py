@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import held_out, name, ready, slices, type_of, utf8
+from siltstone.llm.common import WordHashes, held_out, name, ready, slices, type_of, utf8, word_bounds
 from siltstone.llm.grams import gram_counts
 
 #: Byte n-grams, case and signs included, and the number of buckets as a power of two.
@@ -20,14 +20,45 @@ PER_LABEL = 1500
 NEIGHBOURS = 25
 #: Documents compared with all labelled vectors at once.
 BLOCK = 256
+#: Weight of the shares of repetition beside the n-grams, whose row has length 1.
+STYLE = 1.5
 #: From this score on a document is taken to be good.
 GOOD = 0.3
 
 
-def term_weights(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    """Damped term frequencies times inverse document frequencies, rows of length 1 (or 0)."""
-    rows = np.log1p(counts) * idf
-    return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
+_HASHES = WordHashes(31)
+
+
+def repetition(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Per row, in thousandths: words equal to the word before, and lines that repeat an earlier line."""
+    starts, ends, rows = word_bounds(data, offsets)
+    words = _HASHES(data, starts, ends)
+    same = np.concatenate((np.zeros(1, np.int64), np.cumsum(np.append(False, words[1:] == words[:-1])[: len(words)])))
+    out = np.zeros((len(rows) - 1, 2), np.float32)
+    for k, (a, b) in enumerate(zip(rows[:-1], rows[1:])):
+        if b - a > 1:
+            out[k, 0] = 1000 * (same[b] - same[a + 1]) // (b - a - 1)
+    breaks = np.flatnonzero(data == 10)
+    lines = _HASHES(
+        data, np.sort(np.concatenate((offsets[:-1], breaks + 1))), np.sort(np.concatenate((breaks, offsets[1:])))
+    )
+    first = np.searchsorted(breaks, offsets) + np.arange(len(offsets))
+    for k, (a, b) in enumerate(zip(first[:-1], first[1:])):
+        if b - a > 1:
+            out[k, 1] = 1000 * (b - a - len(np.unique(lines[a:b]))) // (b - a)
+    return out
+
+
+def features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Counts of n-grams, then the shares of repetition, of each row."""
+    return np.hstack((gram_counts(data, offsets, GRAM, BITS), repetition(data, offsets)))
+
+
+def term_weights(found: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """Damped term frequencies times inverse document frequencies, rows of length 1 (or 0), and style."""
+    rows = np.log1p(found[:, : len(idf)]) * idf
+    rows /= np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
+    return np.hstack((rows, found[:, len(idf) :] * np.float32(STYLE / 1000)))
 
 
 @dataclass
@@ -35,7 +66,7 @@ class QualityModel:
     """The space and the labelled vectors in it, both of bounded size."""
 
     idf: np.ndarray
-    axes: np.ndarray  # buckets x dimensions
+    axes: np.ndarray  # features x dimensions
     vectors: np.ndarray  # labelled documents x dimensions, unit length
     labels: np.ndarray
 
@@ -64,7 +95,7 @@ class QualityModel:
         for _, part, bounds in slices(data, offsets):
             for k in range(0, len(bounds) - 1, BLOCK):
                 cut = bounds[k : k + BLOCK + 1]
-                counts = gram_counts(part[cut[0] : cut[-1]], cut - cut[0], GRAM, BITS)
+                counts = features(part[cut[0] : cut[-1]], cut - cut[0])
                 found.append(self.votes(self.project(counts)))
         return np.concatenate(found) if found else np.zeros(0)
 
@@ -91,9 +122,7 @@ def train(
 
     def count(batches):
         for batch in batches:
-            counts = [
-                gram_counts(part, bounds, GRAM, BITS) for _, part, bounds in slices(*utf8(batch.column("text")))
-            ]
+            counts = [features(part, bounds) for _, part, bounds in slices(*utf8(batch.column("text")))]
             flat = [np.minimum(row, 65_535).astype(np.uint16).tobytes() for block in counts for row in block]
             yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(flat, pa.binary())], ["label", "counts"])
 
@@ -101,10 +130,10 @@ def train(
     rows = rows[: 4 * PER_LABEL]  # repeated ids
     size = 1 << BITS
     if not rows:
-        return QualityModel(np.ones(size), np.zeros((size, 1)), np.zeros((0, 1)), np.zeros(0))
+        return QualityModel(np.ones(size), np.zeros((size + 2, 1)), np.zeros((0, 1)), np.zeros(0))
     rows.sort(key=lambda r: (r.label, r.counts))
     counts = np.stack([np.frombuffer(r.counts, np.uint16) for r in rows]).astype(np.float32)
-    idf = (np.log((1 + len(rows)) / (1 + (counts > 0).sum(0))) + 1).astype(np.float32)
+    idf = (np.log((1 + len(rows)) / (1 + (counts[:, :size] > 0).sum(0))) + 1).astype(np.float32)
     weighted = term_weights(counts, idf)
     axes = leading_axes(weighted, DIMENSIONS)
     model = QualityModel(idf, axes, np.zeros((0, 1)), np.array([r.label for r in rows], np.float64))
