@@ -10,6 +10,7 @@ from siltstone.llm import language, quality
 from siltstone.llm.binary_output import read_documents, sequence_folder, write_sequences
 from siltstone.llm.common import table
 from siltstone.llm.fingerprints import edited_fingerprints
+from siltstone.llm.mixing import mixed_sizes
 from siltstone.llm.packing import packed_documents
 from siltstone.llm.simhash import near_duplicates
 from siltstone.llm.token_counts import token_counts
@@ -61,3 +62,8 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return language.identified(documents, language.train(documents))
+
+
+@query
+def op4_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed_sizes(table(spark, sf_dir, "documents"))
