@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltstone.llm import language, quality
+from siltstone.llm import chat, language, quality
 from siltstone.llm.binary_output import read_documents, sequence_folder, write_sequences
 from siltstone.llm.common import table
 from siltstone.llm.fingerprints import edited_fingerprints
@@ -67,3 +67,9 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed_sizes(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.digests(chat.formatted(turns.unionByName(chat.probe(turns))))
