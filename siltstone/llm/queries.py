@@ -11,6 +11,7 @@ from siltstone.llm.binary_output import read_documents, sequence_folder, write_s
 from siltstone.llm.common import table
 from siltstone.llm.fingerprints import edited_fingerprints
 from siltstone.llm.mixing import mixed_sizes
+from siltstone.llm.neighbours import nearest_neighbours
 from siltstone.llm.packing import packed_documents
 from siltstone.llm.simhash import near_duplicates
 from siltstone.llm.token_counts import token_counts
@@ -73,3 +74,8 @@ def op4_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return chat.digests(chat.formatted(turns.unionByName(chat.probe(turns))))
+
+
+@query
+def op5_approximate_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"), every=100, k=10)
