@@ -198,7 +198,8 @@ def with_language(docs: DataFrame, model: LanguageModel, text: str = "text") ->
     """``docs`` without the rows whose text is NULL, has no letter or is ambiguous between languages."""
     spark = ready(docs.sparkSession)
     shared = spark.sparkContext.broadcast(model)
-    at = docs.columns.index(text)
+    columns = docs.columns
+    at = columns.index(text)
 
     def keep(batches):
         m = shared.value
@@ -206,8 +207,8 @@ def with_language(docs: DataFrame, model: LanguageModel, text: str = "text") ->
             arrays = [batch.column(k) for k in range(batch.num_columns - 1)]
             letters = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False)
             good = letters & ~m.decode(m.means(*utf8(arrays[at])))[2] if m.languages else letters
-            yield pa.RecordBatch.from_arrays(arrays, names=docs.columns).filter(pa.array(good, pa.bool_()))
+            yield pa.RecordBatch.from_arrays(arrays, names=columns).filter(pa.array(good, pa.bool_()))
 
     letters = F.coalesce(F.regexp_like(name(text), F.lit(r"\p{L}")), F.lit(False))
-    own = docs.select(*(name(c) for c in docs.columns), letters.alias("letters_"))
+    own = docs.select(*(name(c) for c in columns), letters.alias("letters_"))
     return own.mapInArrow(keep, docs.schema)
