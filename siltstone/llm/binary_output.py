@@ -54,8 +54,9 @@ class SequenceWriter:
     def write(self, ids: np.ndarray, last: np.ndarray) -> None:
         self.held.append((ids.astype(self.kind), np.ones(len(ids), bool), last))
         self.n_held += len(ids)
-        if self.n_held >= BATCH_SEQUENCES * self.length:
-            self.flush(self.n_held // self.length * self.length)
+        step = BATCH_SEQUENCES * self.length  # every batch but the last is full, so places can be computed
+        if self.n_held >= step:
+            self.flush(self.n_held // step * step)
 
     def flush(self, n: int) -> None:
         held = [np.concatenate(x) for x in zip(*self.held)]

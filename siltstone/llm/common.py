@@ -11,6 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from siltstone.session import shared_folder
 
@@ -60,6 +61,16 @@ def type_of(df: DataFrame, column: str) -> str:
     return df.schema[column].dataType.simpleString()
 
 
+def map_rows(df: DataFrame, function, names: list[str], types: StructType | None = None) -> DataFrame:
+    """``df.mapInArrow`` for columns of any names: inside they are c0, c1, and so on.
+
+    ``names`` are those of the result, ``types`` its types where they are not the first of ``df``.
+    """
+    types = types or StructType(df.schema.fields[: len(names)])
+    inside = StructType([StructField(f"c{k}", f.dataType) for k, f in enumerate(types.fields)])
+    return df.toDF(*(f"c{k}" for k in range(len(df.columns)))).mapInArrow(function, inside).toDF(*names)
+
+
 def held_out(key: Column) -> Column:
     """Whether crc32 of the key as text is divisible by five."""
     return F.coalesce(F.crc32(F.encode(key.cast("string"), "UTF-8")) % 5 == 0, F.lit(False))

@@ -154,7 +154,7 @@ def beside_next(docs: DataFrame, doc_id: str, text: str, buckets: int) -> DataFr
     own = docs.select(name(doc_id).alias("id"), F.coalesce(name(text), F.lit("")).alias("text"))
     ids = own.select(F.col("id").cast("double").alias("id")).where("id is not null")
     cuts = sorted(set(ids.approxQuantile("id", [k / buckets for k in range(1, buckets)], 0.25 / buckets)))
-    splits = [-np.inf, *cuts, np.inf]
+    splits = [-np.inf, *(cuts or [0.0]), np.inf]
     own = own.withColumn("at_", F.col("id").cast("double"))
     own = Bucketizer(splits=splits, inputCol="at_", outputCol="b_", handleInvalid="keep").transform(own)
     # Buckets count downwards, so that ascending buckets are descending ids; NULL ids are the last one.

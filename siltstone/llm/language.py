@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import held_out, name, ready, slices, type_of, utf8
+from siltstone.llm.common import held_out, map_rows, name, ready, slices, type_of, utf8
 from siltstone.llm.grams import LETTERS, gram_index, gram_ranges
 
 #: Byte n-grams and the number of buckets they are hashed to, as a power of two.
@@ -207,8 +207,8 @@ def with_language(docs: DataFrame, model: LanguageModel, text: str = "text") ->
             arrays = [batch.column(k) for k in range(batch.num_columns - 1)]
             letters = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False)
             good = letters & ~m.decode(m.means(*utf8(arrays[at])))[2] if m.languages else letters
-            yield pa.RecordBatch.from_arrays(arrays, names=columns).filter(pa.array(good, pa.bool_()))
+            yield pa.RecordBatch.from_arrays(arrays, [f"c{k}" for k in range(len(arrays))]).filter(pa.array(good))
 
     letters = F.coalesce(F.regexp_like(name(text), F.lit(r"\p{L}")), F.lit(False))
     own = docs.select(*(name(c) for c in columns), letters.alias("letters_"))
-    return own.mapInArrow(keep, docs.schema)
+    return map_rows(own, keep, columns)

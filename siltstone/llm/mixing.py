@@ -56,7 +56,7 @@ def uniform(*parts: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*parts), 11) / F.lit(float(2**53))
 
 
-def fold(items: Column) -> Column:
+def fold(items: Column, id_type: str) -> Column:
     """Round the fractions of a node's items, two at a time.
 
     ``items``: structs (s, p, u, key): size, fraction strictly between 0 and 1, random number, row. The
@@ -65,7 +65,7 @@ def fold(items: Column) -> Column:
     (c, open, done): the open item, whether it is still open, and (key, bit) of all others.
     """
     first = F.get(items, F.lit(0))
-    done_type = "array<struct<key:struct<id:{0},sig:bigint,dup:int>,bit:int>>"
+    none = F.array().cast(f"array<struct<key:struct<id:{id_type},sig:bigint,dup:int>,bit:int>>")
 
     def settle(acc: Column, x: Column) -> Column:
         c = acc.c
@@ -94,21 +94,17 @@ def fold(items: Column) -> Column:
         started = F.struct(x.alias("c"), F.lit(True).alias("open"), acc.done.alias("done"))
         return F.when(acc.open, met).otherwise(started)
 
-    return first, settle, done_type
+    start = F.struct(first.alias("c"), F.lit(True).alias("open"), none.alias("done"))
+    return F.aggregate(F.slice(items, 2, NODE_MOST), start, settle)
 
 
 def node_results(items: DataFrame, id_type: str) -> DataFrame:
     """One row per node (source, node): its rounded items and, if one is still open, that item."""
-    column = F.col("items")
-    first, settle, done_type = fold(column)
-    empty = F.array().cast(done_type.format(id_type))
-    start = F.struct(first.alias("c"), F.lit(True).alias("open"), empty.alias("done"))
     grouped = items.groupBy("source", "node", "sub").agg(
         # The largest first: the item that is left open tends to be a small one.
         F.sort_array(F.collect_list(F.struct("s", "p", "u", "key")), asc=False).alias("items")
     )
-    folded = F.aggregate(F.slice(column, 2, NODE_MOST), start, settle)
-    return grouped.select("source", "node", folded.alias("r"))
+    return grouped.select("source", "node", fold(F.col("items"), id_type).alias("r"))
 
 
 def with_sub_nodes(items: DataFrame) -> DataFrame:

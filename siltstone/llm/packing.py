@@ -9,8 +9,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from siltstone.llm.common import name, ready, settled, type_of, utf8
+from siltstone.llm.common import map_rows, name, ready, settled, type_of, utf8
 from siltstone.llm.tokens import encoder
 
 
@@ -187,14 +188,14 @@ def packed(items: DataFrame, size: str = "length", capacity: int = 2048) -> Data
     def place(batches):
         for batch in batches:
             sizes = batch.column(columns.index(size)).to_numpy(zero_copy_only=False).astype(np.int64)
-            bins, offsets = placed(tables.value, sizes, batch.column("rank_").to_numpy())
+            bins, offsets = placed(tables.value, sizes, batch.column(len(columns)).to_numpy())
             arrays = [batch.column(k) for k in range(len(columns))]
-            yield pa.RecordBatch.from_arrays(
-                [*arrays, pa.array(bins), pa.array(offsets)], [*columns, "sequence_id", "offset"]
-            )
+            arrays += [pa.array(bins), pa.array(offsets)]
+            yield pa.RecordBatch.from_arrays(arrays, [f"c{k}" for k in range(len(arrays))])
 
-    schema = items.schema.add("sequence_id", "long").add("offset", "long")
-    return ranked.mapInArrow(place, schema)
+    places = StructType([StructField("sequence_id", LongType()), StructField("offset", LongType())])
+    types = StructType([*items.schema.fields, *places.fields])
+    return map_rows(ranked, place, types.names, types)
 
 
 def packed_documents(docs: DataFrame, tokenizer: str, end: int, capacity: int = 2048) -> DataFrame:

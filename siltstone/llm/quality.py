@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import WordHashes, held_out, name, ready, slices, type_of, utf8, word_bounds
+from siltstone.llm.common import WordHashes, held_out, map_rows, name, ready, slices, type_of, utf8, word_bounds
 from siltstone.llm.grams import gram_counts
 
 #: Byte n-grams, case and signs included, and the number of buckets as a power of two.
@@ -186,4 +186,4 @@ def good_only(docs: DataFrame, model: QualityModel, text: str = "text") -> DataF
             good = shared.value.scores(*utf8(batch.column(at))) >= GOOD
             yield batch.filter(pa.array(good, pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return map_rows(docs, keep, docs.columns)
