@@ -81,15 +81,22 @@ def mean_weights(weights: np.ndarray, data: np.ndarray, offsets: np.ndarray) ->
 
 
 def training_rows(docs: DataFrame, doc_id: str, text: str, lang: str) -> DataFrame:
-    """(lang, text) of at most PER_LANGUAGE documents per language, none of them held out."""
+    """(lang, text) of at most PER_LANGUAGE documents per language, none of them held out.
+
+    A threshold on the hash, from the number of documents of the language, leaves about three times as
+    many as are wanted; only those are ranked, so no language gathers in one task.
+    """
     own = docs.select(
         name(lang).cast("string").alias("lang"),
         name(text).alias("text"),
         F.xxhash64(name(doc_id), name(text)).alias("h"),
         held_out(name(doc_id)).alias("out"),
     ).where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~F.col("out"))
-    first = Window.partitionBy("lang").orderBy("h")
-    return own.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= PER_LANGUAGE).select("lang", "text")
+    counts = own.groupBy(F.col("lang").alias("lang_")).agg(F.count("*").alias("n"))
+    chance = F.shiftrightunsigned("h", 11) / F.lit(float(2**53))
+    few = own.join(counts, F.col("lang") == F.col("lang_")).where(chance * F.col("n") < 3 * PER_LANGUAGE)
+    first = Window.partitionBy("lang").orderBy("h", "text")
+    return few.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= PER_LANGUAGE).select("lang", "text")
 
 
 def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> LanguageModel:
