@@ -17,5 +17,6 @@ def is_required(value: Column | str) -> Column:
 
 
 def is_positive(value: Column | str) -> Column:
+    """A number above zero; text that is no number is none. On DOUBLE columns the cast falls away."""
     value = _col(value)
-    return value.isNotNull() & (value > 0)
+    return value.isNotNull() & (value.try_cast("double") > 0)

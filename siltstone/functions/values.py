@@ -22,13 +22,17 @@ def as_long(value: Column | str) -> Column:
 
 
 def id_from_text(value: Column | str) -> Column:
-    """BIGINT from a text id, or NULL.
+    """BIGINT from an id that arrives as text or as any number, or NULL.
 
-    A failed ``try_cast`` costs as much as an exception, so text that cannot be a whole number is
-    sorted out by its shape first; what remains may still be too large and become NULL.
+    JSON inference makes a column DOUBLE as soon as one id is written ``39.0``; numbers are cast as they
+    are. A failed ``try_cast`` costs as much as an exception, so text that cannot be a whole number is
+    sorted out by its shape first; what remains may still be too large and become NULL. The type is
+    known when the query is planned, so only one of the two branches remains.
     """
-    text = _col(value)
-    return F.when(text.rlike(WHOLE_NUMBER), text.try_cast("long"))
+    given = _col(value)
+    is_text = F.typeof(given) == "string"
+    text = given.cast("string")
+    return F.when(~is_text, given.try_cast("long")).when(text.rlike(WHOLE_NUMBER), text.try_cast("long"))
 
 
 def as_integer(value: Column | str) -> Column:

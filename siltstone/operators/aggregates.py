@@ -16,6 +16,7 @@ def play_rollup(
     distinct: Mapping[str, str],
     first_as: str,
     last_as: str,
+    time: str = "ts",
     extra: Sequence[Column] = (),
 ) -> DataFrame:
     """Row count, exact distinct counts (``{output: column}``) and time span per key.
@@ -26,8 +27,8 @@ def play_rollup(
     return plays.groupBy(*keys).agg(
         F.count("*").alias(plays_as),
         *(F.countDistinct(column).alias(name) for name, column in distinct.items()),
-        F.min("ts").alias(first_as),
-        F.max("ts").alias(last_as),
+        F.min(time).alias(first_as),
+        F.max(time).alias(last_as),
         *extra,
     )
 

@@ -13,20 +13,24 @@ from siltstone.sources import (
     normalise_columns,
     read_landing,
     rename_columns,
-    replace_partitions,
+    replace_partition,
     stamp_interval,
+    widen_columns,
 )
 from siltstone.sources.landing import INTERVAL
+from siltstone.sources.types import fitted
 
 
 def ingest(
-    spark: SparkSession, path: str, table: str, interval: str, schema: StructType | None = None
+    spark: SparkSession, path: str, table: str, interval: str, schema: StructType | None = None, **options: str
 ) -> bool:
     """Loads the batch and reports whether there was anything to load.
 
     The write needs no shuffle: a batch is one partition. Loading it again replaces that partition.
+    A batch whose numbers do not fit their columns widens them, which rewrites the table; one that
+    cannot be stored unchanged is refused. ``options`` go to the reader.
     """
-    landed = read_landing(spark, path, schema)
+    landed = read_landing(spark, path, schema, **options)
     if not has_input(landed):
         return False
     normalised = normalise_columns(landed)
@@ -36,6 +40,9 @@ def ingest(
         create_table(batch, table, [INTERVAL])
         return True
     rename_columns(spark, table, dict(zip(landed.columns, normalised.columns)))
+    batch, wider = fitted(batch, spark.table(table), table, widen=True)
+    if wider:
+        widen_columns(spark, table, wider)
     add_missing_columns(batch, table)
-    replace_partitions(batch, table)
+    replace_partition(batch, table, {INTERVAL: interval})
     return True

@@ -127,8 +127,12 @@ def replace_gold(
     namespace: str,
     tables: Sequence[str] = tuple(GOLD_KEYS),
 ) -> None:
-    """Replaces gold tables by a fresh snapshot each."""
+    """Replaces gold tables by a fresh snapshot each, once the snapshot's keys are known to be unique."""
     for table in tables:
         snapshot = build_gold(spark, table, silver_namespace)
         finish_replacement(spark, f"{namespace}.{table}")
-        replace_table(snapshot, f"{namespace}.{table}")
+
+        def check(rows: DataFrame, name: str = table) -> None:
+            enforce(keys_unique(rows, GOLD_KEYS[name]), f"{namespace}.{name} keys are unique")
+
+        replace_table(snapshot, f"{namespace}.{table}", check=check)

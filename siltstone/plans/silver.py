@@ -83,7 +83,7 @@ def song_versions(catalogue: DataFrame, interval: str) -> DataFrame:
     timed = in_interval(catalogue, interval).where(
         is_required("song_id") & is_positive("duration")
     )
-    versions = timed.select("song_id", F.col("duration").cast("double").alias("duration")).distinct()
+    versions = timed.select("song_id", F.col("duration").try_cast("double").alias("duration")).distinct()
     return versions.select(
         version_key("song_id", "duration").alias("version_id"), "song_id", "duration"
     )
@@ -147,7 +147,7 @@ def plays(logs: DataFrame, interval: str) -> DataFrame:
         as_integer("item_in_session").alias("item_in_session"),
         F.col("song").alias("played_title"),
         F.col("artist").alias("played_artist"),
-        F.col("length").cast("double").alias("length"),
+        F.col("length").try_cast("double").alias("length"),
         "level",
         "location",
         "user_agent",

@@ -14,6 +14,10 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # A join is split at a hot key even if what follows needs the key gathered again.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Fixed for the session, so that writers in several threads cannot change it for each other.
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 

@@ -15,8 +15,11 @@ from siltstone.sources.writers import (
     create_table,
     finish_replacement,
     rename_columns,
+    replace_partition,
     replace_partitions,
     replace_table,
+    wanted_renames,
+    widen_columns,
 )
 from siltstone.sources.upsert import merge_rows, upsert
 
@@ -33,6 +36,7 @@ __all__ = [
     "partition_columns",
     "read_landing",
     "rename_columns",
+    "replace_partition",
     "replace_partitions",
     "replace_table",
     "scan",
@@ -41,4 +45,6 @@ __all__ = [
     "stamp_interval",
     "up_to_interval",
     "upsert",
+    "wanted_renames",
+    "widen_columns",
 ]

@@ -15,13 +15,17 @@ CAPITALISED_WORD = r"(.)([A-Z][a-z]+)"
 LOWER_TO_UPPER = r"([a-z0-9])([A-Z])"
 
 
-def read_landing(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """One JSON object per line. A given schema saves the pass that infers it.
+def read_landing(
+    spark: SparkSession, path: str, schema: StructType | None = None, **options: str
+) -> DataFrame:
+    """One JSON object per line, unless reader options such as ``multiLine`` say otherwise.
+
+    A given schema saves the pass that infers it.
 
     A missing path is an error. Malformed lines are kept, in ``_corrupt_record``.
     """
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.json(path)
+    return reader.options(**options).json(path)
 
 
 def has_input(df: DataFrame) -> bool:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -37,10 +38,15 @@ def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [column.name for column in spark.catalog.listColumns(table) if column.isPartition]
 
 
+def side_name(table: str, mark: str) -> str:
+    """A name next to ``table`` that no other run uses; later names of one mark sort behind earlier ones."""
+    return f"{table}{mark}{time.time_ns():016x}_{uuid.uuid4().hex[:8]}"
+
+
 @contextmanager
 def staged_view(df: DataFrame, label: str) -> Iterator[str]:
     """Registers the DataFrame under a name of its own, so parallel runs cannot collide."""
-    name = f"stg_{label}_{uuid.uuid4().hex[:8]}"
+    name = side_name(label, "__view_")
     df.createOrReplaceTempView(name)
     try:
         yield name

@@ -4,59 +4,76 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_, or_
+from operator import and_
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from siltstone.operators.rows import drop_duplicate_keys
-from siltstone.sources.tables import partition_columns
+from siltstone.sources.tables import partition_columns, side_name
+from siltstone.sources.types import fitted
 from siltstone.sources.writers import (
     STAGED,
     add_missing_columns,
     clustered,
     create_table,
+    literal,
     quoted,
     replace_partitions,
     replace_table,
-    side_name,
 )
 
 
 def merge_rows(
-    target: DataFrame, staged: DataFrame, keys: Sequence[str], cluster_by: Sequence[str] = ()
+    target: DataFrame, staged: DataFrame, keys: Sequence[str], partition_by: Sequence[str] = ()
 ) -> DataFrame:
     """Target rows after the upsert: matched ones take all staged values, also NULLs.
 
     Target-only columns keep their value. A NULL key matches nothing, so such target rows stay and
-    such staged rows are inserted. Staged keys must be unique. Both joins have the staged side,
-    usually one interval, as the side that can be broadcast, so a large target need not shuffle.
-    ``cluster_by`` gathers the staged rows only, as untouched ones already lie by partition.
+    such staged rows are inserted. Staged keys must be unique; of repeated target keys every row is
+    updated and kept, within one partition: a second partition with the same key is what a stopped run
+    left of a row that moved. The joins have the staged side, usually one interval, as the side that can
+    be broadcast, so a large target need not shuffle. Only the staged rows are clustered by
+    ``partition_by``, as untouched ones already lie by partition.
     """
     keys = list(keys)
     staged_keys = staged.select(*keys)
     untouched = target.join(staged_keys, keys, "left_anti")
     kept = [name for name in target.columns if name not in staged.columns]
-    if kept:
-        matched = target.join(staged_keys, keys, "left_semi").select(*keys, *kept)
-        staged = staged.join(drop_duplicate_keys(matched, keys), keys, "left")
-    arriving = clustered(staged.select(*target.columns), cluster_by)
+    matched = target.join(staged_keys, keys, "left_semi")
+    if partition_by:
+        one_place = Window.partitionBy(*keys).orderBy(*(F.col(quoted(c)) for c in partition_by))
+        matched = matched.withColumn("place_", F.dense_rank().over(one_place)).where("place_ = 1")
+    arriving = staged.join(matched.select(*keys, *kept), keys, "left")
+    arriving = clustered(arriving.select(*target.columns), partition_by)
     return untouched.select(*target.columns).unionByName(arriving)
 
 
+def refuse_repeated_keys(staged: DataFrame, keys: Sequence[str], table: str) -> None:
+    """A key that arrives twice has no one right row; keys with a NULL match nothing and may repeat."""
+    named = staged.dropna(subset=list(keys)).groupBy(*keys).count()
+    repeated = named.where("count > 1").limit(1).collect()
+    if repeated:
+        raise ValueError(f"{table}: the staged rows repeat a key, such as {repeated[0].asDict()}")
+
+
 def upsert(staged: DataFrame, table: str, keys: Sequence[str]) -> None:
-    """Merges into an existing table; columns new in ``staged`` are added to it first."""
+    """Merges into an existing table; columns new in ``staged`` are added to it first.
+
+    The table keeps its types: staged values that do not fit them are refused by column.
+    """
     spark = staged.sparkSession
-    add_missing_columns(staged, table)
-    partition_by = partition_columns(spark, table)
     # Written once: it is read several times below, and must not differ between reads.
     holding = side_name(table, STAGED)
     create_table(staged, holding)
     try:
+        held, _ = fitted(spark.table(holding), spark.table(table), table, widen=False)
+        refuse_repeated_keys(held, keys, table)
+        add_missing_columns(held, table)
+        partition_by = partition_columns(spark, table)
         if partition_by:
-            _upsert_partitions(spark, table, spark.table(holding), keys, partition_by)
+            _upsert_partitions(spark, table, held, keys, partition_by)
         else:
-            replace_table(merge_rows(spark.table(table), spark.table(holding), keys), table)
+            replace_table(merge_rows(spark.table(table), held, keys), table)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {holding}")
 
@@ -70,45 +87,49 @@ def _upsert_partitions(
 ) -> None:
     """Rewrites only partitions that hold a matched row or receive a staged one.
 
-    Keys match across all partitions, so a row can move. Only partition values reach the driver.
+    Keys match across all partitions, so a row can move. The touched partitions are a small table; only
+    values of the leading partition column, for pruning, and partitions left empty reach the driver.
     """
     target = spark.table(table)
     staged_keys = staged.select(*keys)
     wanted = list(dict.fromkeys([*keys, *partition_by]))
     left_from = target.select(*wanted).join(staged_keys, list(keys), "left_semi")
-    sources = set(left_from.select(*partition_by).distinct().collect())
-    arrivals = set(staged.select(*partition_by).distinct().collect())
-
-    vacated = sources - arrivals
-    emptied: set[Row] = set()
-    if vacated:
-        rest = target.where(_in_partitions(vacated)).join(staged_keys, list(keys), "left_anti")
-        emptied = vacated - set(rest.select(*partition_by).distinct().collect())
-
-    touched = sources | arrivals
-    if touched:
-        affected = target.where(_in_partitions(touched))
-        replace_partitions(merge_rows(affected, staged, keys, partition_by), table)
-    # Last, so that a run that stops here is repaired by running it again.
-    for place in emptied:
-        spec = ", ".join(f"{quoted(n)} = {_literal(v)}" for n, v in place.asDict().items())
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
-
-
-def _in_partitions(places: set[Row]) -> Column:
-    def same(place: Row) -> Column:
-        return reduce(and_, (F.col(quoted(n)).eqNullSafe(v) for n, v in place.asDict().items()))
-
-    columns = list(next(iter(places)).asDict())
-    if len(columns) > 1:
-        return reduce(or_, (same(place) for place in places))
-    values = [place[0] for place in places]
-    condition = F.col(quoted(columns[0])).isin([v for v in values if v is not None])
-    return condition | F.col(quoted(columns[0])).isNull() if None in values else condition
-
-
-def _literal(value: object) -> str:
-    if value is None:
-        return "NULL"
-    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
-    return f"'{text}'"
+    sources = left_from.select(*partition_by).distinct()
+    arrivals = staged.select(*partition_by).distinct()
+    places_table = side_name(table, STAGED)
+    marked = sources.withColumn("arrives_", F.lit(0)).union(arrivals.withColumn("arrives_", F.lit(1)))
+    marked = marked.groupBy(*partition_by).agg(F.max("arrives_").alias("arrives_"))
+    create_table(marked, places_table)
+    try:
+        places = spark.table(places_table)
+        vacated = places.where("arrives_ = 0").drop("arrives_")
+        emptied = []
+        if not vacated.isEmpty():
+            rest = in_places(target, vacated, partition_by).join(staged_keys, list(keys), "left_anti")
+            emptied = vacated.subtract(rest.select(*partition_by)).collect()
+        if not places.isEmpty():
+            affected = in_places(target, places, partition_by)
+            replace_partitions(merge_rows(affected, staged, keys, partition_by), table)
+        # Last, so that a run that stops here is repaired by running it again.
+        if emptied:
+            specs = (
+                "PARTITION (" + ", ".join(f"{quoted(n)} = {literal(v)}" for n, v in place.asDict().items()) + ")"
+                for place in emptied
+            )
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(specs)}")
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {places_table}")
+
+
+def in_places(target: DataFrame, places: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows of the target in the given partitions; the leading column prunes, a join decides."""
+    lead = quoted(partition_by[0])
+    values = [row[0] for row in places.select(lead).distinct().collect()]
+    pruned = F.col(lead).isin([v for v in values if v is not None])
+    if None in values:
+        pruned = pruned | F.col(lead).isNull()
+    if len(partition_by) == 1:
+        return target.where(pruned)
+    named = places.select(*(F.col(quoted(c)).alias(f"place_{k}") for k, c in enumerate(partition_by)))
+    same: list[Column] = [F.col(quoted(c)).eqNullSafe(F.col(f"place_{k}")) for k, c in enumerate(partition_by)]
+    return target.where(pruned).join(named, reduce(and_, same), "left_semi")

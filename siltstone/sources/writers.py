@@ -2,28 +2,30 @@
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
-from siltstone.session import session_setting
-from siltstone.sources.tables import partition_columns
+from siltstone.sources.tables import partition_columns, side_name, staged_view
 
 FORMAT = "parquet"
 COMPRESSION = "snappy"
 NEXT = "__next_"
 STAGED = "__staged_"
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
 def quoted(name: str) -> str:
     return f"`{name.replace('`', '``')}`"
 
 
-def side_name(table: str, mark: str) -> str:
-    """A table name next to ``table``: its folder is the shared warehouse."""
-    return f"{table}{mark}{uuid.uuid4().hex[:8]}"
+def literal(value: object) -> str:
+    if value is None:
+        return "NULL"
+    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{text}'"
 
 
 def clustered(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -57,22 +59,48 @@ def in_table_order(df: DataFrame, target: DataFrame) -> DataFrame:
 
 
 def replace_partitions(df: DataFrame, table: str) -> None:
-    """Overwrites exactly the partitions that occur in ``df``; running it again changes nothing."""
+    """Overwrites exactly the partitions that occur in ``df``; running it again changes nothing.
+
+    Refused where the session would replace the whole table. The mode is never changed here: another
+    writer of the session may rely on it.
+    """
     spark = df.sparkSession
-    ordered = in_table_order(df, spark.table(table))
-    with session_setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
-        ordered.write.insertInto(table, overwrite=True)
+    if spark.conf.get(OVERWRITE_MODE).lower() != "dynamic":
+        raise RuntimeError(f"set {OVERWRITE_MODE} to dynamic (see siltstone.session.SESSION_SETTINGS)")
+    in_table_order(df, spark.table(table)).write.insertInto(table, overwrite=True)
 
 
-def replace_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
+def replace_partition(df: DataFrame, table: str, place: Mapping[str, object]) -> None:
+    """Overwrites one partition, named in full, whatever the overwrite mode of the session."""
+    spark = df.sparkSession
+    target = spark.table(table)
+    rows = in_table_order(df, target.select(*(quoted(n) for n in target.columns if n not in place)))
+    with staged_view(rows, "partition") as view:
+        spec = ", ".join(f"{quoted(n)} = {literal(v)}" for n, v in place.items())
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({spec}) SELECT * FROM {view}")
+
+
+def replace_table(
+    df: DataFrame,
+    table: str,
+    partition_by: Sequence[str] = (),
+    check: Callable[[DataFrame], None] | None = None,
+) -> None:
     """New content and schema for the whole table.
 
     The rows are written once, to a table beside the old one, which stays readable until the new
-    one is complete and takes its name. ``df`` may read the old table.
+    one is complete and takes its name. ``df`` may read the old table. A ``check`` that raises on the
+    new rows leaves the old table in place.
     """
     spark = df.sparkSession
     replacement = side_name(table, NEXT)
     create_table(df, replacement, partition_by)
+    if check:
+        try:
+            check(spark.table(replacement))
+        except Exception:
+            spark.sql(f"DROP TABLE IF EXISTS {replacement}")
+            raise
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     _take_name(spark, replacement, table)
 
@@ -85,21 +113,20 @@ def _take_name(spark: SparkSession, replacement: str, table: str) -> None:
 
 
 def finish_replacement(spark: SparkSession, table: str) -> None:
-    """Settles what a stopped run left beside ``table``.
+    """Finishes a replacement that stopped between dropping the old table and taking its name.
 
-    A side table is in the catalog only once it is complete, so a replacement takes the name if the
-    old table is gone already, and is dropped if the old table still stands.
+    A side table is in the catalog only once it is complete; the latest one takes the name. Where the
+    table stands nothing is touched: side tables may belong to runs in progress.
     """
+    if spark.catalog.tableExists(table):
+        return
     namespace, _, name = table.rpartition(".")
     place = f" IN {namespace}" if namespace else ""
     listed = spark.sql(f"SHOW TABLES{place} LIKE '{name}__*'").where("NOT isTemporary").collect()
     prefix = f"{namespace}." if namespace else ""
-    left = sorted(row.tableName for row in listed)
-    waiting = [other for other in left if other.startswith(name.lower() + NEXT)]
-    if waiting and not spark.catalog.tableExists(table):
-        _take_name(spark, prefix + waiting.pop(0), table)
-    for other in waiting + [other for other in left if other.startswith(name.lower() + STAGED)]:
-        spark.sql(f"DROP TABLE {prefix}{other}")
+    waiting = sorted(r.tableName for r in listed if r.tableName.startswith(name.lower() + NEXT))
+    if waiting:
+        _take_name(spark, prefix + waiting[-1], table)
 
 
 def add_missing_columns(df: DataFrame, table: str) -> list[str]:
@@ -113,19 +140,34 @@ def add_missing_columns(df: DataFrame, table: str) -> list[str]:
     return added
 
 
+def wanted_renames(columns: Sequence[str], names: Mapping[str, str]) -> dict[str, str]:
+    """The renames that apply to ``columns``: the old name is there and the new one is free.
+
+    A name is free if no column has it. Of several old names for one new name the first in column order
+    takes it; the others keep theirs, as does a column whose new name is taken.
+    """
+    present = set(columns)
+    claims: dict[str, str] = {}
+    for old in columns:
+        claims.setdefault(names.get(old, old), old)
+    return {old: new for new, old in claims.items() if new not in present}
+
+
 def rename_columns(spark: SparkSession, table: str, names: Mapping[str, str]) -> dict[str, str]:
-    """Renames those columns that exist, unless the new name is taken; returns what it renamed.
+    """Renames the columns that ``wanted_renames`` names; returns what it renamed.
 
     Parquet catalog tables have no RENAME COLUMN, so the table is rewritten, and only when needed.
     """
     current = spark.table(table)
-    taken = set(current.columns)
-    renamed: dict[str, str] = {}
-    for old, new in names.items():
-        if old != new and old in taken and new not in taken:
-            renamed[old] = new
-            taken = (taken - {old}) | {new}
-    if renamed:
-        partition_by = [renamed.get(name, name) for name in partition_columns(spark, table)]
-        replace_table(current.withColumnsRenamed(renamed), table, partition_by)
-    return renamed
+    renames = wanted_renames(current.columns, names)
+    if renames:
+        renamed = current.select(*(F.col(quoted(c)).alias(renames.get(c, c)) for c in current.columns))
+        replace_table(renamed, table, [renames.get(c, c) for c in partition_columns(spark, table)])
+    return renames
+
+
+def widen_columns(spark: SparkSession, table: str, kinds: Mapping[str, DataType]) -> None:
+    """Rewrites the table with wider types for some columns."""
+    current = spark.table(table)
+    wider = current.withColumns({name: F.col(quoted(name)).cast(kind) for name, kind in kinds.items()})
+    replace_table(wider, table, partition_columns(spark, table))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.plans import silver
-from siltstone.sources import stamp_interval
+from siltstone.sources import clustered, create_table, stamp_interval
 from siltstone.workload.scratch import new_namespace
 
 # One batch label for feeds that are loaded whole.
@@ -21,14 +21,19 @@ PLAY_LOG_COLUMNS = (
     "l_orderkey AS session_id",
     "l_linenumber AS item_in_session",
     "unix_millis(timestamp(l_shipdate)) + l_linenumber * 60000 AS ts",
-    "if(l_returnflag = 'N', 'Home', 'NextSong') AS page",
-    "if(o_orderstatus = 'P', 'Logged Out', 'Logged In') AS auth",
+    """CASE WHEN l_returnflag <> 'N' THEN 'NextSong' WHEN l_linenumber = 2 THEN 'Submit Upgrade'
+       WHEN l_linenumber = 3 THEN 'Submit Downgrade' ELSE 'Home' END AS page""",
+    "if(o_orderstatus = 'P' OR o_custkey % 11 = 0, 'Logged Out', 'Logged In') AS auth",
     "if(l_discount >= 0.05D, 'paid', 'free') AS level",
     "p_name AS song",
     "p_brand AS artist",
     f"{PLAY_LENGTH} AS length",
     "concat('Supplier ', l_suppkey) AS location",
     "l_linestatus AS user_agent",
+    "c_name AS first_name",
+    "c_mktsegment AS last_name",
+    "if(c_acctbal > 0, 'F', 'M') AS gender",
+    "o_custkey * 86400000 + 1672531200001 AS registration",
     "date_format(l_shipdate, 'yyyy-MM') AS data_interval",
 )
 
@@ -92,11 +97,15 @@ class Feeds:
 
     @cached_property
     def play_logs(self) -> DataFrame:
-        """Listening log: one row per order line, monthly intervals; pending orders are guests."""
+        """Listening log: one row per order line, monthly intervals, with attributes of the customer.
+
+        Pending orders are guests; every eleventh customer plays, but is never signed in.
+        """
         return (
             self.table("lineitem")
             .join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
             .join(self.table("part"), F.col("l_partkey") == F.col("p_partkey"))
+            .join(self.table("customer"), F.col("o_custkey") == F.col("c_custkey"))
             .selectExpr(*PLAY_LOG_COLUMNS)
         )
 
@@ -121,17 +130,19 @@ class Feeds:
         return stamp_interval(self.play_logs, BATCH)
 
     @cached_property
-    def user_batch(self) -> DataFrame:
-        """The whole user log as one batch."""
-        return stamp_interval(self.user_logs, BATCH)
+    def user_log_table(self) -> DataFrame:
+        """The user log as a table partitioned by interval."""
+        namespace, _ = self.scratch()
+        create_table(clustered(self.user_logs, ["data_interval"]), f"{namespace}.user_log", ["data_interval"])
+        return self.spark.table(f"{namespace}.user_log")
 
     @cached_property
     def users(self) -> DataFrame:
-        return silver.users(self.user_batch, BATCH)
+        return silver.users(self.play_batch, BATCH)
 
     @cached_property
     def user_levels(self) -> DataFrame:
-        return silver.user_levels(self.user_batch, BATCH)
+        return silver.user_levels(self.play_batch, BATCH)
 
     @cached_property
     def artists(self) -> DataFrame:

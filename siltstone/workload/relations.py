@@ -70,10 +70,18 @@ def filter_in_list(feeds: Feeds) -> DataFrame:
     return events.where(F.col("event_type").isin("purchase", "error"))
 
 
-@query("filter_positive", "SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal > 0")
+@query(
+    "filter_positive",
+    """
+    SELECT c_custkey, c_acctbal, c_custkey % 7 <> 0 AS positive_text
+    FROM customer WHERE c_acctbal > 0
+    """,
+)
 def filter_positive(feeds: Feeds) -> DataFrame:
-    customers = feeds.table("customer").select("c_custkey", "c_acctbal")
-    return customers.where(is_positive("c_acctbal"))
+    """On numbers, and on text of which some is no number."""
+    customers = feeds.table("customer").select("c_custkey", "c_acctbal").where(is_positive("c_acctbal"))
+    text = F.when(F.col("c_custkey") % 7 == 0, "n/a").otherwise(F.col("c_acctbal").cast("string"))
+    return customers.withColumn("positive_text", F.coalesce(is_positive(text), F.lit(False)))
 
 
 @query(

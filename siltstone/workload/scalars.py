@@ -98,6 +98,7 @@ def duration_seconds(feeds: Feeds) -> DataFrame:
         """
         SELECT first_name, TRY_CAST(user_id AS BIGINT) AS user_id,
                TRY_CAST(level AS BIGINT) AS level_id,
+               TRY_CAST(TRY_CAST(user_id AS DOUBLE) AS BIGINT) AS number_id,
                TRY_CAST(substr(first_name, 2) AS INTEGER) AS event_number,
                TRY_CAST(substr(last_name, 2) AS BIGINT) AS log_user,
                CAST(registration AS DOUBLE) AS registration, CAST(ts AS VARCHAR) AS ts
@@ -107,13 +108,14 @@ def duration_seconds(feeds: Feeds) -> DataFrame:
     ),
 )
 def typed_casts(feeds: Feeds) -> DataFrame:
-    """Text that is no number (an empty id, a level) becomes NULL."""
+    """Text that is no number (an empty id, a level) becomes NULL; ids may also arrive as DOUBLE."""
     return feeds.user_logs.select(
         "first_name",
         id_from_text("user_id").alias("user_id"),
         id_from_text("level").alias("level_id"),
-        as_integer(F.substring("first_name", 2, 20)).alias("event_number"),
-        as_long(F.substring("last_name", 2, 20)).alias("log_user"),
+        id_from_text(F.col("user_id").try_cast("double")).alias("number_id"),
+        as_integer(F.substr(F.col("first_name"), F.lit(2))).alias("event_number"),
+        as_long(F.substr(F.col("last_name"), F.lit(2))).alias("log_user"),
         F.col("registration").cast("double").alias("registration"),
         F.col("ts").cast("string").alias("ts"),
     )

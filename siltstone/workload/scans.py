@@ -87,7 +87,7 @@ def catalog_scan(feeds: Feeds) -> DataFrame:
     ),
 )
 def interval_scan(feeds: Feeds) -> DataFrame:
-    logs = feeds.user_logs.select("user_id", "ts", "page", "data_interval")
+    logs = feeds.user_log_table.select("user_id", "ts", "page", "data_interval")
     return in_interval(logs, "2024-01-15")
 
 
@@ -99,7 +99,7 @@ def interval_scan(feeds: Feeds) -> DataFrame:
     ),
 )
 def cumulative_interval_scan(feeds: Feeds) -> DataFrame:
-    logs = feeds.user_logs.select("user_id", "ts", "page", "data_interval")
+    logs = feeds.user_log_table.select("user_id", "ts", "page", "data_interval")
     return up_to_interval(logs, "2024-01-15")
 
 
@@ -118,7 +118,7 @@ def parameterised_query(feeds: Feeds) -> DataFrame:
     return feeds.spark.sql(
         "SELECT user_id, ts, level FROM {logs} WHERE data_interval = :interval AND page = :page",
         args={"interval": "2024-01-15", "page": UPGRADE_PAGE},
-        logs=feeds.user_logs,
+        logs=feeds.user_log_table,
     )
 
 

@@ -286,3 +286,38 @@ def ingest_raw(feeds: Feeds) -> DataFrame:
     for interval in ("2024-01-15", "2024-01-31", "2024-01-31"):
         raw.ingest(feeds.spark, f"{scratch}/{interval}", f"{namespace}.events", interval)
     return feeds.spark.table(f"{namespace}.events")
+
+
+@query(
+    "ingest_type_drift",
+    """
+    SELECT event_id,
+           CASE WHEN day <= '2024-01-10' THEN floor(value) ELSE value END AS value,
+           CASE WHEN day <= '2024-01-10' THEN event_id * CAST(0.5 AS DOUBLE) WHEN day > '2024-01-20' THEN event_id * CAST(0.25 AS DOUBLE)
+           END AS lat,
+           CASE WHEN day > '2024-01-20' THEN event_type END AS note,
+           CASE WHEN day <= '2024-01-10' THEN '2024-01-10' WHEN day <= '2024-01-20' THEN '2024-01-20'
+                ELSE '2024-01-31' END AS data_interval
+    FROM (SELECT *, strftime(ts, '%Y-%m-%d') AS day FROM events)
+    """,
+)
+def ingest_type_drift(feeds: Feeds) -> DataFrame:
+    """Whole numbers, then fractions and a column without values, then a new column."""
+    namespace, scratch = feeds.scratch()
+    day, events = F.date_format("ts", "yyyy-MM-dd"), feeds.table("events")
+    half, quarter = F.col("event_id") * F.lit(0.5), F.col("event_id") * F.lit(0.25)
+    batches = {
+        "2024-01-10": events.where(day <= "2024-01-10").select(
+            "event_id", F.floor("value").alias("value"), half.alias("lat")
+        ),
+        "2024-01-20": events.where((day > "2024-01-10") & (day <= "2024-01-20")).select(
+            "event_id", "value", F.lit(None).cast("double").alias("lat")
+        ),
+        "2024-01-31": events.where(day > "2024-01-20").select(
+            "event_id", "value", quarter.alias("lat"), F.col("event_type").alias("note")
+        ),
+    }
+    for interval, batch in batches.items():
+        batch.write.option("ignoreNullFields", "false").json(f"{scratch}/{interval}")
+        raw.ingest(feeds.spark, f"{scratch}/{interval}", f"{namespace}.events", interval)
+    return feeds.spark.table(f"{namespace}.events")

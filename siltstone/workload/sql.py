@@ -8,18 +8,26 @@ FEEDS = {
                l_orderkey AS session_id,
                l_linenumber AS item_in_session,
                epoch_us(l_shipdate) // 1000 + l_linenumber * 60000 AS ts,
-               CASE WHEN l_returnflag = 'N' THEN 'Home' ELSE 'NextSong' END AS page,
-               CASE WHEN o_orderstatus = 'P' THEN 'Logged Out' ELSE 'Logged In' END AS auth,
+               CASE WHEN l_returnflag <> 'N' THEN 'NextSong'
+                    WHEN l_linenumber = 2 THEN 'Submit Upgrade'
+                    WHEN l_linenumber = 3 THEN 'Submit Downgrade' ELSE 'Home' END AS page,
+               CASE WHEN o_orderstatus = 'P' OR o_custkey % 11 = 0 THEN 'Logged Out'
+                    ELSE 'Logged In' END AS auth,
                CASE WHEN l_discount >= 0.05 THEN 'paid' ELSE 'free' END AS level,
                p_name AS song,
                p_brand AS artist,
                p_retailprice + (l_linenumber - 4) * CAST(0.004 AS DOUBLE) AS length,
                'Supplier ' || CAST(l_suppkey AS VARCHAR) AS location,
                l_linestatus AS user_agent,
+               c_name AS first_name,
+               c_mktsegment AS last_name,
+               CASE WHEN c_acctbal > 0 THEN 'F' ELSE 'M' END AS gender,
+               o_custkey * 86400000 + 1672531200001 AS registration,
                strftime(l_shipdate, '%Y-%m') AS data_interval
         FROM lineitem
         JOIN orders ON o_orderkey = l_orderkey
-        JOIN part ON p_partkey = l_partkey""",
+        JOIN part ON p_partkey = l_partkey
+        JOIN customer ON c_custkey = o_custkey""",
     "user_logs": """
         SELECT CASE WHEN event_type = 'signup' THEN '' ELSE CAST(user_id AS VARCHAR) END AS user_id,
                epoch_us(ts) // 1000 AS ts,
@@ -62,7 +70,8 @@ FEEDS = {
 
 
 def level_tables(interval: str | None, prefix: str = "") -> dict[str, str]:
-    """Level changes, first levels and their union; ``None`` takes the whole log as one batch."""
+    """Level changes, first levels and their union: of one day of the user log, or of the whole play log."""
+    log = "user_logs" if interval else "play_logs"
     current = f"data_interval = '{interval}'" if interval else "TRUE"
     known = f"data_interval <= '{interval}'" if interval else "TRUE"
     return {
@@ -70,12 +79,12 @@ def level_tables(interval: str | None, prefix: str = "") -> dict[str, str]:
         SELECT CAST(user_id AS BIGINT) AS user_id, ts,
                CASE page WHEN 'Submit Upgrade' THEN 'paid' ELSE 'free' END AS new_level,
                'transition' AS source
-        FROM user_logs
+        FROM {log}
         WHERE user_id <> '' AND page IN ('Submit Upgrade', 'Submit Downgrade') AND {current}
         UNION ALL
         SELECT user_id, ts, new_level, 'initial' AS source
         FROM (SELECT DISTINCT ON (user_id) CAST(user_id AS BIGINT) AS user_id, ts, level AS new_level
-              FROM user_logs
+              FROM {log}
               WHERE user_id <> '' AND auth = 'Logged In' AND level IS NOT NULL AND {known}
               ORDER BY user_id, ts, level)""",
         f"{prefix}user_levels": f"""
@@ -92,7 +101,7 @@ TABLES = {
                CAST(user_id AS BIGINT) AS user_id, first_name, last_name, gender, location,
                make_timestamp(registration // 1000 * 1000000) AS registration,
                make_timestamp(ts // 1000 * 1000000) AS last_seen_at
-        FROM user_logs
+        FROM play_logs
         WHERE user_id <> '' AND auth = 'Logged In'
         ORDER BY CAST(user_id AS BIGINT), ts DESC, first_name, gender, last_name, location, registration""",
     "artists": """
@@ -156,11 +165,11 @@ def with_tables(body: str, *names: str, **more: str) -> str:
     needs = {
         "editions": [],
         "catalogue": ["editions"],
-        "users": ["user_logs"],
+        "users": ["play_logs"],
         "artists": ["catalogue"],
         "songs": ["catalogue"],
         "song_versions": ["catalogue"],
-        "level_sources": ["user_logs"],
+        "level_sources": ["play_logs"],
         "user_levels": ["level_sources"],
         "plays": ["play_logs"],
         "resolved": ["plays", "songs", "artists", "song_versions"],

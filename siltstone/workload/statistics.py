@@ -42,14 +42,14 @@ def group_count(feeds: Feeds) -> DataFrame:
     """,
 )
 def multi_count_distinct(feeds: Feeds) -> DataFrame:
-    lines = feeds.table("lineitem").withColumnRenamed("l_shipdate", "ts")
     return play_rollup(
-        lines,
+        feeds.table("lineitem"),
         ["l_suppkey"],
         plays_as="lines",
         distinct={"orders": "l_orderkey", "parts": "l_partkey", "numbers": "l_linenumber"},
         first_as="first_shipped",
         last_as="last_shipped",
+        time="l_shipdate",
     )
 
 
@@ -341,7 +341,7 @@ def _verdicts(checks: dict[str, DataFrame]) -> DataFrame:
     ),
 )
 def check_has_rows(feeds: Feeds) -> DataFrame:
-    logs = feeds.user_logs
+    logs = feeds.user_log_table
     return _verdicts(
         {
             "present": has_rows(in_interval(logs, "2024-01-15")),

@@ -118,3 +118,16 @@ def test_sentinel(spark):
 def test_seconds_between(spark):
     start, end = F.lit("2024-01-01 00:00:00"), F.lit("2024-01-01 01:00:01.9")
     assert one(spark, fn.seconds_between(start.cast("timestamp_ntz"), end.cast("timestamp"))) == (3601,)
+
+
+def test_positive_text_and_numbers(spark):
+    from siltstone.functions.predicates import is_positive
+
+    found = one(spark, *(is_positive(F.lit(x)) for x in (1.5, -1, "2.5", "n/a", "", None)))
+    assert tuple(bool(x) for x in found) == (True, False, True, False, False, False)
+
+
+def test_dates_come_as_dates(spark):
+    """The oracle compares dates as text; their type is checked here."""
+    frame = spark.range(1).select(fn.date_from_epoch_ms(F.lit(0).cast("long")).alias("day"))
+    assert frame.dtypes == [("day", "date")]

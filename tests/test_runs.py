@@ -260,3 +260,62 @@ def test_unknown_tables_are_refused(spark, namespace):
         build_gold(spark, "other", namespace)
     with pytest.raises(ValueError, match="unknown silver table"):
         build_silver(spark, "other", namespace, namespace, "d1")
+
+
+def land(spark, folder, interval, feed, lines):
+    import json
+    import os
+
+    path = f"{folder}/{interval}/{feed}"
+    os.makedirs(path)
+    with open(f"{path}/part.json", "w") as file:
+        file.write("\n".join(json.dumps(line) for line in lines))
+
+
+def test_batches_of_other_types_lose_nothing(spark, namespace, tmp_path):
+    from siltstone.plans.runs import ingest_raw
+
+    batches = {
+        "d1": [{"a": 5, "lat": 1.5, "t": "x"}],
+        "d2": [{"a": 5.75, "lat": None, "t": 7}],
+        "d3": [{"a": 6, "lat": 2, "extra": True}],
+    }
+    for interval, lines in batches.items():
+        land(spark, str(tmp_path), interval, "logs", lines)
+        ingest_raw(spark, str(tmp_path), namespace, interval, ["logs"])
+    found = spark.table(f"{namespace}.logs").orderBy("data_interval")
+    assert [tuple(r) for r in found.select("a", "lat", "t", "extra").collect()] == [
+        (5.0, 1.5, "x", None),
+        (5.75, None, "7", None),
+        (6.0, 2.0, None, True),
+    ]
+    land(spark, str(tmp_path), "d4", "logs", [{"a": "many"}])
+    with pytest.raises(ValueError, match="logs.a"):
+        ingest_raw(spark, str(tmp_path), namespace, "d4", ["logs"])
+    assert found.count() == 3
+
+
+def test_gold_with_repeated_keys_leaves_the_old_table(spark, namespace, monkeypatch):
+    from siltstone.operators.checks import CheckFailed
+    from siltstone.plans import runs
+
+    table = f"{namespace}.song_facts"
+    spark.createDataFrame([("old",)], "song_id string").write.saveAsTable(table)
+    twice = spark.createDataFrame([("s",), ("s",)], "song_id string")
+    monkeypatch.setattr(runs, "build_gold", lambda *_: twice)
+    with pytest.raises(CheckFailed):
+        runs.replace_gold(spark, namespace, namespace, ["song_facts"])
+    assert [r.song_id for r in spark.table(table).collect()] == ["old"]
+
+
+def test_users_whose_ids_arrive_as_doubles(spark):
+    from siltstone.plans import silver
+
+    schema = (
+        "user_id double, auth string, first_name string, last_name string, gender string, location string, "
+        "registration long, ts long, data_interval string"
+    )
+    logs = spark.createDataFrame(
+        [(k, "Logged In", "f", "l", "F", "here", 1, 2, "d1") for k in (39.0, 40.0, 39.0)], schema
+    )
+    assert sorted(r.user_id for r in silver.users(logs, "d1").collect()) == [39, 40]

@@ -1,11 +1,13 @@
 from __future__ import annotations
 
 import random
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from siltstone.session import session_setting
 from siltstone.sources import (
     add_missing_columns,
     clustered,
@@ -14,11 +16,17 @@ from siltstone.sources import (
     merge_rows,
     partition_columns,
     rename_columns,
+    replace_partition,
     replace_partitions,
     replace_table,
     staged_view,
     upsert,
+    wanted_renames,
+    widen_columns,
 )
+from siltstone.sources.tables import side_name
+from siltstone.sources.types import fitted
+from siltstone.sources.writers import NEXT, OVERWRITE_MODE
 
 
 def frame(spark, data, schema):
@@ -37,7 +45,104 @@ def test_partition_overwrite_is_idempotent_and_leaves_the_rest(spark, namespace)
     for _ in range(2):
         replace_partitions(again, table)
     assert rows(spark.table(table)) == [(1, "a", "d1"), (9, "z", "d2")]
-    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == "STATIC"
+    assert spark.conf.get(OVERWRITE_MODE) == "dynamic"
+
+
+def test_writers_in_two_threads_keep_all_partitions(spark, namespace):
+    """Neither changes a setting that the other relies on."""
+    days = [f"d{k}" for k in range(4)]
+    for name in ("s", "t"):
+        create_table(frame(spark, [(0, d) for d in days], "a int, day string"), f"{namespace}.{name}", ["day"])
+
+    def write(name: str) -> None:
+        for k in range(1, 6):
+            replace_partitions(frame(spark, [(k, days[k % 4])], "a int, day string"), f"{namespace}.{name}")
+            upsert(frame(spark, [(k + 10, days[k % 4])], "a int, day string"), f"{namespace}.{name}", ["a"])
+
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(write, ("s", "t")))
+    for name in ("s", "t"):
+        assert {r.day for r in spark.table(f"{namespace}.{name}").collect()} == set(days)
+
+
+def test_dynamic_writes_are_refused_where_they_would_replace_the_table(spark, namespace):
+    table = f"{namespace}.t"
+    create_table(frame(spark, [(1, "d1"), (2, "d2")], "a int, day string"), table, ["day"])
+    with session_setting(spark, OVERWRITE_MODE, "STATIC"):
+        with pytest.raises(RuntimeError):
+            replace_partitions(frame(spark, [(3, "d2")], "a int, day string"), table)
+        replace_partition(frame(spark, [(3, "d2")], "a int, day string"), table, {"day": "d2"})
+    assert rows(spark.table(table)) == [(1, "d1"), (3, "d2")]
+
+
+def test_renames_are_worked_out_from_the_two_lists():
+    assert wanted_renames(["a", "b"], {"a": "b", "b": "c"}) == {"b": "c"}
+    assert wanted_renames(["a", "b", "c"], {"a": "x", "b": "x", "z": "y", "c": "c"}) == {"a": "x"}
+
+
+@pytest.mark.parametrize(
+    ("held", "kind", "arriving", "other", "widen", "want"),
+    [
+        ([5], "bigint", [5.75], "double", True, ("double", [5.0, 5.75])),
+        ([5], "bigint", [6.0], "double", True, ("bigint", [5, 6])),
+        ([5.5], "double", [6], "bigint", False, ("double", [5.5, 6.0])),
+        ([5.5], "double", [None], "string", False, ("double", [None, 5.5])),
+        (["x"], "string", [6], "bigint", False, ("string", ["6", "x"])),
+        ([5], "int", [2**40], "bigint", True, ("bigint", [5, 2**40])),
+        ([5], "bigint", [5.75], "double", False, None),
+        ([5], "bigint", ["6"], "string", True, None),
+        ([2**53 + 1], "bigint", [0.5], "double", True, None),
+        ([0.5], "double", [2**53 + 1], "bigint", True, None),
+    ],
+)
+def test_types_are_fitted_without_loss(spark, namespace, held, kind, arriving, other, widen, want):
+    table = f"{namespace}.t"
+    create_table(frame(spark, [(v,) for v in held], f"y {kind}"), table)
+    batch = frame(spark, [(v,) for v in arriving], f"y {other}")
+    if want is None:
+        with pytest.raises(ValueError, match=r"t\.y"):
+            fitted(batch, spark.table(table), table, widen)
+        return
+    batch, wider = fitted(batch, spark.table(table), table, widen)
+    if wider:
+        widen_columns(spark, table, wider)
+    batch.write.insertInto(table)
+    result = spark.table(table)
+    assert result.dtypes == [("y", want[0])] and sorted(map(str, (r[0] for r in rows(result)))) == sorted(map(str, want[1]))
+
+
+def test_an_upsert_keeps_the_types_of_the_table(spark, namespace):
+    table = f"{namespace}.t"
+    create_table(frame(spark, [(1, 5)], "k int, y bigint"), table)
+    upsert(frame(spark, [(1, 6.0), (2, 7.0)], "k int, y double"), table, ["k"])
+    assert spark.table(table).dtypes == [("k", "int"), ("y", "bigint")]
+    assert rows(spark.table(table)) == [(1, 6), (2, 7)]
+    with pytest.raises(ValueError, match="y"):
+        upsert(frame(spark, [(1, 6.5)], "k int, y double"), table, ["k"])
+    assert rows(spark.table(table)) == [(1, 6), (2, 7)]
+
+
+def test_repeated_staged_keys_are_refused_and_target_ones_kept(spark, namespace):
+    table = f"{namespace}.t"
+    create_table(frame(spark, [(1, "a"), (1, "b"), (2, "c")], "k int, v string"), table)
+    with pytest.raises(ValueError, match="repeat"):
+        upsert(frame(spark, [(2, "x"), (2, "y")], "k int, v string"), table, ["k"])
+    upsert(frame(spark, [(1, "z"), (None, "n"), (None, "n")], "k int, v string"), table, ["k"])
+    assert rows(spark.table(table)) == [(None, "n"), (None, "n"), (1, "z"), (1, "z"), (2, "c")]
+    assert tables(spark, namespace) == {"t"}
+
+
+def test_many_partitions_of_two_columns(spark, namespace):
+    table = f"{namespace}.t"
+    held = spark.range(3000).selectExpr("id AS k", "'old' AS v", "id % 60 AS a", "concat('p', id DIV 60) AS b")
+    create_table(held.coalesce(1), table, ["a", "b"])
+    staged = spark.range(0, 3000, 2).selectExpr("id AS k", "'new' AS v", "id % 60 AS a", "concat('p', id DIV 60) AS b")
+    moved = spark.createDataFrame([(1, "moved", 59, "p49")], staged.schema)
+    upsert(staged.union(moved), table, ["k"])
+    result = spark.table(table)
+    assert result.count() == 3000 and result.where("v = 'new'").count() == 1500
+    assert rows(result.where("k = 1")) == [(1, "moved", 59, "p49")]
+    assert spark.sql(f"SHOW PARTITIONS {table}").count() == 2999
 
 
 def test_missing_columns_are_written_as_null(spark, namespace):
@@ -91,11 +196,33 @@ def test_an_interrupted_replacement_is_finished(spark, namespace):
     assert tables(spark, namespace) == {"t"}
 
 
-def test_leftovers_beside_a_standing_table_are_dropped(spark, namespace):
-    for name in ("t", "t__next_0a1b2c3d", "t__staged_0a1b2c3d", "t__other", "tt__next_0a1b2c3d"):
+def test_tables_beside_a_standing_one_are_left_alone(spark, namespace):
+    """They may belong to runs in progress."""
+    beside = {"t", "t__next_0a1b2c3d", "t__staged_0a1b2c3d", "t__other", "tt__next_0a1b2c3d"}
+    for name in beside:
         create_table(spark.range(1), f"{namespace}.{name}")
     finish_replacement(spark, f"{namespace}.t")
-    assert tables(spark, namespace) == {"t", "t__other", "tt__next_0a1b2c3d"}
+    assert tables(spark, namespace) == beside
+
+
+def test_the_latest_of_several_replacements_takes_the_name(spark, namespace):
+    names = [side_name("t", NEXT) for _ in range(3)]
+    for k, name in enumerate(names):
+        create_table(frame(spark, [(k,)], "a int"), f"{namespace}.{name}")
+    finish_replacement(spark, f"{namespace}.t")
+    assert rows(spark.table(f"{namespace}.t")) == [(2,)]
+
+
+def test_a_check_that_fails_leaves_the_old_table(spark, namespace):
+    table = f"{namespace}.t"
+    create_table(frame(spark, [(1,)], "a int"), table)
+
+    def refuse(_):
+        raise ValueError("no")
+
+    with pytest.raises(ValueError):
+        replace_table(frame(spark, [(2,)], "a int"), table, check=refuse)
+    assert rows(spark.table(table)) == [(1,)] and tables(spark, namespace) == {"t"}
 
 
 TARGET = [(1, "a", "keep1"), (2, "b", "keep2"), (None, "n", "keepn")]
