@@ -84,7 +84,8 @@ def training_rows(docs: DataFrame, doc_id: str, text: str, lang: str) -> DataFra
     """(lang, text) of at most PER_LANGUAGE documents per language, none of them held out.
 
     A threshold on the hash, from the number of documents of the language, leaves about three times as
-    many as are wanted; only those are ranked, so no language gathers in one task.
+    many as are wanted; only those are ranked, so no language gathers in one task. The thresholds are one
+    number per language, as the model itself holds more of each; so they are broadcast.
     """
     own = docs.select(
         name(lang).cast("string").alias("lang"),
@@ -92,9 +93,10 @@ def training_rows(docs: DataFrame, doc_id: str, text: str, lang: str) -> DataFra
         F.xxhash64(name(doc_id), name(text)).alias("h"),
         held_out(name(doc_id)).alias("out"),
     ).where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~F.col("out"))
-    counts = own.groupBy(F.col("lang").alias("lang_")).agg(F.count("*").alias("n"))
+    counts = [(r.lang, r["count"]) for r in own.groupBy("lang").count().collect()]
+    limits = F.broadcast(docs.sparkSession.createDataFrame(counts, "lang_ string, n long"))
     chance = F.shiftrightunsigned("h", 11) / F.lit(float(2**53))
-    few = own.join(counts, F.col("lang") == F.col("lang_")).where(chance * F.col("n") < 3 * PER_LANGUAGE)
+    few = own.join(limits, (F.col("lang") == F.col("lang_")) & (chance * F.col("n") < 3 * PER_LANGUAGE))
     first = Window.partitionBy("lang").orderBy("h", "text")
     return few.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= PER_LANGUAGE).select("lang", "text")
 
