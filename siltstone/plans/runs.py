@@ -16,10 +16,16 @@ from siltstone.sources import (
     create_table,
     finish_replacement,
     in_interval,
+    partition_columns,
+    replace_partition,
     replace_table,
     scan,
+    stamp_interval,
     upsert,
 )
+from siltstone.sources.landing import INTERVAL
+
+LOGS, FIRST_LEVELS = "logs", "first_levels"
 
 
 def promote(
@@ -61,10 +67,41 @@ def ingest_raw(
         schema = (schemas or {}).get(feed)
         if raw.ingest(spark, f"{landing}/{interval}/{feed}", table, interval, schema):
             enforce(has_rows(in_interval(spark.table(table), interval)), f"{table} has rows")
+            if feed == LOGS:
+                keep_first_levels(spark, namespace, interval)
             loaded.append(feed)
     return loaded
 
 
+def keep_first_levels(spark: SparkSession, namespace: str, interval: str) -> None:
+    """Writes each user's first level in one interval of the log beside the log, for ``user_levels``."""
+    logs, table = spark.table(f"{namespace}.{LOGS}"), f"{namespace}.{FIRST_LEVELS}"
+    if not {"user_id", "auth", "level", "ts"} <= set(logs.columns):
+        return
+    firsts = stamp_interval(silver.known_levels(in_interval(logs, interval)), interval)
+    if spark.catalog.tableExists(table):
+        replace_partition(firsts, table, {INTERVAL: interval})
+    else:
+        create_table(firsts, table, [INTERVAL])
+
+
+def kept_first_levels(spark: SparkSession, namespace: str, interval: str) -> DataFrame | None:
+    """First levels per interval, if every interval of the log up to this one has them."""
+    table = f"{namespace}.{FIRST_LEVELS}"
+    if not spark.catalog.tableExists(table):
+        return None
+
+    def intervals(name: str) -> set[str]:
+        listed = spark.sql(f"SHOW PARTITIONS {name}").collect()
+        return {row.partition.partition("=")[2] for row in listed}
+
+    logs = f"{namespace}.{LOGS}"
+    if partition_columns(spark, logs) != [INTERVAL]:
+        return None
+    missing = intervals(logs) - intervals(table)
+    return None if any(place <= interval for place in missing) else spark.table(table)
+
+
 def build_silver(
     spark: SparkSession, table: str, raw_namespace: str, namespace: str, interval: str
 ) -> DataFrame:
@@ -72,8 +109,11 @@ def build_silver(
     logs = f"{raw_namespace}.logs"
     catalogue = f"{raw_namespace}.songs"
     match table:
-        case "users" | "user_levels":
-            return getattr(silver, table)(spark.table(logs), interval)
+        case "users":
+            return silver.users(spark.table(logs), interval)
+        case "user_levels":
+            kept = kept_first_levels(spark, raw_namespace, interval)
+            return silver.user_levels(spark.table(logs), interval, kept)
         case "artists" | "songs" | "song_versions":
             return getattr(silver, table)(spark.table(catalogue), interval)
         case "events":

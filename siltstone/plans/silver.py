@@ -99,24 +99,35 @@ def level_changes(logs: DataFrame, interval: str) -> DataFrame:
     )
 
 
-def first_levels(logs: DataFrame, interval: str) -> DataFrame:
-    """The level of each user's first signed-in log row up to and including the interval."""
-    known = up_to_interval(logs, interval).where(
-        is_required("user_id") & (F.col("auth") == SIGNED_IN) & F.col("level").isNotNull()
-    )
+def known_levels(logs: DataFrame) -> DataFrame:
+    """The level of each user's first signed-in row of these logs."""
+    known = logs.where(is_required("user_id") & (F.col("auth") == SIGNED_IN) & F.col("level").isNotNull())
     levels = known.select(
         id_from_text("user_id").alias("user_id"), "ts", F.col("level").alias("new_level")
     )
     return top_row(levels, ["user_id"], ["ts"])
 
 
-def user_levels(logs: DataFrame, interval: str) -> DataFrame:
+def first_levels(logs: DataFrame, interval: str, per_interval: DataFrame | None = None) -> DataFrame:
+    """The level of each user's first signed-in log row up to and including the interval.
+
+    ``per_interval`` holds ``known_levels`` of each interval and spares reading the history again: the
+    first of the firsts is the first of all.
+    """
+    if per_interval is None:
+        return known_levels(up_to_interval(logs, interval))
+    firsts = up_to_interval(per_interval, interval).select("user_id", "ts", "new_level")
+    return top_row(firsts, ["user_id"], ["ts"])
+
+
+def user_levels(logs: DataFrame, interval: str, per_interval: DataFrame | None = None) -> DataFrame:
     """One row per user and second of change; a submitted change outranks the first level.
 
     Of several changes in one second, the one with the latest millisecond counts.
     """
+    firsts = first_levels(logs, interval, per_interval)
     combined = union_tagged(
-        {TRANSITION: level_changes(logs, interval), INITIAL: first_levels(logs, interval)}
+        {TRANSITION: level_changes(logs, interval), INITIAL: firsts}
     ).withColumn("changed_at", timestamp_from_epoch_ms("ts"))
     chosen = top_row(
         combined,

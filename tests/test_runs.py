@@ -319,3 +319,33 @@ def test_users_whose_ids_arrive_as_doubles(spark):
         [(k, "Logged In", "f", "l", "F", "here", 1, 2, "d1") for k in (39.0, 40.0, 39.0)], schema
     )
     assert sorted(r.user_id for r in silver.users(logs, "d1").collect()) == [39, 40]
+
+
+def level_line(user, ts, level, page="NextSong"):
+    return {"user_id": user, "ts": ts, "level": level, "auth": "Logged In", "page": page}
+
+
+def test_levels_read_one_raw_interval_and_equal_those_of_the_whole_history(spark, namespace, tmp_path):
+    """Late and repeated intervals included."""
+    from siltstone.plans import runs, silver
+
+    batches = {
+        "d2": [level_line("1", 5000, "free"), level_line("2", 6000, "paid"), level_line("1", 7000, "paid")],
+        "d3": [level_line("2", 9000, "free", "Submit Downgrade"), level_line("3", 9500, "free")],
+        "d1": [level_line("1", 1000, "paid")],
+    }
+    for interval, lines in batches.items():
+        land(spark, str(tmp_path), interval, "logs", lines)
+        for _ in range(2):
+            runs.ingest_raw(spark, str(tmp_path), namespace, interval, ["logs"])
+        logs = spark.table(f"{namespace}.logs")
+        for day in ("d1", "d2", "d3"):
+            built = runs.build_silver(spark, "user_levels", namespace, namespace, day)
+            assert sorted(map(str, built.collect())) == sorted(map(str, silver.user_levels(logs, day).collect()))
+    kept = runs.kept_first_levels(spark, namespace, "d3")
+    assert kept is not None
+    raw_files = {f for f in silver.user_levels(logs, "d3", kept).inputFiles() if "/logs/" in f}
+    assert raw_files and all("data_interval=d3" in f for f in raw_files)
+    spark.sql(f"ALTER TABLE {namespace}.first_levels DROP PARTITION (data_interval = 'd2')")
+    assert runs.kept_first_levels(spark, namespace, "d3") is None
+    assert runs.kept_first_levels(spark, namespace, "d1") is not None
