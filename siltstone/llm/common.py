@@ -19,6 +19,8 @@ from siltstone.session import shared_folder
 BATCH_ROWS = 1024
 #: Bytes of text handled at once inside a task; a longer text is a slice of its own.
 SLICE_BYTES = 1 << 21
+#: Bytes whose words are hashed from one running sum.
+HASH_SPAN = 1 << 18
 
 
 #: The folder of the library, for Python workers on this machine where it is not installed.
@@ -137,7 +139,8 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 class WordHashes:
     """Hashes of byte ranges by a polynomial over random byte values, modulo 2**64.
 
-    All ranges of a buffer are hashed at once from one running sum.
+    Ranges must ascend. All that begin within HASH_SPAN bytes are hashed at once from one running sum, so
+    tables and sums stay small however long the buffer is; only a longer range makes them grow.
     """
 
     def __init__(self, seed: int):
@@ -149,17 +152,25 @@ class WordHashes:
 
     def grow(self, n: int) -> None:
         if len(self.powers) < n:
-            size = max(n, SLICE_BYTES + 1)
             for attribute, factor in (("powers", self.base), ("inverses", self.inverse)):
-                steps = np.full(size, np.uint64(factor))
+                steps = np.full(n, np.uint64(factor))
                 steps[0] = 1
                 setattr(self, attribute, np.multiply.accumulate(steps))
 
     def __call__(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        self.grow(len(data) + 1)
-        sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(self.values[data] * self.powers[: len(data)], out=sums[1:])
-        return (sums[ends] - sums[starts]) * self.inverses[starts]
+        out = np.zeros(len(starts), np.uint64)
+        i = 0
+        while i < len(starts):
+            low = int(starts[i])
+            j = max(int(np.searchsorted(starts, low + HASH_SPAN)), i + 1)
+            part = data[low : int(ends[j - 1])]
+            self.grow(len(part) + 1)
+            sums = np.zeros(len(part) + 1, np.uint64)
+            np.cumsum(self.values[part] * self.powers[: len(part)], out=sums[1:])
+            at = starts[i:j] - low
+            out[i:j] = (sums[ends[i:j] - low] - sums[at]) * self.inverses[at]
+            i = j
+        return out
 
 
 def mixed(h: np.ndarray) -> np.ndarray:

@@ -62,7 +62,7 @@ def words_apart(spec: dict) -> bool:
 class WordEncoder:
     """Ids for buffers of texts. ``limit`` bounds the words kept, by their number."""
 
-    def __init__(self, path: str, limit: int = 800_000):
+    def __init__(self, path: str, limit: int = 400_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
