@@ -182,3 +182,40 @@ def test_sequences_are_found_without_reading_others(spark, documents, tokenizer)
     again = file.sequence(last)[0].__array_interface__["data"][0]
     assert base == again and not ids.flags.owndata
     file.close()
+
+
+NASTY = list("aZéÉÞ÷×ıİßŒœKÅ.,'’!<>|-_0 9\n\t") + [
+    "'s", "'LL", "é.", "Á", "Ẹ́", "≠", "́", "<|endoftext|>", "<|ENDOFTEXT|>", "</w>", "你", " ", "Σ", "\U0001d11e",
+]
+
+
+@pytest.mark.parametrize("limit", [40, 1_000_000])
+def test_cut_words_encode_as_whole_texts(tokenizer, limit):
+    """Also where words are cut before punctuation, lower-cased early, and forgotten and met again."""
+    rng = random.Random(5)
+    own = WordEncoder(public_tokenizers.path(WORDS), limit)
+    assert own.finer
+    for _ in range(30):
+        texts = ["".join(rng.choices(NASTY, k=rng.randrange(30))) for _ in range(100)]
+        ids, bounds = own.encode(*utf8(pa.array(texts)))
+        for text, a, b in zip(texts, bounds[:-1], bounds[1:]):
+            assert ids[a:b].tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
+def test_word_table_forgets_and_finds():
+    """A table under its limit finds every word; beyond it, words met again stay."""
+    from siltstone.llm.tokens import WordTable
+
+    rng = np.random.default_rng(3)
+    words, limit = WordTable(1000, np.uint16), 1000
+    often = rng.integers(0, 2**63, 200, dtype=np.uint64)
+    for _ in range(40):
+        keys = np.unique(np.concatenate((often, rng.integers(0, 2**63, 150, dtype=np.uint64))))
+        words.make_room(len(keys))
+        slots = words.find(keys)
+        new = keys[slots < 0]
+        words.keep(new, new + np.uint64(1), (new % 60_000).astype(np.uint32), np.ones(len(new), np.int64))
+        found = words.find(keys)
+        assert (words.check[found] == keys + np.uint64(1)).all() and words.n <= limit
+        assert (words.ids[words.start[found]] == keys % 60_000).all()
+    assert (words.find(often) >= 0).all()
