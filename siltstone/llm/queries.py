@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from siltstone.llm import chat, language, quality
+from siltstone.llm import chat, language, merkle, quality, sql, warc
 from siltstone.llm.binary_output import read_documents, sequence_folder, write_sequences
-from siltstone.llm.common import table
+from siltstone.llm.common import settled, table
 from siltstone.llm.fingerprints import edited_fingerprints
 from siltstone.llm.mixing import mixed_sizes
 from siltstone.llm.neighbours import nearest_neighbours
@@ -79,3 +81,26 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_approximate_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(table(spark, sf_dir, "embeddings"), every=100, k=10)
+
+
+@query
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written into WARC files and read back: NULL payloads are empty, repeated rows records of their
+    own, and an empty table gives no rows."""
+    folder = warc.archive_folder(spark)
+    manifest = warc.write_archives(table(spark, sf_dir, "pages"), folder)
+    return warc.resolved(settled(warc.read_records(manifest, folder), "warc-records"))
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as leaves, proved and checked again with every fifth text in lower case; NULL fields are
+    leaves of ``-``, and an empty table gives no rows."""
+    lowered = F.translate("text", ascii_uppercase, ascii_lowercase)
+    when = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 5 == 0
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    return merkle.document_proofs(table(spark, sf_dir, "documents"), fields, {"text": lowered}, when)
+
+
+ORACLES["op12_warc"] = sql.ARCHIVED_PAGES
+ORACLES["op13_merkle_manifest"] = sql.document_manifest()
