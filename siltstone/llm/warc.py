@@ -15,6 +15,7 @@ from datetime import datetime, timezone
 from urllib.parse import quote
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -203,7 +204,7 @@ def write_archives(
         "warc-light",
     )
     same = ["page_id", "url", "key"]
-    grouped = light.groupBy(*same, "n_bytes", "sha1").agg(F.count("*").alias("n"), F.max("html").alias("html"))
+    grouped = light.groupBy(*same, "n_bytes", "sha1", "html").agg(F.count("*").alias("n"))
 
     groups = light.where(~small).groupBy("key").agg(
         F.max(F.struct("page_id", "url")).alias("kept"), F.count("*").alias("members")
@@ -229,7 +230,7 @@ def write_archives(
 
     @F.pandas_udf("int")
     def shard_of(at):
-        return np.searchsorted(bounds, at.to_numpy().astype("S49"), "right").astype(np.int32)
+        return pd.Series(np.searchsorted(bounds, at.to_numpy().astype("S49"), "right").astype(np.int32))
 
     at = ordering(F.col("page_id"), F.col("url"), F.col("key"), F.col("copy"))
     ordered = stream.withColumn("at", at)
