@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.llm import chat, language, merkle, quality, sql, warc
+from siltstone.llm.alignment import alignments
 from siltstone.llm.binary_output import read_documents, sequence_folder, write_sequences
 from siltstone.llm.common import settled, table
 from siltstone.llm.fingerprints import edited_fingerprints
@@ -83,6 +84,13 @@ def op5_approximate_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(table(spark, sf_dir, "embeddings"), every=100, k=10)
 
 
+@query
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents aligned between two tokenizers; NULL and empty texts have zeros and an empty digest,
+    and an empty table gives no rows."""
+    return alignments(table(spark, sf_dir, "documents"), "byte_bpe_50k.json", "piece_bpe_32k.model")
+
+
 @query
 def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages written into WARC files and read back: NULL payloads are empty, repeated rows records of their

@@ -171,8 +171,10 @@ class WordTable:
         self.met[found[found >= 0]] = True
         return found
 
-    def make_room(self, more: int) -> None:
-        """Room for so many further words; slots found before do not hold any more."""
+    def make_room(self, more: int) -> np.ndarray | None:
+        """Room for so many further words. Where words went, the former slots of those that stay, in their
+        new order: slots found before do not hold any more."""
+        kept = None
         if self.n and (self.n + more > self.limit or self.used > 8 * self.limit):
             kept = np.flatnonzero(self.met[: self.n])[-(self.limit // 2) :]
             ids = self.ids[ragged(self.start[kept], self.length[kept].astype(np.int64))]
@@ -190,6 +192,7 @@ class WordTable:
         if size > len(self.key):
             self.grow(size)
             self.address()
+        return kept
 
     def keep(self, keys: np.ndarray, check: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Stores words that are not known, after ``make_room``; their slots."""
