@@ -1,7 +1,14 @@
 """DataFrame operators: functions from DataFrames and column names to a DataFrame."""
 
 from siltstone.operators.aggregates import play_rollup
-from siltstone.operators.checks import CheckFailed, enforce, has_rows, keys_unique, null_ratio_below
+from siltstone.operators.checks import (
+    CheckFailed,
+    arriving_keys_unique,
+    enforce,
+    has_rows,
+    keys_unique,
+    null_ratio_below,
+)
 from siltstone.operators.joins import (
     join_pairs,
     keep_known,
@@ -14,6 +21,7 @@ from siltstone.operators.rows import drop_duplicate_keys, top_row, union_tagged
 
 __all__ = [
     "CheckFailed",
+    "arriving_keys_unique",
     "drop_duplicate_keys",
     "enforce",
     "has_rows",

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +32,18 @@ def keys_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.select(key.alias("key")).agg(_verdict(F.count("*") == F.countDistinct("key")))
 
 
+def arriving_keys_unique(df: DataFrame, arrivals: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Is every key among ``arrivals`` the key of one row? The verdict of ``keys_unique`` on a table whose other
+    keys are known to be unique.
+
+    Only rows with such a key are gathered by it; ``arrivals``, usually one interval, is the side of the join
+    that can be broadcast.
+    """
+    named = arrivals.select(*(F.col(k).alias(f"{k}_") for k in keys)).distinct()
+    same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"{k}_")) for k in keys))
+    return keys_unique(df.select(*keys).join(named, same, "left_semi"), keys)
+
+
 def null_ratio_below(df: DataFrame, column: str, limit: float) -> DataFrame:
     """Is the share of NULLs under the limit? An empty table passes."""
     total = F.count("*")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,6 +48,11 @@ def user_facts(
         last_as="last_seen_at",
         extra=[sum_or_zero("duration").alias("total_listening_seconds")],
     )
+    return user_facts_of(users, measures, levels)
+
+
+def user_facts_of(users: DataFrame, measures: DataFrame, levels: DataFrame) -> DataFrame:
+    """The facts of all users from the measures of those who played."""
     counted = zero_fill_join(
         users.select("user_id"),
         measures,
@@ -87,21 +94,23 @@ def session_facts(events: DataFrame, versions: DataFrame) -> DataFrame:
     opening = top_row(
         events.select(*keys, "ts", "item_in_session", "level", "location"), keys, ["ts"]
     )
-    return (
-        measures.join(opening.select(*keys, "level", "location"), keys, "left")
-        .withColumn("duration_seconds", seconds_between("started_at", "ended_at"))
-        .select(
-            *keys,
-            "started_at",
-            "ended_at",
-            "duration_seconds",
-            "play_count",
-            "distinct_songs",
-            "distinct_artists",
-            "total_listening_seconds",
-            "level",
-            "location",
-        )
+    return session_facts_of(measures.join(opening.select(*keys, "level", "location"), keys, "left"))
+
+
+def session_facts_of(measures: DataFrame) -> DataFrame:
+    """The facts of sessions from their measures, with level and location."""
+    return measures.withColumn("duration_seconds", seconds_between("started_at", "ended_at")).select(
+        "session_id",
+        "user_id",
+        "started_at",
+        "ended_at",
+        "duration_seconds",
+        "play_count",
+        "distinct_songs",
+        "distinct_artists",
+        "total_listening_seconds",
+        "level",
+        "location",
     )
 
 
@@ -118,6 +127,11 @@ def _catalogue_facts(
         last_as="last_played_at",
         extra=[count_where(F.col("level") == PAID).alias("paid_plays")],
     )
+    return catalogue_facts_of(dimension, measures, key, distinct)
+
+
+def catalogue_facts_of(dimension: DataFrame, measures: DataFrame, key: str, distinct: Mapping[str, str]) -> DataFrame:
+    """Every row of a catalogue dimension with its measures, zeros where it was not played."""
     filled = zero_fill_join(dimension, measures, [key], dict.fromkeys(["total_plays", *distinct], 0))
     return filled.withColumn("paid_play_share", share("paid_plays", "total_plays")).select(
         *dimension.columns,

@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import hashlib
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from siltstone.operators import drop_duplicate_keys, enforce, has_rows, keys_unique, null_ratio_below
-from siltstone.plans import gold, raw, silver
+from siltstone.operators import (
+    arriving_keys_unique,
+    drop_duplicate_keys,
+    enforce,
+    has_rows,
+    keys_unique,
+    null_ratio_below,
+)
+from siltstone.plans import gold, kept_facts, raw, silver
 from siltstone.plans.registry import GOLD_KEYS, SILVER_TABLES
 from siltstone.plans.values import UNRESOLVED_LIMIT
 from siltstone.sources import (
@@ -20,12 +28,16 @@ from siltstone.sources import (
     replace_partition,
     replace_table,
     scan,
+    set_table_property,
     stamp_interval,
+    table_property,
     upsert,
 )
 from siltstone.sources.landing import INTERVAL
 
 LOGS, FIRST_LEVELS = "logs", "first_levels"
+#: The table property that notes keys found unique, and the files they were found in.
+KEYS_CHECKED = "siltstone.unique_keys"
 
 
 def promote(
@@ -35,18 +47,52 @@ def promote(
     partition_by: Sequence[str] = (),
     *,
     keys_known_unique: bool = False,
+    check_keys: bool = False,
+    before: Callable[[DataFrame], None] | None = None,
 ) -> None:
     """Writes a staged query into its table: the first time as a new table, later as an upsert.
 
-    Duplicate keys are dropped first, unless the query is known to yield each key once.
+    Duplicate keys are dropped first, unless the query is known to yield each key once. ``before`` is
+    called with the partitions that an upsert is about to write again. With ``check_keys`` the table's
+    keys must be unique afterwards: ``enforce_keys``.
     """
     spark = staged.sparkSession
     finish_replacement(spark, table)
     unique = staged if keys_known_unique else drop_duplicate_keys(staged, keys)
     if spark.catalog.tableExists(table):
-        upsert(unique, table, keys)
+        known = check_keys and keys_hold(spark, table, keys)
+
+        def check(arrived: DataFrame) -> None:
+            enforce_keys(spark, table, keys, arrived if known else None)
+
+        upsert(unique, table, keys, before, check if check_keys else None)
     else:
         create_table(clustered(unique, partition_by), table, partition_by)
+        if check_keys:
+            enforce_keys(spark, table, keys)
+
+
+def content_mark(spark: SparkSession, table: str) -> str:
+    """A digest of the table's list of files: it changes with every write."""
+    files = spark.table(table).inputFiles()
+    return hashlib.sha256("\n".join(sorted(files)).encode()).hexdigest()
+
+
+def keys_hold(spark: SparkSession, table: str, keys: Sequence[str]) -> bool:
+    """Whether these keys were found unique after the last write to the table, whoever wrote."""
+    noted = table_property(spark, table, KEYS_CHECKED)
+    return noted is not None and noted == f"{','.join(keys)} {content_mark(spark, table)}"
+
+
+def enforce_keys(spark: SparkSession, table: str, keys: Sequence[str], arrived: DataFrame | None = None) -> None:
+    """Raises unless the keys of a table are unique, and notes that they were.
+
+    With ``arrived``, the rows of an upsert into a table whose keys held, only their keys are looked at.
+    """
+    rows = spark.table(table)
+    verdict = keys_unique(rows, keys) if arrived is None else arriving_keys_unique(rows, arrived, keys)
+    enforce(verdict, f"{table} keys are unique")
+    set_table_property(spark, table, KEYS_CHECKED, f"{','.join(keys)} {content_mark(spark, table)}")
 
 
 def ingest_raw(
@@ -85,6 +131,14 @@ def keep_first_levels(spark: SparkSession, namespace: str, interval: str) -> Non
         create_table(firsts, table, [INTERVAL])
 
 
+def keep_all_first_levels(spark: SparkSession, namespace: str) -> None:
+    """Writes the first levels of all intervals anew, in one pass over the log."""
+    logs, table = spark.table(f"{namespace}.{LOGS}"), f"{namespace}.{FIRST_LEVELS}"
+    firsts = clustered(silver.known_levels(logs, INTERVAL), [INTERVAL])
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    create_table(firsts, table, [INTERVAL])
+
+
 def kept_first_levels(spark: SparkSession, namespace: str, interval: str) -> DataFrame | None:
     """First levels per interval, if every interval of the log up to this one has them."""
     table = f"{namespace}.{FIRST_LEVELS}"
@@ -131,14 +185,19 @@ def build_silver(
 def promote_interval(
     spark: SparkSession, raw_namespace: str, namespace: str, interval: str
 ) -> None:
-    """Promotes every silver table for one interval, then checks them all."""
+    """Promotes every silver table for one interval and checks its keys, then the versions of the events.
+
+    The dates whose events change are noted first, for ``refresh_gold``.
+    """
+
+    def note(places: DataFrame) -> None:
+        kept_facts.note_changes(spark, namespace, places)
+
     for spec in SILVER_TABLES:
         staged = build_silver(spark, spec.name, raw_namespace, namespace, interval)
+        before = note if spec.name == kept_facts.EVENTS else None
         target = f"{namespace}.{spec.name}"
-        promote(staged, target, spec.keys, spec.partition_by, keys_known_unique=True)
-    for spec in SILVER_TABLES:
-        table = f"{namespace}.{spec.name}"
-        enforce(keys_unique(spark.table(table), spec.keys), f"{table} keys are unique")
+        promote(staged, target, spec.keys, spec.partition_by, keys_known_unique=True, check_keys=True, before=before)
     resolved = null_ratio_below(spark.table(f"{namespace}.events"), "version_id", UNRESOLVED_LIMIT)
     enforce(resolved, f"{namespace}.events versions are resolved")
 
@@ -176,3 +235,25 @@ def replace_gold(
             enforce(keys_unique(rows, GOLD_KEYS[name]), f"{namespace}.{name} keys are unique")
 
         replace_table(snapshot, f"{namespace}.{table}", check=check)
+
+
+def refresh_gold(
+    spark: SparkSession,
+    silver_namespace: str,
+    namespace: str,
+    tables: Sequence[str] = tuple(GOLD_KEYS),
+) -> dict[str, list[str | None]]:
+    """Brings gold tables up to date from the dates whose events changed since the last time, and returns
+    these dates by table. The result is that of ``replace_gold``; sums of seconds may differ in the last
+    digits, as they are added in another order.
+    """
+    done = {}
+    for fact in kept_facts.FACTS:
+        if fact.name in tables:
+            finish_replacement(spark, f"{namespace}.{fact.name}")
+
+            def check(rows: DataFrame, name: str = fact.name) -> None:
+                enforce(keys_unique(rows, GOLD_KEYS[name]), f"{namespace}.{name} keys are unique")
+
+            done[fact.name] = kept_facts.refresh(spark, fact, silver_namespace, namespace, check)
+    return done

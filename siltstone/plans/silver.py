@@ -99,13 +99,13 @@ def level_changes(logs: DataFrame, interval: str) -> DataFrame:
     )
 
 
-def known_levels(logs: DataFrame) -> DataFrame:
-    """The level of each user's first signed-in row of these logs."""
+def known_levels(logs: DataFrame, *within: str) -> DataFrame:
+    """The level of each user's first signed-in row of these logs, for each value of ``within``."""
     known = logs.where(is_required("user_id") & (F.col("auth") == SIGNED_IN) & F.col("level").isNotNull())
     levels = known.select(
-        id_from_text("user_id").alias("user_id"), "ts", F.col("level").alias("new_level")
+        id_from_text("user_id").alias("user_id"), "ts", F.col("level").alias("new_level"), *within
     )
-    return top_row(levels, ["user_id"], ["ts"])
+    return top_row(levels, ["user_id", *within], ["ts"])
 
 
 def first_levels(logs: DataFrame, interval: str, per_interval: DataFrame | None = None) -> DataFrame:

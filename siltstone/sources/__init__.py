@@ -13,11 +13,14 @@ from siltstone.sources.writers import (
     add_missing_columns,
     clustered,
     create_table,
+    drop_partitions,
     finish_replacement,
     rename_columns,
     replace_partition,
     replace_partitions,
     replace_table,
+    set_table_property,
+    table_property,
     wanted_renames,
     widen_columns,
 )
@@ -27,6 +30,7 @@ __all__ = [
     "add_missing_columns",
     "clustered",
     "create_table",
+    "drop_partitions",
     "finish_replacement",
     "has_input",
     "in_interval",
@@ -40,9 +44,11 @@ __all__ = [
     "replace_partitions",
     "replace_table",
     "scan",
+    "set_table_property",
     "snake_case",
     "staged_view",
     "stamp_interval",
+    "table_property",
     "up_to_interval",
     "upsert",
     "wanted_renames",

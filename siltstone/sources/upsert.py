@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import and_
 
@@ -16,7 +16,7 @@ from siltstone.sources.writers import (
     add_missing_columns,
     clustered,
     create_table,
-    literal,
+    drop_partitions,
     quoted,
     replace_partitions,
     replace_table,
@@ -56,10 +56,17 @@ def refuse_repeated_keys(staged: DataFrame, keys: Sequence[str], table: str) ->
         raise ValueError(f"{table}: the staged rows repeat a key, such as {repeated[0].asDict()}")
 
 
-def upsert(staged: DataFrame, table: str, keys: Sequence[str]) -> None:
+def upsert(
+    staged: DataFrame,
+    table: str,
+    keys: Sequence[str],
+    before: Callable[[DataFrame], None] | None = None,
+    after: Callable[[DataFrame], None] | None = None,
+) -> None:
     """Merges into an existing table; columns new in ``staged`` are added to it first.
 
-    The table keeps its types: staged values that do not fit them are refused by column.
+    The table keeps its types: staged values that do not fit them are refused by column. ``before`` is
+    called with the partitions that are about to be written again, ``after`` with the rows that came.
     """
     spark = staged.sparkSession
     # Written once: it is read several times below, and must not differ between reads.
@@ -71,9 +78,11 @@ def upsert(staged: DataFrame, table: str, keys: Sequence[str]) -> None:
         add_missing_columns(held, table)
         partition_by = partition_columns(spark, table)
         if partition_by:
-            _upsert_partitions(spark, table, held, keys, partition_by)
+            _upsert_partitions(spark, table, held, keys, partition_by, before)
         else:
             replace_table(merge_rows(spark.table(table), held, keys), table)
+        if after:
+            after(held)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {holding}")
 
@@ -84,6 +93,7 @@ def _upsert_partitions(
     staged: DataFrame,
     keys: Sequence[str],
     partition_by: Sequence[str],
+    before: Callable[[DataFrame], None] | None = None,
 ) -> None:
     """Rewrites only partitions that hold a matched row or receive a staged one.
 
@@ -102,6 +112,8 @@ def _upsert_partitions(
     create_table(marked, places_table)
     try:
         places = spark.table(places_table)
+        if before:
+            before(places.select(*partition_by))
         vacated = places.where("arrives_ = 0").drop("arrives_")
         emptied = []
         if not vacated.isEmpty():
@@ -111,12 +123,7 @@ def _upsert_partitions(
             affected = in_places(target, places, partition_by)
             replace_partitions(merge_rows(affected, staged, keys, partition_by), table)
         # Last, so that a run that stops here is repaired by running it again.
-        if emptied:
-            specs = (
-                "PARTITION (" + ", ".join(f"{quoted(n)} = {literal(v)}" for n, v in place.asDict().items()) + ")"
-                for place in emptied
-            )
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(specs)}")
+        drop_partitions(spark, table, [place.asDict() for place in emptied])
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {places_table}")
 

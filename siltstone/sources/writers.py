@@ -14,6 +14,8 @@ FORMAT = "parquet"
 COMPRESSION = "snappy"
 NEXT = "__next_"
 STAGED = "__staged_"
+#: The table property that names the folder a table had before its last replacement.
+PREVIOUS = "siltstone.previous"
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
@@ -80,6 +82,37 @@ def replace_partition(df: DataFrame, table: str, place: Mapping[str, object]) ->
         spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({spec}) SELECT * FROM {view}")
 
 
+def drop_partitions(spark: SparkSession, table: str, places: Sequence[Mapping[str, object]]) -> None:
+    """Drops partitions, each named in full; those that are not there are passed over."""
+    if places:
+        specs = ("PARTITION (" + ", ".join(f"{quoted(n)} = {literal(v)}" for n, v in p.items()) + ")" for p in places)
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(specs)}")
+
+
+def location(spark: SparkSession, table: str) -> str:
+    """The folder of a table."""
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'")
+    return described.first().data_type.rstrip("/")
+
+
+def table_property(spark: SparkSession, table: str, key: str) -> str | None:
+    found = spark.sql(f"SHOW TBLPROPERTIES {table}").where(F.col("key") == key).first()
+    return found and found.value
+
+
+def set_table_property(spark: SparkSession, table: str, key: str, value: str | None) -> None:
+    """Sets a property of a table, or removes it."""
+    if value is None:
+        spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES IF EXISTS ('{key}')")
+    else:
+        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{key}' = {literal(value)})")
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def replace_table(
     df: DataFrame,
     table: str,
@@ -88,11 +121,18 @@ def replace_table(
 ) -> None:
     """New content and schema for the whole table.
 
-    The rows are written once, to a table beside the old one, which stays readable until the new
-    one is complete and takes its name. ``df`` may read the old table. A ``check`` that raises on the
-    new rows leaves the old table in place.
+    The rows are written once, beside the old ones, which stay readable until the new ones are
+    complete. ``df`` may read the old table. A ``check`` that raises on the new rows leaves the table as it is.
+
+    An unpartitioned table that keeps its columns, or gains some, is pointed to the new folder: it is never
+    missing, and a query that has begun reads on in the old folder, which goes with the next
+    replacement. Where columns go or change their type, or partitions are named in the catalog,
+    a new table takes the old one's name, and for a moment there is none.
     """
     spark = df.sparkSession
+    if spark.catalog.tableExists(table) and not partition_by and _keeps_columns(df, table):
+        _point_to(df, table, check)
+        return
     replacement = side_name(table, NEXT)
     create_table(df, replacement, partition_by)
     if check:
@@ -105,6 +145,35 @@ def replace_table(
     _take_name(spark, replacement, table)
 
 
+def _keeps_columns(df: DataFrame, table: str) -> bool:
+    """Whether ``df`` has every column of an unpartitioned table in its type."""
+    kinds = {f.name: f.dataType for f in df.schema}
+    held = df.sparkSession.table(table).schema
+    return not partition_columns(df.sparkSession, table) and all(kinds.get(f.name) == f.dataType for f in held)
+
+
+def _point_to(df: DataFrame, table: str, check: Callable[[DataFrame], None] | None) -> None:
+    spark = df.sparkSession
+    before = location(spark, table)
+    names = [*spark.table(table).columns, *sorted(set(df.columns) - set(spark.table(table).columns))]
+    folder = f"{before.rpartition('/')[0]}/{side_name(table.rpartition('.')[2], NEXT)}"
+    rows = df.select(*(F.col(quoted(c)) for c in names))
+    try:
+        rows.write.format(FORMAT).option("compression", COMPRESSION).save(folder)
+        if check:
+            check(spark.read.schema(rows.schema).format(FORMAT).load(folder))
+        add_missing_columns(rows, table)
+    except Exception:
+        delete_folder(spark, folder)
+        raise
+    older = table_property(spark, table, PREVIOUS)
+    spark.sql(f"ALTER TABLE {table} SET LOCATION {literal(folder)}")
+    spark.catalog.refreshTable(table)
+    set_table_property(spark, table, PREVIOUS, before)
+    if older and older not in (before, folder):
+        delete_folder(spark, older)
+
+
 def _take_name(spark: SparkSession, replacement: str, table: str) -> None:
     spark.sql(f"ALTER TABLE {replacement} RENAME TO {table}")
     if partition_columns(spark, table):
@@ -113,7 +182,8 @@ def _take_name(spark: SparkSession, replacement: str, table: str) -> None:
 
 
 def finish_replacement(spark: SparkSession, table: str) -> None:
-    """Finishes a replacement that stopped between dropping the old table and taking its name.
+    """Finishes a replacement by another schema that stopped between dropping the old table and taking its
+    name.
 
     A side table is in the catalog only once it is complete; the latest one takes the name. Where the
     table stands nothing is touched: side tables may belong to runs in progress.

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.plans import gold, silver
+from siltstone.plans import gold
+from siltstone.plans.runs import LOGS, build_silver, keep_all_first_levels
+from siltstone.sources import clustered, create_table
+from siltstone.sources.landing import INTERVAL
 from siltstone.workload.feeds import Feeds
 from siltstone.workload.registry import query
 from siltstone.workload.sql import level_tables, with_tables
@@ -30,8 +33,11 @@ _ONE_DAY = "2024-01-15"
     with_tables("SELECT * FROM day_user_levels", "user_logs", **level_tables(_ONE_DAY, "day_")),
 )
 def user_levels_interval(feeds: Feeds) -> DataFrame:
-    """Changes of one day, first levels of all days up to it."""
-    return silver.user_levels(feeds.user_logs, _ONE_DAY)
+    """Changes of one day, first levels of all days up to it; of the raw log only that day is read."""
+    namespace, _ = feeds.scratch()
+    create_table(clustered(feeds.user_logs, [INTERVAL]), f"{namespace}.{LOGS}", [INTERVAL])
+    keep_all_first_levels(feeds.spark, namespace)
+    return build_silver(feeds.spark, "user_levels", namespace, namespace, _ONE_DAY)
 
 
 @query(
