@@ -14,6 +14,7 @@ from siltstone.sources.writers import (
     clustered,
     create_table,
     drop_partitions,
+    drop_table,
     finish_replacement,
     rename_columns,
     replace_partition,
@@ -31,6 +32,7 @@ __all__ = [
     "clustered",
     "create_table",
     "drop_partitions",
+    "drop_table",
     "finish_replacement",
     "has_input",
     "in_interval",

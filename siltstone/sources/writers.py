@@ -141,10 +141,19 @@ def replace_table(
         except Exception:
             spark.sql(f"DROP TABLE IF EXISTS {replacement}")
             raise
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    drop_table(spark, table)
     _take_name(spark, replacement, table)
 
 
+def drop_table(spark: SparkSession, table: str) -> None:
+    """Drops a table with the folder it had before its last replacement, which DROP TABLE would leave behind."""
+    if spark.catalog.tableExists(table):
+        older = table_property(spark, table, PREVIOUS)
+        spark.sql(f"DROP TABLE {table}")
+        if older:
+            delete_folder(spark, older)
+
+
 def _keeps_columns(df: DataFrame, table: str) -> bool:
     """Whether ``df`` has every column of an unpartitioned table in its type."""
     kinds = {f.name: f.dataType for f in df.schema}

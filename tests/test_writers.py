@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 import random
+import threading
 from concurrent.futures import ThreadPoolExecutor
+from pathlib import Path
 
 import pytest
 from conftest import rows
@@ -408,3 +410,39 @@ def test_files_are_snappy_parquet(spark, namespace):
 def test_clustering_keeps_every_row(spark, columns):
     df = spark.createDataFrame([(1, "a"), (2, None), (3, "a")], "id int, day string")
     assert rows(clustered(df, columns)) == rows(df)
+
+
+def test_readers_never_miss_a_table_that_is_replaced(spark, namespace):
+    """A reader in a loop sees whole contents, old or new; folders that nobody needs go."""
+    from siltstone.sources.writers import location
+
+    table, stop, seen, failed = f"{namespace}.t", threading.Event(), set(), []
+    create_table(spark.range(1000).select("id", F.lit(0).alias("version")), table)
+
+    def read():
+        while not stop.is_set():
+            try:
+                seen.add(tuple(map(tuple, spark.table(table).groupBy("version").count().collect())))
+            except Exception as error:  # noqa: BLE001
+                failed.append(error)
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    for k in range(1, 6):
+        replace_table(spark.table(table).withColumn("version", F.col("version") + 1), table)
+        assert spark.table(table).agg(F.max("version")).first()[0] == k
+    stop.set()
+    reader.join()
+    assert not failed and seen <= {((k, 1000),) for k in range(6)} and len(seen) > 1
+    folder = location(spark, table).removeprefix("file:")
+    beside = {p.name for p in Path(folder).parent.iterdir() if p.name == "t" or p.name.startswith("t__")}
+    assert len(beside) == 2  # the present folder and the one before it
+
+
+def test_a_replacement_adds_columns_in_place(spark, namespace):
+    table = f"{namespace}.t"
+    create_table(frame(spark, [(1, "a")], "k int, v string"), table)
+    replace_table(frame(spark, [(2.5, "b", 2)], "w double, v string, k int"), table)
+    assert spark.table(table).columns == ["k", "v", "w"] and rows(spark.table(table)) == [(2, "b", 2.5)]
+    replace_table(frame(spark, [("x",)], "other string"), table)  # another schema: another table
+    assert rows(spark.table(table)) == [("x",)] and tables(spark, namespace) == {"t"}
