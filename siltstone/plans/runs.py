@@ -6,6 +6,7 @@ import hashlib
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from siltstone.operators import (
@@ -25,6 +26,7 @@ from siltstone.sources import (
     finish_replacement,
     in_interval,
     partition_columns,
+    remove_keys,
     replace_partition,
     replace_table,
     scan,
@@ -35,7 +37,7 @@ from siltstone.sources import (
 )
 from siltstone.sources.landing import INTERVAL
 
-LOGS, FIRST_LEVELS = "logs", "first_levels"
+LOGS, FIRST_LEVELS, WAITING = "logs", "first_levels", "waiting_plays"
 #: The table property that notes keys found unique, and the files they were found in.
 KEYS_CHECKED = "siltstone.unique_keys"
 
@@ -183,11 +185,12 @@ def build_silver(
 
 
 def promote_interval(
-    spark: SparkSession, raw_namespace: str, namespace: str, interval: str
+    spark: SparkSession, raw_namespace: str, namespace: str, interval: str, wait_for_songs: bool = False
 ) -> None:
     """Promotes every silver table for one interval and checks its keys, then the versions of the events.
 
-    The dates whose events change are noted first, for ``refresh_gold``.
+    The dates whose events change are noted first, for ``refresh_gold``. With ``wait_for_songs``, plays that
+    no version answers to wait for one (``resolve_waiting``) and count as unresolved; else they are dropped.
     """
 
     def note(places: DataFrame) -> None:
@@ -198,8 +201,44 @@ def promote_interval(
         before = note if spec.name == kept_facts.EVENTS else None
         target = f"{namespace}.{spec.name}"
         promote(staged, target, spec.keys, spec.partition_by, keys_known_unique=True, check_keys=True, before=before)
-    resolved = null_ratio_below(spark.table(f"{namespace}.events"), "version_id", UNRESOLVED_LIMIT)
-    enforce(resolved, f"{namespace}.events versions are resolved")
+    versions = spark.table(f"{namespace}.events").select("version_id")
+    if wait_for_songs:
+        resolve_waiting(spark, raw_namespace, namespace, interval)
+        unanswered = spark.table(f"{namespace}.{WAITING}").select(F.lit(None).cast("string").alias("version_id"))
+        versions = spark.table(f"{namespace}.events").select("version_id").unionByName(unanswered)
+    enforce(null_ratio_below(versions, "version_id", UNRESOLVED_LIMIT), f"{namespace}.events versions are resolved")
+
+
+def resolve_waiting(spark: SparkSession, raw_namespace: str, namespace: str, interval: str) -> None:
+    """Answers plays of earlier intervals by what this interval brought to the catalogue, and lets the
+    unanswered plays of this one wait.
+
+    The plays of the interval have met the whole catalogue already. Waiting ones have met all of it but
+    the rows that arrived now, so only these are joined with them. An interval may be run again.
+    """
+    table, events = f"{namespace}.{WAITING}", f"{namespace}.events"
+    logs, catalogue = spark.table(f"{raw_namespace}.{LOGS}"), spark.table(f"{raw_namespace}.songs")
+    songs, artists, versions = (spark.table(f"{namespace}.{t}") for t in ("songs", "artists", "song_versions"))
+    if spark.catalog.tableExists(table):
+        arrived = silver.arrived_versions(
+            silver.playable_versions(songs, artists, versions),
+            *(getattr(silver, t)(catalogue, interval) for t in ("songs", "artists", "song_versions")),
+        )
+        late = silver.resolved(spark.table(table), arrived)
+        promote(
+            late,
+            events,
+            ["event_id"],
+            ["event_date"],
+            keys_known_unique=True,
+            check_keys=True,
+            before=lambda places: kept_facts.note_changes(spark, namespace, places),
+        )
+    known = silver.known_plays(logs, spark.table(f"{namespace}.users"), interval)
+    unanswered = silver.waiting(known, spark.table(events))
+    promote(unanswered, table, ["event_id"], ["event_date"], keys_known_unique=True)
+    answered = spark.table(table).join(spark.table(events).select("event_id"), "event_id", "left_semi")
+    remove_keys(answered, table, ["event_id"])
 
 
 def build_gold(spark: SparkSession, table: str, silver_namespace: str) -> DataFrame:

@@ -20,7 +20,7 @@ from siltstone.functions import (
     translate,
     version_key,
 )
-from siltstone.operators import keep_known, tolerance_join, top_row, union_tagged
+from siltstone.operators import keep_known, membership, tolerance_join, top_row, union_tagged
 from siltstone.plans.values import (
     DURATION_TOLERANCE,
     INITIAL,
@@ -190,9 +190,13 @@ def candidate_versions(
     The catalogue is joined up first, so plays meet it on title, artist and length at once. Going
     by title alone would pair a play with every song of that name before narrowing down.
     """
+    return near_versions(plays, playable_versions(songs, artists, versions))
+
+
+def near_versions(plays: DataFrame, playable: DataFrame) -> DataFrame:
     return tolerance_join(
         plays,
-        playable_versions(songs, artists, versions),
+        playable,
         {"played_title": "title", "played_artist": "artist_name"},
         "length",
         "duration",
@@ -225,10 +229,35 @@ def resolve_events(
     interval: str,
 ) -> DataFrame:
     """One row per play of a known user, resolved to the version nearest in length."""
-    known = keep_known(plays(logs, interval), users, ["user_id"])
-    candidates = candidate_versions(known, songs, artists, versions)
+    return resolved(known_plays(logs, users, interval), playable_versions(songs, artists, versions))
+
+
+def known_plays(logs: DataFrame, users: DataFrame, interval: str) -> DataFrame:
+    """Plays of the interval by users that the silver table knows."""
+    return keep_known(plays(logs, interval), users, ["user_id"])
+
+
+def resolved(known: DataFrame, playable: DataFrame) -> DataFrame:
+    """The event of each play that a playable version answers to: the one nearest in length."""
     gap = distance("duration", "length").alias("gap")
     nearest = top_row(
-        candidates.select("play_key", *EVENT_COLUMNS[1:], gap), ["play_key"], ["gap"]
+        near_versions(known, playable).select("play_key", *EVENT_COLUMNS[1:], gap), ["play_key"], ["gap"]
     )
     return nearest.withColumn("event_id", hashed("play_key")).select(*EVENT_COLUMNS)
+
+
+def arrived_versions(playable: DataFrame, songs: DataFrame, artists: DataFrame, versions: DataFrame) -> DataFrame:
+    """Playable versions of which the given rows, those of one interval, brought the version, its song or
+    its artist."""
+    news = {"version_id": versions, "song_id": songs, "artist_id": artists}
+    marked = playable
+    for key, rows in news.items():
+        marked = membership(marked, rows, [key], f"new_{key}")
+    flags = [f"new_{key}" for key in news]
+    return marked.where(" OR ".join(flags)).drop(*flags)
+
+
+def waiting(known: DataFrame, events: DataFrame) -> DataFrame:
+    """Plays without an event, one row each."""
+    unanswered = known.withColumn("event_id", hashed("play_key")).join(events.select("event_id"), "event_id", "left_anti")
+    return top_row(unanswered, ["event_id"])

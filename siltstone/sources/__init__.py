@@ -25,7 +25,7 @@ from siltstone.sources.writers import (
     wanted_renames,
     widen_columns,
 )
-from siltstone.sources.upsert import merge_rows, upsert
+from siltstone.sources.upsert import merge_rows, remove_keys, upsert
 
 __all__ = [
     "add_missing_columns",
@@ -41,6 +41,7 @@ __all__ = [
     "normalise_columns",
     "partition_columns",
     "read_landing",
+    "remove_keys",
     "rename_columns",
     "replace_partition",
     "replace_partitions",

@@ -128,6 +128,28 @@ def _upsert_partitions(
         spark.sql(f"DROP TABLE IF EXISTS {places_table}")
 
 
+def remove_keys(gone: DataFrame, table: str, keys: Sequence[str]) -> None:
+    """Removes the rows of a partitioned table whose key is among ``gone``, which names their partitions too.
+
+    Only these partitions are written again; those left without rows are dropped, last, so that running
+    it again repairs a run that stopped.
+    """
+    spark = gone.sparkSession
+    partition_by = partition_columns(spark, table)
+    holding = side_name(table, STAGED)
+    create_table(gone.select(*keys, *partition_by).distinct(), holding)
+    try:
+        held = spark.table(holding)
+        places = held.select(*partition_by).distinct()
+        rest = in_places(spark.table(table), places, partition_by).join(held.select(*keys), list(keys), "left_anti")
+        emptied = places.subtract(rest.select(*partition_by)).collect()
+        if not places.isEmpty():
+            replace_partitions(rest, table)
+        drop_partitions(spark, table, [place.asDict() for place in emptied])
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {holding}")
+
+
 def in_places(target: DataFrame, places: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Rows of the target in the given partitions; the leading column prunes, a join decides."""
     lead = quoted(partition_by[0])

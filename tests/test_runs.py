@@ -349,3 +349,41 @@ def test_levels_read_one_raw_interval_and_equal_those_of_the_whole_history(spark
     spark.sql(f"ALTER TABLE {namespace}.first_levels DROP PARTITION (data_interval = 'd2')")
     assert runs.kept_first_levels(spark, namespace, "d3") is None
     assert runs.kept_first_levels(spark, namespace, "d1") is not None
+
+
+def test_plays_wait_for_their_songs(spark, namespace, landing):
+    """A play is resolved when its song, artist or version arrives later; too many waiting plays fail the check."""
+    from siltstone.plans import kept_facts
+
+    other = {**SONGS[0], "song_id": "S2", "title": "Other", "duration": 100.0}
+    plays = [log("1", T0 + k) for k in range(1, 9)]
+    plays += [log("1", T0 + 11, song="Other", length=100.0), log("1", T0 + 12, song="Other", length=55.0)]
+    landing("logs", DAYS[0], plays)
+    landing("songs", DAYS[0], SONGS)
+    landing("logs", DAYS[1], [log("1", T0 + DAY_MS + 21), log("1", T0 + DAY_MS + 22, song="Never")])
+    landing("songs", DAYS[1], [other])
+    spark.sql(f"CREATE DATABASE {namespace}_silver LOCATION '{landing.root}/silver'")
+    silver = f"{namespace}_silver"
+
+    def run(day):
+        ingest_raw(spark, landing.root, namespace, day, ["logs", "songs"])
+        promote_interval(spark, namespace, silver, day, wait_for_songs=True)
+
+    def waiting():
+        return sorted(r.played_title for r in spark.table(f"{silver}.waiting_plays").collect())
+
+    try:
+        run(DAYS[0])
+        assert spark.table(f"{silver}.events").count() == 8 and waiting() == ["Other", "Other"]
+        for _ in range(2):  # a run may be repeated
+            run(DAYS[1])
+            events = spark.table(f"{silver}.events")
+            assert events.count() == 10 and events.where("song_id = 'S2'").count() == 1
+            assert waiting() == ["Never", "Other"]  # one of another length still waits
+        changed = {str(r[0]) for r in spark.table(f"{silver}.{kept_facts.CHANGES}").select("event_date").collect()}
+        assert "2018-11-01" in changed  # the day of the late play
+        landing("logs", DAYS[1], [log("1", T0 + DAY_MS + k, song="Never") for k in range(31, 39)])
+        with pytest.raises(CheckFailed, match="versions are resolved"):
+            run(DAYS[1])
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {silver} CASCADE")
