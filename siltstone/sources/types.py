@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -76,3 +76,13 @@ def fitted(batch: DataFrame, target: DataFrame, table: str, widen: bool) -> tupl
             if n:
                 raise ValueError(f"{table}.{name}: {n} values cannot become {kinds[name].simpleString()} unchanged")
     return batch.withColumns({n: _column(n).try_cast(kind) for n, kind in casts.items()}), wider
+
+
+def as_variants(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Those of the named columns that are there, as VARIANT: each value keeps the type it came with."""
+    return df.withColumns({n: _column(n).cast(T.VariantType()) for n in names if n in df.columns})
+
+
+def typed(df: DataFrame, kinds: Mapping[str, str]) -> DataFrame:
+    """VARIANT columns as plain types; a value that has no such form becomes NULL."""
+    return df.withColumns({n: F.try_variant_get(_column(n), "$", kind) for n, kind in kinds.items()})

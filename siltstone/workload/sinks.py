@@ -19,8 +19,9 @@ from siltstone.sources import (
     snake_case,
     upsert,
 )
+from siltstone.sources.types import typed
 from siltstone.workload.feeds import Feeds, millis
-from siltstone.workload.registry import query
+from siltstone.workload.registry import ORACLES, query
 from siltstone.workload.sql import with_tables
 
 
@@ -303,6 +304,10 @@ def ingest_raw(feeds: Feeds) -> DataFrame:
 )
 def ingest_type_drift(feeds: Feeds) -> DataFrame:
     """Whole numbers, then fractions and a column without values, then a new column."""
+    return _drifting(feeds)
+
+
+def _drifting(feeds: Feeds, *variants: str) -> DataFrame:
     namespace, scratch = feeds.scratch()
     day, events = F.date_format("ts", "yyyy-MM-dd"), feeds.table("events")
     half, quarter = F.col("event_id") * F.lit(0.5), F.col("event_id") * F.lit(0.25)
@@ -319,5 +324,12 @@ def ingest_type_drift(feeds: Feeds) -> DataFrame:
     }
     for interval, batch in batches.items():
         batch.write.option("ignoreNullFields", "false").json(f"{scratch}/{interval}")
-        raw.ingest(feeds.spark, f"{scratch}/{interval}", f"{namespace}.events", interval)
+        raw.ingest(feeds.spark, f"{scratch}/{interval}", f"{namespace}.events", interval, variants=variants)
     return feeds.spark.table(f"{namespace}.events")
+
+
+@query("ingest_variant_drift", ORACLES["ingest_type_drift"])
+def ingest_variant_drift(feeds: Feeds) -> DataFrame:
+    """The same batches with both drifting columns kept as they came, so no batch rewrites another."""
+    kept = _drifting(feeds, "value", "lat")
+    return typed(kept, {"value": "double", "lat": "double"})

@@ -387,3 +387,22 @@ def test_plays_wait_for_their_songs(spark, namespace, landing):
             run(DAYS[1])
     finally:
         spark.sql(f"DROP DATABASE IF EXISTS {silver} CASCADE")
+
+
+def test_variants_keep_every_value_and_every_file(spark, namespace, tmp_path):
+    """Numbers, fractions, texts and NULLs in one column; earlier files stay as they are."""
+    from siltstone.plans import raw
+    from siltstone.sources.types import typed
+
+    table, files = f"{namespace}.drift", set()
+    batches = {"d1": [{"v": 2**60 + 1}, {"v": None}], "d2": [{"v": 0.5}], "d3": [{"v": "n/a", "w": 3}], "d4": [{"w": "x"}]}
+    for interval, lines in batches.items():
+        land(spark, str(tmp_path), interval, "drift", lines)
+        raw.ingest(spark, f"{tmp_path}/{interval}/drift", table, interval, variants=["v", "w"])
+        now = set(spark.table(table).inputFiles())
+        assert files < now
+        files = now
+    read = typed(spark.table(table), {"v": "bigint"})
+    assert rows(read.select("v", "data_interval").where("v IS NOT NULL")) == [(0, "d2"), (2**60 + 1, "d1")]
+    texts = typed(spark.table(table), {"v": "string", "w": "string"}).select("v", "w")
+    assert rows(texts.dropna(how="all")) == [(None, "x"), ("0.5", None), (str(2**60 + 1), None), ("n/a", "3")]
