@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import held_out, map_rows, name, ready, slices, type_of, utf8
+from siltstone.llm.common import held_out, map_rows, name, ready, settled, slices, type_of, utf8
 from siltstone.llm.grams import LETTERS, gram_index, gram_ranges
 
 #: Byte n-grams and the number of buckets they are hashed to, as a power of two.
@@ -81,11 +81,13 @@ def mean_weights(weights: np.ndarray, data: np.ndarray, offsets: np.ndarray) ->
 
 
 def training_rows(docs: DataFrame, doc_id: str, text: str, lang: str) -> DataFrame:
-    """(lang, text) of at most PER_LANGUAGE documents per language, none of them held out.
+    """(lang, text) of at most PER_LANGUAGE different documents per language, none of them held out: those with
+    the smallest hashes of id and text.
 
-    A threshold on the hash, from the number of documents of the language, leaves about three times as
-    many as are wanted; only those are ranked, so no language gathers in one task. The thresholds are one
-    number per language, as the model itself holds more of each; so they are broadcast.
+    A threshold on the hash, from the number of different documents of the language (within some per cent),
+    leaves about three times as many as are wanted; repeats among them are dropped before the shuffle, and
+    only these few are ranked, so no language gathers in one task. The thresholds are one number per
+    language, of which the model itself holds more.
     """
     own = docs.select(
         name(lang).cast("string").alias("lang"),
@@ -93,19 +95,20 @@ def training_rows(docs: DataFrame, doc_id: str, text: str, lang: str) -> DataFra
         F.xxhash64(name(doc_id), name(text)).alias("h"),
         held_out(name(doc_id)).alias("out"),
     ).where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~F.col("out"))
-    counts = [(r.lang, r["count"]) for r in own.groupBy("lang").count().collect()]
-    limits = F.broadcast(docs.sparkSession.createDataFrame(counts, "lang_ string, n long"))
+    counts = [(r.lang, r.n) for r in own.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()]
+    limits = docs.sparkSession.createDataFrame(counts, "lang_ string, n long")
     chance = F.shiftrightunsigned("h", 11) / F.lit(float(2**53))
     few = own.join(limits, (F.col("lang") == F.col("lang_")) & (chance * F.col("n") < 3 * PER_LANGUAGE))
     first = Window.partitionBy("lang").orderBy("h", "text")
-    return few.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= PER_LANGUAGE).select("lang", "text")
+    ranked = few.dropDuplicates(["lang", "h"]).withColumn("rank", F.row_number().over(first))
+    return ranked.where(F.col("rank") <= PER_LANGUAGE).select("lang", "text")
 
 
 def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> LanguageModel:
     """Learn from at most PER_LANGUAGE documents of each language; the driver gets n-gram frequencies per
     language and batch, and the margins of the sample, never its texts."""
     spark = ready(docs.sparkSession)
-    rows = training_rows(docs, doc_id, text, lang)
+    rows = settled(training_rows(docs, doc_id, text, lang), "language-sample")
 
     def frequencies(batches):
         for batch in batches:

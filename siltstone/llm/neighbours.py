@@ -104,8 +104,12 @@ def scale_of(classes: DataFrame) -> float:
     by_length: dict[int, list] = {}
     for row in sample:
         by_length.setdefault(len(row.vec), []).append(row.vec)
-    found = [np.array(v, np.float64).var(axis=0).sum() for v in by_length.values()]
-    return float(np.sqrt(max(found, default=0))) or 1.0
+    found = []
+    for vectors in by_length.values():
+        rows = np.array(vectors, np.float64)
+        unit = np.abs(rows).max()  # squares of the components themselves might leave the range of doubles
+        found.append(unit * np.sqrt((rows / unit).var(axis=0).sum()))
+    return float(max(found, default=0)) or 1.0
 
 
 def bucketed(rows: DataFrame, hashing: Hashing, probing: bool, vec_type: str) -> DataFrame:
@@ -131,16 +135,42 @@ def bucketed(rows: DataFrame, hashing: Hashing, probing: bool, vec_type: str) ->
     return rows.select("cid", "vec").mapInArrow(place, f"t int, b bigint, cid bigint, vec {vec_type}")
 
 
+def distances(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Euclidean distances by direct differences, scaled where squares would leave the range of doubles."""
+    apart = np.abs(vectors - query)
+    most = apart.max(axis=1, initial=0)
+    scale = np.where((most > 1e150) | ((most < 1e-150) & (most > 0)), most, 1.0)
+    return np.sqrt(((apart / scale[:, None]) ** 2).sum(axis=1)) * scale
+
+
+def rough_squares(vectors: np.ndarray, queries: np.ndarray) -> tuple[np.ndarray, float]:
+    """Squared distances of all queries and vectors in some unit, and by how much two of them may stand in
+    the wrong order.
+
+    The products are taken of centred vectors with components up to one, so that neither a common offset
+    nor their size costs digits. Rounding moves a square by some units of the last place of its terms,
+    and centring by one of the components.
+    """
+    unit = max(np.abs(vectors).max(initial=0), np.abs(queries).max(initial=0)) or 1.0
+    vectors, queries = vectors / unit, queries / unit
+    centre = vectors.mean(axis=0)
+    vectors, queries = vectors - centre, queries - centre
+    own, other = (queries**2).sum(1), (vectors**2).sum(1)
+    most = own.max(initial=0) + other.max(initial=0)
+    dims = vectors.shape[1]
+    slack = 8 * np.finfo(float).eps * dims * (most + np.sqrt(most) + np.finfo(float).eps)
+    return own[:, None] + other - 2 * queries @ vectors.T, float(slack)
+
+
 def nearest_in(vectors: np.ndarray, ids: np.ndarray, queries: np.ndarray, k: int):
     """For each query the k nearest vectors: row numbers of the queries, ids and exact distances."""
     rows, found, scores = [], [], []
-    rough = (queries**2).sum(1)[:, None] + (vectors**2).sum(1) - 2 * queries @ vectors.T
-    slack = 1e-9 * (1 + np.abs(rough).max())
+    rough, slack = rough_squares(vectors, queries)
     for q in range(len(queries)):
         at = np.arange(len(ids))
         if len(ids) > k:
-            at = np.flatnonzero(rough[q] <= np.partition(rough[q], k - 1)[k - 1] + slack)
-        exact = np.sqrt(((vectors[at] - queries[q]) ** 2).sum(axis=1))
+            at = np.flatnonzero(rough[q] <= np.partition(rough[q], k - 1)[k - 1] + 2 * slack)
+        exact = distances(vectors[at], queries[q])
         order = np.lexsort((ids[at], exact))[:k]
         rows.append(np.full(len(order), q))
         found.append(ids[at][order])

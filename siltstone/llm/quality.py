@@ -101,7 +101,8 @@ class QualityModel:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str) -> DataFrame:
-    """(label, text) of at most PER_LABEL documents per label, none of them held out."""
+    """(label, text) of at most PER_LABEL ids per label, none of them held out, with one text each: of several
+    rows of an id the text with the smallest hash."""
     own = docs.select(name(doc_id).alias("id"), name(text).alias("text")).where(~held_out(name(doc_id)))
     marks = labels.select(name(doc_id).alias("id_"), name(label).cast("int").alias("label"))
     parts = []
@@ -111,7 +112,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, la
         some = some.where(~held_out(F.col("id_"))).orderBy(F.xxhash64("id_"), "id_").limit(PER_LABEL)
         parts.append(some)
     few = parts[0].union(parts[1])
-    return own.join(few, F.col("id") == F.col("id_")).where(F.col("text").isNotNull()).select("label", "text")
+    texts = own.join(few, F.col("id") == F.col("id_")).where(F.col("text").isNotNull())
+    one = texts.groupBy("label", "id").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    return one.select("label", "text")
 
 
 def train(
@@ -127,7 +130,6 @@ def train(
             yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(flat, pa.binary())], ["label", "counts"])
 
     rows = training_rows(docs, labels, doc_id, text, label).mapInArrow(count, "label int, counts binary").collect()
-    rows = rows[: 4 * PER_LABEL]  # repeated ids
     size = 1 << BITS
     if not rows:
         return QualityModel(np.ones(size), np.zeros((size + 2, 1)), np.zeros((0, 1)), np.zeros(0))

@@ -30,16 +30,22 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 @query
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every whole text; NULL and empty texts have none, repeated rows are counted each, an empty
+    table gives no rows. Other columns are ignored."""
     return token_counts(table(spark, sf_dir, "documents"), "piece_bpe_32k.model", limit=4096)
 
 
 @query
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in sequences of 2048 tokens; NULL and empty texts are the end id alone, repeated rows
+    are packed each, an empty table gives no rows."""
     return packed_documents(table(spark, sf_dir, "documents"), "word_bpe_49k.json", end=0, capacity=2048)
 
 
 @query
 def op8_binary_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids written to Arrow files in ascending order of doc_id (NULL first, ties by text) and read back; NULL
+    and empty texts are the end id alone, an empty table gives no file and no rows."""
     documents = table(spark, sf_dir, "documents")
     manifest = write_sequences(documents, sequence_folder(spark), "word_bpe_49k.json", end=1)
     return read_documents(manifest)
@@ -47,40 +53,54 @@ def op8_binary_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of whole texts and the least id each is linked to; texts without words have fingerprint
+    zero and are linked like any other, repeated rows share a component, an empty table gives no rows."""
     found = near_duplicates(table(spark, sf_dir, "documents"), shingle=4, distance=4)
     return found.select("doc_id", "fingerprint", "component_id")
 
 
 @query
 def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of each text and of its edited text, in the order of doc_id; NULL texts are empty, an empty
+    table gives no rows."""
     return edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
 @query
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A score per document from the labels of documents that are not held out; texts too short for n-grams
+    score 0.5, without labels all do, an empty table gives no rows."""
     documents = table(spark, sf_dir, "documents")
     return quality.scored(documents, quality.train(documents, table(spark, sf_dir, "labels")))
 
 
 @query
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A language per document; ``und`` where the text is NULL or has no letter, or nothing was learned. An
+    empty table gives no rows."""
     documents = table(spark, sf_dir, "documents")
     return language.identified(documents, language.train(documents))
 
 
 @query
 def op4_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of each document; NULL texts have size 0, NULL is a source of its own, repeated
+    rows are taken each, an empty table gives no rows."""
     return mixed_sizes(table(spark, sf_dir, "documents"))
 
 
 @query
 def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of conversations, read back from their windows; NULL roles and texts are empty, turns with one
+    number are ordered by role and text. The probe conversation is always there."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return chat.digests(chat.formatted(turns.unionByName(chat.probe(turns))))
 
 
 @query
 def op5_approximate_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest of every hundredth vector; unusable vectors take no part, equal rows count once, an
+    empty table gives no rows."""
     return nearest_neighbours(table(spark, sf_dir, "embeddings"), every=100, k=10)
 
 

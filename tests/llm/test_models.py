@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from llm_cases import documents, hard, no_docs  # noqa: F401
 
 from siltstone.llm import language, mixing, quality, queries
@@ -87,11 +88,59 @@ def test_quality_votes_are_exact(spark, documents, small):
     data, bounds = utf8(pa.array(texts))
     rows = model.project(quality.features(data, bounds))
     scores = model.scores(data, bounds)
+    n, compared = quality.NEIGHBOURS, 0
     for row, score in zip(rows, scores):
-        cosines = model.vectors @ row
-        top = np.argsort(-cosines, kind="stable")[: quality.NEIGHBOURS]
-        weight = np.maximum(cosines[top], 0)
-        assert score == pytest.approx((weight * model.labels[top]).sum() / weight.sum(), abs=0.05)
+        cosines = (model.vectors @ row).astype(float)
+        order = np.argsort(-cosines, kind="stable")
+        if cosines[order[n - 1]] - cosines[order[n]] < 1e-6:
+            continue  # several labelled documents are the 25th nearest
+        weight = np.maximum(cosines[order[:n]], 0)
+        assert score == pytest.approx((weight * model.labels[order[:n]]).sum() / weight.sum(), abs=1e-5)
+        compared += 1
+    assert compared > 20
+
+
+def test_repeated_labelled_ids_teach_once(spark, documents, small):
+    """Copies of a labelled document, and other texts under its id, neither crowd out the sample nor reach
+    the driver; two fits are equal."""
+    labels = spark.read.parquet(f"{small}/labels.parquet")
+    usual = quality.train(documents, labels)
+    marked = labels.where("quality = 1").join(documents, "doc_id").select(*documents.columns).limit(40)
+    copies = marked.where(F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 5 != 0).limit(1)
+    many = documents.unionByName(copies.join(spark.range(5000)).select(*documents.columns))
+    rows = quality.training_rows(many, labels, "doc_id", "text", "quality")
+    assert rows.count() == len(usual.labels) <= 2 * quality.PER_LABEL
+    again = quality.train(many.repartition(7), labels)
+    assert (again.vectors == usual.vectors).all() and (again.labels == usual.labels).all()
+
+
+def test_a_language_of_repeated_rows_is_learned(spark, documents):
+    """However often its only row is repeated, and on every run alike."""
+    row = (1, "zzyzx qoph zzyzx qoph wexx " * 5, "xx", "s", 100)
+    assert not is_out(1)
+    repeated = spark.createDataFrame([row], documents.schema).join(spark.range(20_000)).select(*documents.columns)
+    models = [language.train(documents.unionByName(repeated).repartition(n)) for n in (3, 8)]
+    assert all("xx" in m.languages for m in models) and models[0].languages == models[1].languages
+    assert np.allclose(models[0].weights, models[1].weights)
+
+
+def test_language_scores_are_those_of_a_plain_version(spark, documents):
+    """Mean log odds of each bit over the trigrams of a text, then the least weighted loss."""
+    model = language.train(documents)
+    found = {r.doc_id: r for r in language.identified(documents, model).collect()}
+    for r in documents.limit(30).collect():
+        raw = [c + 32 if 65 <= c <= 90 else c if c > 127 or 97 <= c <= 122 else 32 for c in (r.text or "").encode()]
+        sums, n = np.zeros(model.code.shape[1]), 0
+        for k in range(len(raw) - 2):
+            code = 0
+            for c in raw[k : k + 3]:
+                code = ((code ^ c) * 0x9E3779B1) % 2**32
+            sums += model.weights[code >> (32 - language.BITS)]
+            n += 1
+        margin = (sums / max(n, 1) - model.middle) / model.spread
+        loss = [(np.log1p(np.exp(-margin * word)) * model.trust).sum() for word in model.code.astype(float)]
+        if r.text and any(c.isalpha() for c in r.text):
+            assert found[r.doc_id].lang_pred == model.languages[int(np.argmin(loss))]
 
 
 def test_quality_of_hard_documents(spark, documents, hard, no_docs, small):

@@ -236,3 +236,25 @@ def test_neighbours_among_many_copies(spark):
         if q % 3 == 0:
             assert sorted(found[q]) == near
         assert len(found[q]) == 10
+
+
+@pytest.mark.parametrize("offset, scale", [(1e6, 1.0), (1e7, 1.0), (0.0, 1e200), (0.0, 1e-200), (3.0, 1e-9)])
+def test_neighbours_far_from_zero_and_of_any_size(spark, offset, scale):
+    """A common offset, huge and tiny components: ranks and distances are those of direct differences."""
+    rng = np.random.default_rng(11)
+    vectors = (rng.standard_normal((300, 16)) + offset) * scale
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    rough, slack = neighbours.rough_squares(vectors, vectors[:20])
+    assert np.isfinite(rough).all() and slack < np.median(rough)
+    found: dict = {}
+    for r in neighbours.nearest_neighbours(df, every=100, k=10).orderBy("query_id", "rank").collect():
+        found.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    assert sorted(found) == [0, 100, 200]
+    for q, hits in found.items():
+        apart = neighbours.distances(vectors, vectors[q])
+        assert all(score == apart[k] for k, score in hits) and len(hits) == 10
+    # Inside one block the ranks are exact.
+    rows, ids, scores = neighbours.nearest_in(vectors, np.arange(300), vectors[:20], 11)
+    for q in range(20):
+        want = sorted(zip(neighbours.distances(vectors, vectors[q]), range(300)))[:11]
+        assert [(s, i) for r, i, s in zip(rows, ids, scores) if r == q] == want
