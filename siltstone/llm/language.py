@@ -16,6 +16,8 @@ from siltstone.llm.grams import LETTERS, gram_index, gram_ranges
 GRAM, BITS = 3, 15
 #: At most so many documents per language are learned from, those with the smallest hash of their id.
 PER_LANGUAGE = 1000
+#: So many thresholds, a few dozen bytes each, may be broadcast.
+FEW_LANGUAGES = 10_000
 #: Losses of the best two languages closer than this share of the code length: ambiguous.
 CLOSE = 0.02
 
@@ -86,8 +88,8 @@ def training_rows(docs: DataFrame, doc_id: str, text: str, lang: str) -> DataFra
 
     A threshold on the hash, from the number of different documents of the language (within some per cent),
     leaves about three times as many as are wanted; repeats among them are dropped before the shuffle, and
-    only these few are ranked, so no language gathers in one task. The thresholds are one number per
-    language, of which the model itself holds more.
+    only these few are ranked, so no language gathers in one task. The thresholds, one number per
+    language, are broadcast if they are FEW_LANGUAGES at most.
     """
     own = docs.select(
         name(lang).cast("string").alias("lang"),
@@ -97,6 +99,8 @@ def training_rows(docs: DataFrame, doc_id: str, text: str, lang: str) -> DataFra
     ).where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~F.col("out"))
     counts = [(r.lang, r.n) for r in own.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()]
     limits = docs.sparkSession.createDataFrame(counts, "lang_ string, n long")
+    if len(counts) <= FEW_LANGUAGES:
+        limits = F.broadcast(limits)  # else the join may shuffle the texts
     chance = F.shiftrightunsigned("h", 11) / F.lit(float(2**53))
     few = own.join(limits, (F.col("lang") == F.col("lang_")) & (chance * F.col("n") < 3 * PER_LANGUAGE))
     first = Window.partitionBy("lang").orderBy("h", "text")
