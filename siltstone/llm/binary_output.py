@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.ipc
 from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,7 +19,9 @@ from siltstone.llm.tokens import encoder
 #: Sequences per record batch: what a reader maps or fetches at once.
 BATCH_SEQUENCES = 64
 
-MANIFEST = "path string, n_docs bigint, n_tokens bigint, first_id {0}, last_id {0}"
+MANIFEST = "path string, part int, n_docs bigint, n_tokens bigint, first_id {0}, last_id {0}"
+#: Characters of a text that order equal ids; a hash of the text orders what is equal in these.
+HEAD = 64
 
 
 def place(uri: str) -> tuple[fs.FileSystem, str]:
@@ -135,8 +138,9 @@ def write_sequences(
 
     Documents are dealt by ranges of ids, each range to one pair of files below ``folder``: ``.arrow``
     with the sequences, ``.docs`` with the ids of its documents in order. Returns the manifest, one row
-    per range. NULL and empty text: the end id alone. NULL ids come first; equal ids are ordered by text.
-    An empty table gives no file. Other columns are ignored.
+    per range, numbered in ``part``. NULL and empty text: the end id alone. NULL ids come first; equal ids are
+    ordered by the first HEAD characters of the text, then by a hash of it, and may spread over several
+    files, as may equal rows. An empty table gives no file. Other columns are ignored.
     """
     spark = ready(docs.sparkSession)
     kind = type_of(docs, doc_id)
@@ -167,17 +171,16 @@ def write_sequences(
             out.close()
             ids_out.close()
             index.close()
-            counts = [pa.array([stem]), pa.array([n_docs]), pa.array([n_tokens])]
+            part = pa.array([TaskContext.get().partitionId()], pa.int32())
+            counts = [pa.array([stem]), part, pa.array([n_docs]), pa.array([n_tokens])]
             yield pa.RecordBatch.from_arrays(
-                [*counts, first, last], ["path", "n_docs", "n_tokens", "first_id", "last_id"]
+                [*counts, first, last], ["path", "part", "n_docs", "n_tokens", "first_id", "last_id"]
             )
 
-    ordered = own.repartitionByRange(files, F.col("id").asc_nulls_first()).sortWithinPartitions(
-        F.col("id").asc_nulls_first(), "text"
-    )
+    keys = [F.col("id").asc_nulls_first(), F.substring("text", 1, HEAD).asc_nulls_first(), F.xxhash64("text").asc()]
+    ordered = own.repartitionByRange(files, *keys, F.rand(7)).sortWithinPartitions(*keys)
     manifest = settled(ordered.mapInArrow(write, MANIFEST.format(kind)), "sequences-manifest")
-    # One row per file; equal ids share a file, so first ids order them.
-    before = Window.orderBy(F.col("first_id").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
     return manifest.withColumn("start", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
 
 

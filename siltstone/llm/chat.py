@@ -2,22 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import name
+from siltstone.llm.common import name, ready
+from siltstone.llm.order import with_place
 
 #: A turn is OPEN role NEWLINE text CLOSE; a window is such turns one after the other.
 OPEN, CLOSE = "<turn>", "\n</turn>\n"
-#: Tokens of a window, and the parts of it kept for the system turn and for repeated turns.
-BUDGET, FOR_SYSTEM, FOR_HISTORY = 2048, 256, 256
+#: Tokens of a window, and how many of them repeated turns may take.
+BUDGET, FOR_HISTORY = 2048, 256
 #: Turns that may be repeated before a window.
 HISTORY_TURNS = 2
-#: Turn numbers that make a segment; windows do not cross segments.
-SEGMENT = 1024
-TOKEN = r"[\p{L}\p{N}]+|[^\s\p{L}\p{N}]"
-#: Tokens of the marks around a turn.
-MARKS = 4
+#: Turns of a conversation whose windows are worked out together.
+SEGMENT = 256
+#: Characters of a text by which turns with one number and role are dealt to tasks.
+HEAD = 1024
 
 
 def escaped(text: Column) -> Column:
@@ -29,71 +29,146 @@ def unescaped(text: Column) -> Column:
     return F.regexp_replace(text, r"(?s)\\(.)", "$1")
 
 
-def n_tokens(text: Column) -> Column:
-    return (F.regexp_count(text, F.lit(TOKEN)) + MARKS).cast("long")
+def most_tokens(role: Column, text: Column) -> Column:
+    """No byte-level or byte-fallback tokenizer makes more tokens of a formatted turn: its bytes."""
+    marks = len(OPEN) + 1 + len(CLOSE)
+    return (F.octet_length(escaped(text)) + F.octet_length(F.url_encode(role)) + marks).cast("long")
 
 
-def placed_turns(turns: DataFrame, budget: int) -> DataFrame:
-    """Each turn with ``own``, the number of its window in its segment, and ``windows``, where it stands.
+def numbered_turns(turns: DataFrame) -> DataFrame:
+    """Each turn with ``n``, its number in its conversation from 0, and ``rows``, the number of turns there;
+    ``sys_n`` and ``sys_tokens`` are those of the first system turn.
 
-    Prefix sums of tokens within a segment are cut into steps; turns that end in one step share a
-    window, and one longer than a step has a window of its own. A window holds less than two steps, which
-    with the system turn and the history make up the budget. A segment that fits is one window.
+    Turns are numbered over the whole table, dealt by ranges, so a conversation of any length spreads.
     """
-    step = max((budget - FOR_SYSTEM - FOR_HISTORY) // 2, 1)
-    segment = Window.partitionBy("conv_id", "segment")
-    order = segment.orderBy(F.col("turn").asc_nulls_first(), "role", "text")
-    end = F.sum("tokens").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    total = F.sum("tokens").over(segment)
-    cell = 2 * F.floor((F.col("end") - 1) / step) + F.when(F.col("tokens") > step, 0).otherwise(1)
-    out = turns.withColumns({"end": end, "total": total})
-    out = out.withColumn("own", F.when(F.col("total") <= budget - FOR_SYSTEM, 0).otherwise(cell).cast("long"))
-    # A turn is repeated before a window that starts at most so many turns and tokens after it.
-    ahead = {}
-    for d in range(1, HISTORY_TURNS + 1):
-        ahead |= {f"own{d}": F.lead("own", d).over(order), f"tokens{d}": F.lead("tokens", d).over(order)}
-    out = out.withColumns(ahead)
-    places, before, between = [F.struct(F.col("own").alias("w"), F.lit(False).alias("again"))], F.col("own"), F.col("tokens")
-    for d in range(1, HISTORY_TURNS + 1):
-        target = F.col(f"own{d}")
-        starts = target.isNotNull() & (target != before) & (between <= FOR_HISTORY)
-        places.append(F.when(starts, F.struct(target.alias("w"), F.lit(True).alias("again"))))
-        before, between = target, between + F.col(f"tokens{d}")
-    return out.withColumn("place", F.explode(F.array_compact(F.array(*places))))
-
-
-def formatted(conversations: DataFrame, budget: int = BUDGET) -> DataFrame:
+    head = F.substring("text", 1, HEAD)
+    spread = F.when(F.length("text") <= HEAD, F.rand(7))
+    first = [F.col("conv_id").asc_nulls_first(), F.col("turn").asc_nulls_first(), F.col("role").asc()]
+    placed = with_place(turns, [*first, head.asc(), spread.asc()], "place", "chat-turns", [*first, F.col("text").asc()])
+    system = F.when(F.col("role") == "system", F.struct("place", "tokens"))
+    heads = placed.groupBy(F.col("conv_id").alias("conv_h")).agg(
+        F.min("place").alias("first"), F.count("*").alias("rows"), F.min(system).alias("sys")
+    )
+    joined = placed.join(heads, F.col("conv_id").eqNullSafe(F.col("conv_h")))
+    return joined.select(
+        *turns.columns,
+        (F.col("place") - F.col("first")).alias("n"),
+        "rows",
+        (F.col("sys.place") - F.col("first")).alias("sys_n"),
+        F.col("sys.tokens").alias("sys_tokens"),
+    )
+
+
+def segments(numbered: DataFrame) -> DataFrame:
+    """(conv_id, segment, turns, sys_n, sys_tokens): SEGMENT turns in order, behind the last HISTORY_TURNS of the
+    segment before, which are marked ``ghost``."""
+    own = F.floor(F.col("n") / SEGMENT)
+    seam = (F.col("n") % SEGMENT >= SEGMENT - HISTORY_TURNS) & ((own + 1) * SEGMENT < F.col("rows"))
+    here = F.struct(own.alias("segment"), F.lit(False).alias("ghost"))
+    there = F.when(seam, F.struct((own + 1).alias("segment"), F.lit(True).alias("ghost")))
+    dealt = numbered.withColumn("to", F.explode(F.array_compact(F.array(here, there))))
+    turn = F.struct("n", F.col("to.ghost").alias("ghost"), "role", "text", "tokens")
+    return dealt.groupBy("conv_id", F.col("to.segment").alias("segment")).agg(
+        F.array_sort(F.collect_list(turn)).alias("turns"),
+        F.first("sys_n").alias("sys_n"),
+        F.first("sys_tokens").alias("sys_tokens"),
+    )
+
+
+def window_starts(budget: int) -> Column:
+    """(at, again) for each window of a segment: the place of its first own turn, and how many turns before
+    it are repeated.
+
+    A window takes turns as long as they fit. What does not fit begins the next one, behind the system
+    turn and as many of the turns before as fit FOR_HISTORY and the budget.
+    """
+    long, start = "bigint", "struct<at:int,again:int>"
+    zero = F.struct(
+        F.lit(0).alias("i"),
+        F.lit(None).cast(long).alias("room"),
+        F.lit(None).cast(long).alias("last1"),
+        F.lit(None).cast(long).alias("last2"),
+        F.array().cast(f"array<{start}>").alias("starts"),
+    )
+
+    def step(acc: Column, turn: Column) -> Column:
+        def opened(again: int, history: Column) -> Column:
+            """Room in a window that begins here and repeats so many turns."""
+            system = F.when(F.col("sys_n") < turn.n - again, F.col("sys_tokens")).otherwise(0)
+            return F.lit(budget) - F.coalesce(system, F.lit(0)) - history - turn.tokens
+
+        one, two = acc.last1, acc.last1 + acc.last2
+        both = F.coalesce((two <= FOR_HISTORY) & (opened(2, two) >= 0), F.lit(False))
+        single = F.coalesce((one <= FOR_HISTORY) & (opened(1, one) >= 0), F.lit(False))
+        none = opened(0, F.lit(0))
+        again = F.when(both, 2).when(single, 1).otherwise(0)
+        fresh = F.when(both, opened(2, two)).when(single, opened(1, one)).otherwise(none)
+        fits = F.coalesce(acc.room >= turn.tokens, F.lit(False))
+        begins = F.array(F.struct(acc.i.alias("at"), again.cast("int").alias("again")))
+        room = F.when(turn.ghost, acc.room).when(fits, acc.room - turn.tokens).otherwise(fresh)
+        return F.struct(
+            (acc.i + 1).alias("i"),
+            room.cast(long).alias("room"),
+            turn.tokens.alias("last1"),
+            acc.last1.alias("last2"),
+            F.when(turn.ghost | fits, acc.starts).otherwise(F.concat(acc.starts, begins)).alias("starts"),
+        )
+
+    return F.aggregate("turns", zero, step, lambda acc: acc.starts)
+
+
+def cut_windows(parts: DataFrame, budget: int) -> DataFrame:
+    """(conv_id, segment, window, turns) with ``again`` for repeated turns."""
+    found = parts.withColumn("starts", window_starts(budget))
+
+    def window(start: Column, k: Column) -> Column:
+        end = F.coalesce(F.get(F.col("starts"), k + 1).at, F.size("turns"))
+        taken = F.slice("turns", start.at - start.again + 1, end - start.at + start.again)
+        marked = F.transform(
+            taken,
+            lambda t, i: F.struct(t.n.alias("n"), t.role.alias("role"), t.text.alias("text"), (i < start.again).alias("again"), t.tokens.alias("tokens")),
+        )
+        return F.struct(k.cast("long").alias("window"), marked.alias("turns"))
+
+    return found.select("conv_id", "segment", F.explode(F.transform("starts", window)).alias("w")).select(
+        "conv_id", "segment", "w.window", "w.turns"
+    )
+
+
+def formatted(conversations: DataFrame, budget: int = BUDGET, tokens: str | None = None) -> DataFrame:
     """Windows of conversations (conv_id, turn, role, text) as training texts.
 
     Columns: conv_id, segment, window (numbers that ascend), text, loss_spans (start from 0 and length, in
     code points, of the escaped assistant texts to be learned here), n_context (turns at the head that
     stand elsewhere too: the first system turn and repeated history, never learned), n_tokens, over_budget.
 
-    Every turn is learned from in exactly one window. The first system turn stands at the head of each
-    later window. Turns are never cut: a window is over its budget only through a single turn longer than
-    a step or a system turn longer than its reserve, and then says so. NULL text and role: empty. Turns
-    with one number are ordered by role and text, NULL numbers come first and make a segment. NULL is a
-    conversation of its own. A very long conversation is spread by segments of turn numbers; windows are
-    bounded, so no conversation is gathered in one place. Other columns are ignored; no rows give no windows.
+    ``tokens`` names a column with the tokens of each formatted turn; without it the bytes of the turn stand for
+    them, which no byte-level or byte-fallback tokenizer exceeds. Windows follow from the order of the turns, not
+    from their numbers. Every turn is learned from in exactly one window. The first system turn stands at the
+    head of each later window. Turns are never cut: a window is over its budget only if one turn with the
+    system turn is, and then says so. NULL text and role: empty. Turns with one number are ordered by role
+    and text, NULL numbers come first. NULL is a conversation of its own. A long conversation is spread by
+    segments of SEGMENT turns, at whose ends windows end, so no conversation is gathered in one place.
+    Other columns are ignored; no rows give no windows.
     """
+    ready(conversations.sparkSession)
     turns = conversations.select(
         name("conv_id").alias("conv_id"),
         name("turn").cast("long").alias("turn"),
         F.coalesce(name("role"), F.lit("")).alias("role"),
         F.coalesce(name("text"), F.lit("")).alias("text"),
-    ).withColumns({"tokens": n_tokens(F.col("text")), "segment": F.floor(F.col("turn") / SEGMENT)})
-    key = F.struct("turn", "role", "text")
-    systems = turns.where(F.col("role") == "system").groupBy("conv_id").agg(F.min(key).alias("sys"))
-    systems = systems.select(F.col("conv_id").alias("conv_s"), "sys")
-    windows = placed_turns(turns, budget).groupBy("conv_id", "segment", F.col("place.w").alias("window"))
-    windows = windows.agg(
-        F.array_sort(F.collect_list(F.struct("turn", "role", "text", F.col("place.again").alias("again")))).alias("turns")
+        *([F.coalesce(name(tokens).cast("long"), F.lit(0).cast("long")).alias("tokens")] if tokens else []),
+    )
+    if not tokens:
+        turns = turns.withColumn("tokens", most_tokens(F.col("role"), F.col("text")))
+    numbered = numbered_turns(turns)
+    systems = numbered.where(F.col("n") == F.col("sys_n")).select(
+        F.col("conv_id").alias("conv_s"), F.struct("n", "role", "text", F.lit(True).alias("again"), "tokens").alias("sys")
     )
+    windows = cut_windows(segments(numbered), budget)
     windows = windows.join(systems, F.col("conv_id").eqNullSafe(F.col("conv_s")), "left")
-    head = F.struct(F.col("turns")[0].turn.alias("turn"), F.col("turns")[0].role.alias("role"), F.col("turns")[0].text.alias("text"))
-    system = F.array(F.struct(F.col("sys.turn").alias("turn"), F.col("sys.role").alias("role"), F.col("sys.text").alias("text"), F.lit(True).alias("again")))
-    later = F.col("sys").isNotNull() & (F.col("sys") < head)
-    windows = windows.withColumn("turns", F.when(later, F.concat(system, "turns")).otherwise(F.col("turns")))
+    later = F.col("sys").isNotNull() & (F.col("sys.n") < F.col("turns")[0].n)
+    windows = windows.withColumn("turns", F.when(later, F.concat(F.array("sys"), "turns")).otherwise(F.col("turns")))
     # The text of each turn, and where in the window it starts.
     parts = F.transform(
         "turns",
@@ -114,7 +189,7 @@ def formatted(conversations: DataFrame, budget: int = BUDGET) -> DataFrame:
         )
 
     none = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,length:int>>").alias("spans"))
-    tokens = F.aggregate("turns", F.lit(0).cast("long"), lambda n, t: n + n_tokens(t.text))
+    total = F.aggregate("turns", F.lit(0).cast("long"), lambda n, t: n + t.tokens)
     return windows.select(
         "conv_id",
         "segment",
@@ -122,8 +197,8 @@ def formatted(conversations: DataFrame, budget: int = BUDGET) -> DataFrame:
         F.array_join(F.transform("parts", lambda p: F.concat(p["head"], p.body, F.lit(CLOSE))), "").alias("text"),
         F.aggregate("parts", none, walk).spans.alias("loss_spans"),
         F.size(F.filter("turns", lambda t: t.again)).alias("n_context"),
-        tokens.alias("n_tokens"),
-        (tokens > budget).alias("over_budget"),
+        total.alias("n_tokens"),
+        (total > budget).alias("over_budget"),
     )
 
 

@@ -219,3 +219,14 @@ def test_word_table_forgets_and_finds():
         assert (words.check[found] == keys + np.uint64(1)).all() and words.n <= limit
         assert (words.ids[words.start[found]] == keys % 60_000).all()
     assert (words.find(often) >= 0).all()
+
+
+def test_equal_ids_and_rows_spread_over_files(spark, tokenizer):
+    """A third of all rows under one id, another third equal in everything: no file holds them all."""
+    rows = [(5, f"text {k} of one id", k) for k in range(300)] + [(7, "the same row", 0)] * 300
+    rows += [(k, f"document {k}", 0) for k in range(100, 400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, part int").repartition(5)
+    manifest = binary_output.write_sequences(docs, binary_output.sequence_folder(spark), WORDS, 1, length=64, files=9)
+    assert manifest.agg({"n_docs": "max"}).first()[0] < 200
+    found = binary_output.read_documents(manifest).collect()
+    assert Counter(map(tuple, found)) == Counter(expected_sequences(docs, tokenizer))
