@@ -2,24 +2,55 @@
 
 from __future__ import annotations
 
-import itertools
-from dataclasses import dataclass
+import heapq
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import name, ready, settled, type_of
-
-#: Tables, projections per table, width of a cell in standard deviations, and cells visited per table.
-TABLES, PROJECTIONS, WIDTH, PROBES = 10, 6, 1.6, 112
-#: At most so many vectors fix the scale of the cells.
-SAMPLE = 1000
-#: Vectors of a bucket compared at once; a larger bucket is split into blocks of about this many.
+from siltstone.llm.common import name, ragged, ready, settled, type_of
+
+#: Width of a cell in standard deviations, and into how many of equal weight it divides a projection.
+WIDTH, CELLS = 1.6, 2.6
+#: Projections are as many as leave about so many vectors in a bucket.
+PER_BUCKET, PROJECTIONS = 32, range(2, 17)
+#: Tables, and cells visited per table, that may be chosen, and the recall to be reached on the sample.
+TABLES, PROBES, WANTED = range(1, 17), (16, 32, 64, 128, 256, 512), 0.94
+#: At most so many vectors fix the scale of the cells, and so many queries among them the other numbers.
+SAMPLE, ASKED = 20_000, 128
+#: Vectors of a block, which are compared in one place; a bucket with more is split into several.
 BLOCK = 2048
-#: Rows of one task's stream looked at together.
-ROWS = 1 << 14
+#: Queries whose buckets are worked out together.
+TOGETHER = 32
+
+
+def perturbations(n: int, most: int) -> np.ndarray:
+    """Sets of steps over borders, the likeliest first, as rows of flags.
+
+    The 2n borders around a place, one below and one above in each projection, are ranked by distance; flag
+    j means a step over the j-th nearest. The squared distance of that is taken at its expected value, so
+    one list serves all places. Sets grow from the nearest border by shifting or adding one.
+    """
+    j = np.arange(1, n + 1)
+    near = j * (j + 1) / (4 * (n + 1) * (n + 2))
+    k = n + 1 - j
+    far = 1 - k / (n + 1) + k * (k + 1) / (4 * (n + 1) * (n + 2))
+    cost = np.concatenate((near, far))
+    heap, sets = [(cost[0], (0,))], [()]
+    while heap and len(sets) < most:
+        total, flags = heapq.heappop(heap)
+        if not any(2 * n - 1 - f in flags for f in flags):  # both borders of one projection
+            sets.append(flags)
+        last = flags[-1] + 1
+        if last < 2 * n:
+            heapq.heappush(heap, (total - cost[last - 1] + cost[last], (*flags[:-1], last)))
+            heapq.heappush(heap, (total + cost[last], (*flags, last)))
+    rows = np.zeros((len(sets), 2 * n), np.int8)
+    for row, flags in zip(rows, sets):
+        row[list(flags)] = 1
+    return rows
 
 
 @dataclass
@@ -30,24 +61,22 @@ class Hashing:
     """
 
     width: float
+    projections: int
+    tables: int
+    probed: int
     seed: int = 0
-
-    def __post_init__(self):
-        steps = np.array(list(itertools.product((-1, 0, 1), repeat=PROJECTIONS)))
-        self.steps = steps[np.argsort(np.abs(steps).sum(1), kind="stable")]
-        self.drawn: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    drawn: dict = field(default_factory=dict)
 
     def cells(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Cell and place in the cell, rows x tables x projections."""
-        n = rows.shape[1]
+        n, every = rows.shape[1], TABLES[-1] * self.projections
         if n not in self.drawn:
             rng = np.random.default_rng([self.seed, n])
-            directions = rng.standard_normal((n, TABLES * PROJECTIONS))
-            self.drawn[n] = directions, rng.uniform(0, 1, TABLES * PROJECTIONS)
-        directions, shift = self.drawn[n]
-        at = (rows @ directions / self.width + shift).reshape(len(rows), TABLES, PROJECTIONS)
+            self.drawn[n] = rng.standard_normal((n, every)), rng.uniform(0, 1, every)
+        directions, shift = (x[..., : self.tables * self.projections] for x in self.drawn[n])
+        at = ((rows / self.width) @ directions + shift).reshape(len(rows), self.tables, self.projections)
         cell = np.floor(at)
-        return cell.astype(np.int64), at - cell
+        return np.clip(cell, -(2.0**62), 2.0**62).astype(np.int64), at - cell
 
     def buckets(self, cell: np.ndarray, dims: int) -> np.ndarray:
         """One number per cell of all projections; the length of the vectors is part of it."""
@@ -61,17 +90,61 @@ class Hashing:
         return self.buckets(self.cells(rows)[0], rows.shape[1])
 
     def probes(self, rows: np.ndarray) -> np.ndarray:
-        """rows x tables x PROBES: the buckets most likely to hold neighbours, the likeliest first.
+        """rows x tables x probes: the buckets most likely to hold neighbours, the likeliest first.
 
         A step over a border at distance x from the row, in cells, costs x squared; a bucket costs the
         sum of its steps, and cheap ones are likely.
         """
-        cell, place = self.cells(rows)
-        below, above = place**2, (1 - place) ** 2
-        cost = below @ (self.steps == -1).T.astype(float) + above @ (self.steps == 1).T.astype(float)
-        n = min(PROBES, len(self.steps))
-        best = np.argsort(cost, axis=-1, kind="stable")[..., :n]
-        return self.buckets(cell[..., None, :] + self.steps[best], rows.shape[1])
+        n, flags = self.projections, perturbations(self.projections, self.probed)
+        found = []
+        for k in range(0, len(rows), TOGETHER):
+            cell, place = self.cells(rows[k : k + TOGETHER])
+            rank = np.concatenate((place, 1 - place), axis=-1).argsort(axis=-1, kind="stable").argsort(axis=-1)
+            step = flags[:, rank[..., n:]] - flags[:, rank[..., :n]]
+            found.append(self.buckets(cell[:, :, None, :] + np.moveaxis(step, 0, 2), rows.shape[1]))
+        return np.concatenate(found) if found else np.zeros((0, self.tables, len(flags)), np.int64)
+
+
+def fitted(sample: list[np.ndarray], rows: int, k: int, seed: int) -> Hashing:
+    """Cells, tables and probes for an index of so many vectors, from a sample of them.
+
+    The width follows from the spread of the sample, the projections from the number of vectors. Among
+    the tables and probes that find WANTED of the k nearest of some sampled vectors in the sample, those are
+    taken that compare the fewest vectors; where none do, those that find most.
+    """
+    spread = []
+    for vectors in sample:
+        unit = np.abs(vectors).max()  # squares of the components themselves might leave the range of doubles
+        spread.append(unit * np.sqrt((vectors / unit).var(axis=0).sum()))
+    width = WIDTH * (float(max(spread, default=0)) or 1.0)
+    n = round(np.log(max(rows / PER_BUCKET, 1)) / np.log(CELLS))
+    n = min(max(n, PROJECTIONS[0]), PROJECTIONS[-1])
+    widest = Hashing(width, n, TABLES[-1], PROBES[-1], seed)
+    if not sample:
+        return widest
+    vectors = max(sample, key=len)
+    asked = np.linspace(0, len(vectors) - 1, min(ASKED, len(vectors))).astype(int)
+    home, probes = widest.home(vectors), widest.probes(vectors[asked])
+    home_sorted = [np.sort(home[:, t]) for t in range(widest.tables)]
+    first, work = [], np.zeros((len(asked), widest.tables, probes.shape[2]))
+    for q, i in enumerate(asked):
+        apart = distances(vectors, vectors[i])
+        apart[i] = np.inf
+        near = np.argsort(apart, kind="stable")[: min(k, len(vectors) - 1)]
+        same = home[near][:, :, None] == probes[q][None]  # neighbours x tables x probes
+        first.append(np.where(same.any(axis=2), same.argmax(axis=2), PROBES[-1]))
+        for t, held in enumerate(home_sorted):
+            work[q, t] = np.searchsorted(held, probes[q, t], "right") - np.searchsorted(held, probes[q, t])
+    first = np.concatenate(first)
+    work = work.mean(axis=0).cumsum(axis=1).cumsum(axis=0)  # vectors compared by so many tables and probes
+    choices = []
+    for p in (p for p in PROBES if p <= probes.shape[2] or p == PROBES[0]):
+        hit = first < p
+        for t in TABLES:
+            recall = hit[:, :t].any(axis=1).mean() if len(hit) else 1.0
+            choices.append((recall < WANTED, -min(recall, WANTED), work[t - 1, min(p, probes.shape[2]) - 1], t, p))
+    _, _, _, tables, probed = min(choices)
+    return Hashing(width, n, tables, probed, seed)
 
 
 def matrices(column: pa.Array):
@@ -98,43 +171,54 @@ def vector_classes(vectors: DataFrame, k: int) -> DataFrame:
     return few.groupBy("vec").agg(F.min("id").alias("cid"), F.sort_array(F.collect_list("id")).alias("members"))
 
 
-def scale_of(classes: DataFrame) -> float:
-    """Root of the total variance of a bounded sample of vectors."""
-    sample = classes.orderBy(F.xxhash64("cid")).limit(SAMPLE).select("vec").collect()
-    by_length: dict[int, list] = {}
-    for row in sample:
-        by_length.setdefault(len(row.vec), []).append(row.vec)
-    found = []
-    for vectors in by_length.values():
-        rows = np.array(vectors, np.float64)
-        unit = np.abs(rows).max()  # squares of the components themselves might leave the range of doubles
-        found.append(unit * np.sqrt((rows / unit).var(axis=0).sum()))
-    return float(max(found, default=0)) or 1.0
+def sampled(classes: DataFrame) -> list[np.ndarray]:
+    """At most SAMPLE different vectors, those with the smallest hashes, as one matrix per length."""
+    table = classes.orderBy(F.xxhash64("cid")).limit(SAMPLE).select("vec").toArrow()
+    column = table.column("vec").combine_chunks()
+    if isinstance(column, pa.ChunkedArray):
+        column = column.chunk(0) if column.num_chunks else pa.array([], column.type)
+    return [rows for _, rows in matrices(column)]
 
 
-def bucketed(rows: DataFrame, hashing: Hashing, probing: bool, vec_type: str) -> DataFrame:
-    """(t, b, cid, vec): every vector in its bucket of each table, or in all that it visits."""
+def bucketed(rows: DataFrame, hashing: Hashing, vec_type: str) -> DataFrame:
+    """(t, b, cid, vec): every vector in its bucket of each table."""
 
     def place(batches):
         for batch in batches:
             for at, rows_ in matrices(batch.column("vec")):
-                found = hashing.probes(rows_) if probing else hashing.home(rows_)[..., None]
-                n, per = len(at), found.shape[2]
-                for t in range(TABLES):
-                    take = pa.array(np.repeat(at, per))
+                found = hashing.home(rows_)
+                take = pa.array(at)
+                cid, vec = batch.column("cid").take(take), batch.column("vec").take(take)
+                for t in range(hashing.tables):
                     yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.full(n * per, t, np.int32)),
-                            pa.array(found[:, t].reshape(-1)),
-                            batch.column("cid").take(take),
-                            batch.column("vec").take(take),
-                        ],
+                        [pa.array(np.full(len(at), t, np.int32)), pa.array(found[:, t]), cid, vec],
                         ["t", "b", "cid", "vec"],
                     )
 
     return rows.select("cid", "vec").mapInArrow(place, f"t int, b bigint, cid bigint, vec {vec_type}")
 
 
+def visited(rows: DataFrame, hashing: Hashing) -> DataFrame:
+    """(t, b, cid): the buckets that each query visits."""
+
+    def place(batches):
+        for batch in batches:
+            for at, rows_ in matrices(batch.column("vec")):
+                for k in range(0, len(at), TOGETHER):
+                    found = hashing.probes(rows_[k : k + TOGETHER])
+                    n, tables, per = found.shape
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(np.tile(np.repeat(np.arange(tables, dtype=np.int32), per), n)),
+                            pa.array(found.reshape(-1)),
+                            batch.column("cid").take(pa.array(np.repeat(at[k : k + TOGETHER], tables * per))),
+                        ],
+                        ["t", "b", "cid"],
+                    )
+
+    return rows.select("cid", "vec").mapInArrow(place, "t int, b bigint, cid bigint").distinct()
+
+
 def distances(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
     """Euclidean distances by direct differences, scaled where squares would leave the range of doubles."""
     apart = np.abs(vectors - query)
@@ -178,64 +262,91 @@ def nearest_in(vectors: np.ndarray, ids: np.ndarray, queries: np.ndarray, k: int
     return np.concatenate(rows), np.concatenate(found), np.concatenate(scores)
 
 
-def search_stream(batches, k: int):
-    """Compare in a stream sorted by bucket, block and kind: the vectors of a block, then its queries."""
-    held_key, vectors, ids = None, [], []
+class Held:
+    """The vectors of one block, by bucket."""
+
+    def __init__(self, vectors: list[np.ndarray], ids: list[np.ndarray], buckets: list[np.ndarray]):
+        self.b = np.concatenate(buckets)
+        order = np.argsort(self.b, kind="stable")
+        self.b, self.vectors, self.ids = self.b[order], np.concatenate(vectors)[order], np.concatenate(ids)[order]
+
+    def search(self, queries: np.ndarray, wanted: list[np.ndarray], k: int):
+        """The k nearest vectors of each query in the buckets it visits."""
+        parts = []
+        for q, visits in enumerate(wanted):
+            low, high = np.searchsorted(self.b, visits), np.searchsorted(self.b, visits, "right")
+            n = int((high - low).sum())
+            if n == len(self.b):
+                _, ids, scores = nearest_in(self.vectors, self.ids, queries[q : q + 1], k)
+            elif n:
+                at = ragged(low, high - low)
+                _, ids, scores = nearest_in(self.vectors[at], self.ids[at], queries[q : q + 1], k)
+            else:
+                continue
+            parts.append((np.full(len(ids), q), ids, scores))
+        return tuple(np.concatenate(x) for x in zip(*parts)) if parts else None
 
-    def made(parts):
-        q, c, s = (np.concatenate(x) for x in zip(*parts)) if parts else ([], [], [])
-        return pa.RecordBatch.from_arrays(
-            [pa.array(q, pa.int64()), pa.array(c, pa.int64()), pa.array(s, pa.float64())], ["q", "c", "score"]
-        )
+
+def search_stream(batches, k: int):
+    """Compare in a stream sorted by table, length, block and kind: the vectors of a block, then its queries."""
+    held_key, parts, held = None, [], None
 
     for batch in batches:
-        columns = (batch.column(x).to_numpy(zero_copy_only=False) for x in ("t", "b", "blk", "kind", "cid"))
-        t, b, blk, kind, cid = columns
-        if not len(t):
+        if not batch.num_rows:
             continue
-        row = np.zeros(len(t), np.int64)
-        blocks = {}
+        t, dims, blk, kind, cid = (
+            batch.column(x).to_numpy(zero_copy_only=False) for x in ("t", "dims", "blk", "kind", "cid")
+        )
+        row, of_length = np.zeros(len(t), np.int64), {}
         for at, rows in matrices(batch.column("vec")):
             row[at] = np.arange(len(at))
-            blocks[rows.shape[1]] = rows
-        dims = batch.column("vec").value_lengths().to_numpy(zero_copy_only=False)
-        change = np.flatnonzero(
-            (t[1:] != t[:-1]) | (b[1:] != b[:-1]) | (blk[1:] != blk[:-1]) | (kind[1:] != kind[:-1])
-        ) + 1
-        cuts = np.concatenate(([0], change, [len(t)]))
-        out = []
+            of_length[rows.shape[1]] = rows
+        visits = batch.column("bs")
+        ends = np.concatenate(([0], np.cumsum(visits.value_lengths().to_numpy(zero_copy_only=False))))
+        flat = visits.flatten().to_numpy(zero_copy_only=False)
+        change = [x[1:] != x[:-1] for x in (t, dims, blk, kind)]
+        cuts = np.concatenate(([0], np.flatnonzero(np.logical_or.reduce(change)) + 1, [len(t)]))
         for low, high in zip(cuts, cuts[1:]):
-            key, rows = (t[low], b[low], blk[low]), blocks[dims[low]][row[low:high]]
+            key, rows = (t[low], dims[low], blk[low]), of_length[dims[low]][row[low:high]]
             if kind[low] == 0:
                 if key != held_key:
-                    held_key, vectors, ids = key, [], []
-                vectors.append(rows)
-                ids.append(cid[low:high])
+                    held_key, parts, held = key, [], None
+                parts.append((rows, cid[low:high], flat[ends[low:high]]))
             elif key == held_key:
-                vectors, ids = [np.concatenate(vectors)], [np.concatenate(ids)]
-                for k0 in range(0, len(rows), 64):
-                    q, c, s = nearest_in(vectors[0], ids[0], rows[k0 : k0 + 64], k)
-                    out.append((cid[low + k0 : high][q], c, s))
-        if out:
-            yield made(out)
+                held = held or Held(*map(list, zip(*parts)))
+                found = held.search(rows, [flat[a:b] for a, b in zip(ends[low:high], ends[low + 1 : high + 1])], k)
+                if found:
+                    q, ids, scores = found
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(cid[low:high][q]), pa.array(ids, pa.int64()), pa.array(scores)], ["q", "c", "score"]
+                    )
 
 
-def searched(index: DataFrame, visits: DataFrame, k: int) -> DataFrame:
-    """(q, c, score): the k nearest of each query in each bucket it visits.
+def searched(index: DataFrame, visits: DataFrame, queries: DataFrame, rows: int, k: int) -> DataFrame:
+    """(q, c, score): the k nearest of each query in the buckets that it visits.
 
-    A large bucket is split into blocks by a hash of the vector; a query that visits it meets all blocks.
+    Buckets are dealt into blocks of about BLOCK vectors by a hash, larger buckets into several. A query is
+    sent once to each block, with the buckets it visits there.
     """
     sizes = index.groupBy("t", "b").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK)
     sizes = sizes.select(F.col("t").alias("t_"), F.col("b").alias("b_"), F.ceil(F.col("n") / BLOCK).cast("int").alias("nb"))
     same = (F.col("t") == F.col("t_")) & (F.col("b") == F.col("b_"))
-    count = F.coalesce("nb", F.lit(1))
+    parts = F.coalesce("nb", F.lit(1))
+    blocks = F.lit(max(-(-rows // BLOCK), 1))
+
+    def block(part: Column) -> Column:
+        return F.pmod(F.xxhash64("b", part), blocks).cast("int").alias("blk")
+
     own = index.join(sizes, same, "left").select(
-        "t", "b", F.pmod(F.xxhash64("cid"), count).cast("int").alias("blk"), F.lit(0).alias("kind"), "cid", "vec"
+        "t", F.size("vec").alias("dims"), block(F.pmod(F.xxhash64("cid"), parts).cast("int")), F.lit(0).alias("kind"), "cid", "vec", F.array("b").alias("bs")
     )
-    asked = visits.join(sizes, same, "left").select(
-        "t", "b", F.explode(F.sequence(F.lit(0), count - 1)).alias("blk"), F.lit(1).alias("kind"), "cid", "vec"
+    spread = visits.join(sizes, same, "left").select("t", "b", "cid", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+    asked = spread.select("t", "b", "cid", block(F.col("part"))).groupBy("t", "blk", "cid").agg(F.collect_set("b").alias("bs"))
+    asked = asked.join(queries.select("cid", "vec"), "cid").select(
+        "t", F.size("vec").alias("dims"), "blk", F.lit(1).alias("kind"), "cid", "vec", "bs"
     )
-    both = own.union(asked).repartition("t", "b", "blk").sortWithinPartitions("t", "b", "blk", "kind")
+    keys = ["t", "dims", "blk"]
+    both = own.union(asked).repartition(*keys).sortWithinPartitions(*keys, "kind")
     return both.mapInArrow(lambda batches: search_stream(batches, k), "q bigint, c bigint, score double")
 
 
@@ -255,10 +366,11 @@ def nearest_neighbours(
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row whose id is divisible by ``every`` its k nearest others.
 
-    Every vector is hashed into TABLES tables. A query visits PROBES buckets of each, in the order of
-    estimated success; candidates of all tables are merged and ranked by exact distances in double
-    precision, ties to the smaller id. A query that finds fewer than k is compared with all vectors, in
-    blocks, so it gets all there are. Recall depends on how far neighbours stand out, not on table size.
+    Every vector is hashed into several tables. A query visits buckets of each, in the order of estimated
+    success; candidates of all tables are merged and ranked by exact distances in double precision, ties to
+    the smaller id. The cells follow from the number of vectors; tables and probes are chosen on a bounded
+    sample for a recall of WANTED there. A query that finds fewer than k is compared with all vectors, in
+    blocks, so it gets all there are. What a search costs depends on how far neighbours stand out.
 
     Vectors that are NULL, zero, or hold NULL or non-finite components take no part, nor do rows with a
     NULL id. Equal vectors are one entry of the index; exact repeats of a row count once. Vectors of
@@ -273,23 +385,22 @@ def nearest_neighbours(
     asking = asking.join(classes.select("vec", "cid"), "vec").select("id", "cid", "vec")
     asking = settled(asking, "vector-queries")
     distinct_asking = asking.dropDuplicates(["cid"])
-    hashing = Hashing(WIDTH * scale_of(classes), seed)
+    rows = classes.count()
+    hashing = fitted(sampled(classes), rows, k, seed)
     members = classes.select("cid", "members")
-    index = bucketed(classes, hashing, False, vec_type)
-    visits = bucketed(distinct_asking, hashing, True, vec_type)
-    found = settled(best(searched(index, visits, k + 1), members, k), "neighbours")
+    index = bucketed(classes, hashing, vec_type)
+    visits = visited(distinct_asking, hashing)
+    found = settled(best(searched(index, visits, distinct_asking, rows, k + 1), members, k), "neighbours")
     # Too few found: compare with everything.
     short = found.where(F.size("near") < k + 1).select(F.col("q").alias("cid_"))
     if not short.isEmpty():
-        blocks = max(-(-classes.count() // BLOCK), 1)
-        # The length of the vectors is the table, a hash of the vector the bucket.
-        every_one = classes.select(
-            F.size("vec").alias("t"), F.pmod(F.xxhash64("cid"), F.lit(blocks)).alias("b"), "cid", "vec"
-        )
+        blocks = max(-(-rows // BLOCK), 1)
+        # One table, in which a hash of the vector is the bucket, and every query visits all.
+        every_one = classes.select(F.lit(0).alias("t"), F.pmod(F.xxhash64("cid"), F.lit(blocks)).alias("b"), "cid", "vec")
         few = distinct_asking.join(short, F.col("cid") == F.col("cid_"), "left_semi")
         all_blocks = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("b")
-        asked = few.select(F.size("vec").alias("t"), all_blocks, "cid", "vec")
-        exact = best(searched(every_one, asked, k + 1), members, k)
+        asked = few.select(F.lit(0).alias("t"), all_blocks, "cid")
+        exact = best(searched(every_one, asked, few, rows, k + 1), members, k)
         found = found.join(short, F.col("q") == F.col("cid_"), "left_anti").union(settled(exact, "neighbours"))
     answers = asking.select(F.col("id").alias("query_id"), "cid").join(found, F.col("cid") == F.col("q"))
     others = F.slice(F.filter("near", lambda x: x.id != F.col("query_id")), 1, k)
