@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.llm.common import name, ready, scratch_path, settled
+from siltstone.llm.order import smallest_hashes
 
 # The profile of records that repeat a payload, and the ends of lines and records.
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -150,15 +151,17 @@ def shard_bounds(light: DataFrame) -> np.ndarray:
     """Where shards begin, as texts of ``ordering``: quantiles, by bytes, of the rows with the smallest
     hashes. The same rows give the same bounds. The driver gets SAMPLE_PER_SHARD rows per shard."""
     weight = F.col("n_bytes") + HEADERS
-    total = light.agg(F.sum(weight)).first()[0] or 0
+    total, rows = light.agg(F.sum(weight), F.count("*")).first()
+    total = total or 0
     size = min(max(total // 1000, SHARD_BYTES[0]), SHARD_BYTES[1])
     n_shards = max(-(-total // size), 1)
     at = ordering(F.col("page_id"), F.col("url"), F.col("key"), F.lit(0))
-    picked = light.select(at.alias("at"), weight.alias("w")).orderBy(F.xxhash64("at"), "at")
-    rows = sorted(tuple(r) for r in picked.limit(SAMPLE_PER_SHARD * n_shards).collect())
-    sums = np.cumsum([w for _, w in rows])
+    weighed = light.select(at.alias("at"), weight.alias("w"))
+    picked = smallest_hashes(weighed, F.col("at"), SAMPLE_PER_SHARD * n_shards, rows)
+    sample = sorted(tuple(r) for r in picked.collect())
+    sums = np.cumsum([w for _, w in sample])
     places = np.searchsorted(sums, np.arange(1, n_shards) / n_shards * (sums[-1] if len(sums) else 0))
-    return np.unique(np.array([rows[p][0] for p in places], dtype="S49"))
+    return np.unique(np.array([sample[p][0] for p in places], dtype="S49"))
 
 
 def copies(rows: DataFrame, first: Column) -> DataFrame:
