@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.llm.common import name, ragged, ready, settled, type_of
+from siltstone.llm.order import smallest_hashes
 
 #: Width of a cell in standard deviations, and into how many of equal weight it divides a projection.
 WIDTH, CELLS = 1.6, 2.6
@@ -171,9 +172,9 @@ def vector_classes(vectors: DataFrame, k: int) -> DataFrame:
     return few.groupBy("vec").agg(F.min("id").alias("cid"), F.sort_array(F.collect_list("id")).alias("members"))
 
 
-def sampled(classes: DataFrame) -> list[np.ndarray]:
+def sampled(classes: DataFrame, rows: int) -> list[np.ndarray]:
     """At most SAMPLE different vectors, those with the smallest hashes, as one matrix per length."""
-    table = classes.orderBy(F.xxhash64("cid")).limit(SAMPLE).select("vec").toArrow()
+    table = smallest_hashes(classes, F.col("cid"), SAMPLE, rows).select("vec").toArrow()
     column = table.column("vec").combine_chunks()
     if isinstance(column, pa.ChunkedArray):
         column = column.chunk(0) if column.num_chunks else pa.array([], column.type)
@@ -386,7 +387,7 @@ def nearest_neighbours(
     asking = settled(asking, "vector-queries")
     distinct_asking = asking.dropDuplicates(["cid"])
     rows = classes.count()
-    hashing = fitted(sampled(classes), rows, k, seed)
+    hashing = fitted(sampled(classes, rows), rows, k, seed)
     members = classes.select("cid", "members")
     index = bucketed(classes, hashing, vec_type)
     visits = visited(distinct_asking, hashing)
