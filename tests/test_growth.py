@@ -53,7 +53,7 @@ def broadcast(text: str) -> str:
     return "\n".join(kept)
 
 
-@pytest.mark.parametrize("name", ["left_join_lookup", "tolerance_join"])
+@pytest.mark.parametrize("name", ["left_join_lookup", "tolerance_join", "star_resolution"])
 def test_many_rows_of_a_small_file_are_not_broadcast_unmeasured(spark, folder, name):
     """A measured size does not take a broadcast back, so none may rest on the size of the file of parts."""
     df = QUERIES[name](spark, folder)
