@@ -1,4 +1,4 @@
-"""Tables whose files are small and whose rows are many: what is broadcast."""
+"""Tables whose files are small and whose rows are many: what is broadcast, and how often the log is built."""
 
 from __future__ import annotations
 
@@ -18,7 +18,7 @@ def folder(spark, tmp_path_factory):
     at, k = str(tmp_path_factory.mktemp("tables")), F.col("id")
     tables = {
         "part": spark.range(0, PARTS, 1, 1).selectExpr(
-            "id AS p_partkey", "'ring' AS p_name", "concat('Brand#', id % 5) AS p_brand", "'SMALL' AS p_type",
+            "id AS p_partkey", "'ring' AS p_name", "concat('Brand#', id % 5) AS p_brand", "'LARGE' AS p_type",
             "int(id % 50) AS p_size", "900.0D + id % 100 AS p_retailprice",
         ),
         "customer": spark.range(0, 10, 1, 1).selectExpr(
@@ -53,7 +53,9 @@ def broadcast(text: str) -> str:
     return "\n".join(kept)
 
 
-@pytest.mark.parametrize("name", ["left_join_lookup", "tolerance_join", "star_resolution"])
+@pytest.mark.parametrize(
+    "name", ["left_join_lookup", "tolerance_join", "star_resolution", "session_facts"]
+)
 def test_many_rows_of_a_small_file_are_not_broadcast_unmeasured(spark, folder, name):
     """A measured size does not take a broadcast back, so none may rest on the size of the file of parts."""
     df = QUERIES[name](spark, folder)
