@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.plans import gold
+from siltstone.plans import gold, silver
 from siltstone.plans.kept_facts import note_changes
 from siltstone.plans.runs import LOGS, build_silver, keep_all_first_levels, promote, refresh_gold
 from siltstone.plans.values import FREE, PAID
 from siltstone.sources import clustered, create_table
 from siltstone.sources.landing import INTERVAL
-from siltstone.workload.feeds import Feeds
+from siltstone.workload.feeds import BATCH, Feeds
 from siltstone.workload.registry import ORACLES, query
 from siltstone.workload.sql import level_tables, with_tables
 
@@ -72,12 +72,11 @@ def user_levels_interval(feeds: Feeds) -> DataFrame:
     ),
 )
 def user_facts(feeds: Feeds) -> DataFrame:
-    facts = gold.user_facts(
-        feeds.users,
-        feeds.events,
-        feeds.song_versions,
-        feeds.user_levels,
-    )
+    """From the log as a table: it is read for the users, for their levels and for the plays."""
+    logs = feeds.play_log_table
+    users = silver.users(logs, BATCH)
+    events = silver.resolve_events(logs, users, feeds.songs, feeds.artists, feeds.song_versions, BATCH)
+    facts = gold.user_facts(users, events, feeds.song_versions, silver.user_levels(logs, BATCH))
     return facts.withColumn("total_listening_seconds", F.round("total_listening_seconds", 2))
 
 

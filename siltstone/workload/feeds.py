@@ -130,6 +130,13 @@ class Feeds:
         """The whole listening log as one batch."""
         return stamp_interval(self.play_logs, BATCH)
 
+    @cached_property
+    def play_log_table(self) -> DataFrame:
+        """The whole listening log as a table, for queries that read it more than twice."""
+        namespace, _ = self.scratch()
+        create_table(self.play_batch, f"{namespace}.play_log")
+        return self.spark.table(f"{namespace}.play_log")
+
     @cached_property
     def user_log_table(self) -> DataFrame:
         """The user log as a table partitioned by interval."""

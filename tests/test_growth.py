@@ -54,7 +54,7 @@ def broadcast(text: str) -> str:
 
 
 @pytest.mark.parametrize(
-    "name", ["left_join_lookup", "tolerance_join", "star_resolution", "session_facts"]
+    "name", ["left_join_lookup", "tolerance_join", "star_resolution", "session_facts", "user_facts"]
 )
 def test_many_rows_of_a_small_file_are_not_broadcast_unmeasured(spark, folder, name):
     """A measured size does not take a broadcast back, so none may rest on the size of the file of parts."""
