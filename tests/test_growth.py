@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_plans import plan
 
-from siltstone.workload import QUERIES
+from siltstone.workload import QUERIES, builders, feeds
 from siltstone.workload.scratch import drop_namespaces
 
 PARTS, ORDERS = 120_000, 40
@@ -64,3 +64,19 @@ def test_many_rows_of_a_small_file_are_not_broadcast_unmeasured(spark, folder, n
     # A small file is broadcast all the same.
     assert "BroadcastExchange" in plan(QUERIES["left_join_latest"](spark, folder))
     drop_namespaces(spark)
+
+
+@pytest.mark.parametrize("name", ["song_facts_refreshed"])
+def test_the_log_is_joined_once(spark, folder, monkeypatch, name):
+    """Users, levels and plays are built from the log as a table."""
+    read, build = [], builders.create_table
+
+    def create(df, *rest):
+        read.append(plan(df).count("lineitem.parquet"))
+        build(df, *rest)
+
+    for module in (builders, feeds):
+        monkeypatch.setattr(module, "create_table", create)
+    QUERIES[name](spark, folder)
+    drop_namespaces(spark)
+    assert sum(read) == 1
