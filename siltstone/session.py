@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -24,6 +25,27 @@ SESSION_SETTINGS = {
     "spark.sql.sources.fileCompressionFactor": "100",
 }
 
+# A broadcast is built in the driver, at several times its size, and a query may build some at once. So a session may
+# allow smaller ones or none, but no larger ones, planned or measured.
+LARGEST_BROADCAST = 10 << 20
+BROADCAST_THRESHOLDS = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def in_bytes(size: str) -> int:
+    """A size as Spark's settings give it, such as ``10MB``, ``256k`` or ``-1``."""
+    number, unit = re.fullmatch(r"(-?\d+)([kmgtp]?)b?", size.strip().lower()).groups()
+    return int(number) << 10 * " kmgtp".index(unit or " ")
+
+
+def apply_settings(spark: SparkSession) -> None:
+    """The settings this library relies on, in a session of any origin."""
+    for key, value in SESSION_SETTINGS.items():
+        spark.conf.set(key, value)
+    for key in BROADCAST_THRESHOLDS:
+        allowed = spark.conf.get(key, None)
+        if allowed is not None and in_bytes(allowed) > LARGEST_BROADCAST:
+            spark.conf.set(key, str(LARGEST_BROADCAST))
+
 
 def local_session(cores: str | int = "*", memory: str = "8g", **settings: str) -> SparkSession:
     """A single-machine session. On a cluster, use the session it provides."""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltstone.session import SESSION_SETTINGS
+from siltstone.session import apply_settings
 from siltstone.workload.feeds import Feeds
 
 Build = Callable[[Feeds], DataFrame]
@@ -33,8 +33,7 @@ def query(name: str, sql: str) -> Callable[[Build], Build]:
 
     def register(build: Build) -> Build:
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            for key, value in SESSION_SETTINGS.items():
-                spark.conf.set(key, value)
+            apply_settings(spark)
             return comparable(build(Feeds(spark, folder)))
 
         run.__name__ = build.__name__

@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 from test_plans import plan
 
+from siltstone import session
+from siltstone.session import BROADCAST_THRESHOLDS, session_setting
 from siltstone.workload import QUERIES, builders, feeds
 from siltstone.workload.scratch import drop_namespaces
 
@@ -66,6 +68,29 @@ def test_many_rows_of_a_small_file_are_not_broadcast_unmeasured(spark, folder, n
     drop_namespaces(spark)
 
 
+@pytest.mark.parametrize("name", ["tolerance_join"])
+def test_a_session_that_allows_large_broadcasts_gets_small_ones(spark, folder, monkeypatch, name):
+    planned, measured = BROADCAST_THRESHOLDS
+    with session_setting(spark, planned, "1g"):
+        assert "part.parquet" not in broadcast(plan(QUERIES[name](spark, folder)))
+    monkeypatch.setattr(session, "LARGEST_BROADCAST", 1 << 10)
+    with session_setting(spark, planned, "1k"), session_setting(spark, measured, "1g"):
+        df = QUERIES[name](spark, folder)
+        assert df.collect()
+        ran = plan(df).split("== Initial Plan ==")[0]
+    assert "part.parquet" in ran and "part.parquet" not in broadcast(ran)
+
+
+@pytest.mark.parametrize(
+    "allowed, kept", [("-1", "-1"), ("256k", "256k"), ("10MB", "10MB"), ("11m", "10485760"), ("1g", "10485760")]
+)
+def test_a_session_may_allow_smaller_broadcasts_only(spark, folder, allowed, kept):
+    for key in BROADCAST_THRESHOLDS:
+        with session_setting(spark, key, allowed):
+            QUERIES["project_rename"](spark, folder)
+            assert spark.conf.get(key) == kept
+
+
 @pytest.mark.parametrize("name", ["song_facts_refreshed"])
 def test_the_log_is_joined_once(spark, folder, monkeypatch, name):
     """Users, levels and plays are built from the log as a table."""
