@@ -68,13 +68,13 @@ def test_many_rows_of_a_small_file_are_not_broadcast_unmeasured(spark, folder, n
     drop_namespaces(spark)
 
 
-@pytest.mark.parametrize("name", ["tolerance_join"])
+@pytest.mark.parametrize("name", ["tolerance_join", "session_facts"])
 def test_a_session_that_allows_large_broadcasts_gets_small_ones(spark, folder, monkeypatch, name):
     planned, measured = BROADCAST_THRESHOLDS
     with session_setting(spark, planned, "1g"):
         assert "part.parquet" not in broadcast(plan(QUERIES[name](spark, folder)))
-    monkeypatch.setattr(session, "LARGEST_BROADCAST", 1 << 10)
-    with session_setting(spark, planned, "1k"), session_setting(spark, measured, "1g"):
+    monkeypatch.setattr(session, "LARGEST_BROADCAST", 1)
+    with session_setting(spark, planned, "1"), session_setting(spark, measured, "1g"):
         df = QUERIES[name](spark, folder)
         assert df.collect()
         ran = plan(df).split("== Initial Plan ==")[0]
