@@ -104,7 +104,8 @@ def user_facts(feeds: Feeds) -> DataFrame:
     ),
 )
 def session_facts(feeds: Feeds) -> DataFrame:
-    facts = gold.session_facts(feeds.events, feeds.song_versions)
+    """From the plays as a table: they are read for the measures and for the first play of each session."""
+    facts = gold.session_facts(feeds.event_table, feeds.song_versions)
     return facts.withColumn("total_listening_seconds", F.round("total_listening_seconds", 2))
 
 

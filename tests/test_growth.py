@@ -105,3 +105,18 @@ def test_the_log_is_joined_once(spark, folder, monkeypatch, name):
     QUERIES[name](spark, folder)
     drop_namespaces(spark)
     assert sum(read) == 1
+
+
+def test_session_facts_read_the_plays_from_a_table(spark, folder, monkeypatch):
+    """They are read twice, so the joins of the log would stand in one plan with those of the users, and twice."""
+    read, build = [], feeds.create_table
+
+    def create(df, *rest):
+        read.append(plan(df).count("lineitem.parquet"))
+        build(df, *rest)
+
+    monkeypatch.setattr(feeds, "create_table", create)
+    df = QUERIES["session_facts"](spark, folder)
+    assert read == [1, 1] and "lineitem.parquet" not in plan(df)
+    assert df.count()
+    drop_namespaces(spark)
