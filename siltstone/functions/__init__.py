@@ -1,6 +1,6 @@
 """Column expressions: built-in Spark functions only, so they stay inside code generation."""
 
-from siltstone.functions.keys import hashed, key_text, surrogate_key, version_key
+from siltstone.functions.keys import hashed, key_text, packed, surrogate_key, unpacked, version_key
 from siltstone.functions.predicates import is_positive, is_required
 from siltstone.functions.times import date_from_epoch_ms, seconds_between, timestamp_from_epoch_ms
 from siltstone.functions.values import (
@@ -26,6 +26,7 @@ __all__ = [
     "is_required",
     "key_text",
     "or_default",
+    "packed",
     "ratio",
     "seconds_between",
     "sentinel_to_null",
@@ -33,5 +34,6 @@ __all__ = [
     "surrogate_key",
     "timestamp_from_epoch_ms",
     "translate",
+    "unpacked",
     "version_key",
 ]

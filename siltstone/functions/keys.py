@@ -33,3 +33,21 @@ def version_key(owner: Column | str, measure: Column | str) -> Column:
     measure = F.col(measure) if isinstance(measure, str) else measure
     text = F.concat(owner.cast("string"), F.lit(SEPARATOR), measure.cast("double").cast("string"))
     return hashed(text)
+
+
+def packed(text: Column | str) -> Column:
+    """One to one: a lower-case hex digest as bytes, half as long in a shuffle; other text as it is. NULL stays NULL.
+
+    The first byte tells the two apart. Digests keep their order, as does other text.
+    """
+    text = F.col(text) if isinstance(text, str) else text
+    digest = F.unhex(text)
+    kept = F.concat(F.lit(bytearray(b"\0")), text.cast("binary"))
+    return F.when(F.lower(F.hex(digest)) == text, F.concat(F.lit(bytearray(b"\1")), digest)).otherwise(kept)
+
+
+def unpacked(key: Column | str) -> Column:
+    """The text of a ``packed`` key."""
+    key = F.col(key) if isinstance(key, str) else key
+    rest = F.substring(key, 2, 1 << 30)
+    return F.when(F.substring(key, 1, 1) == F.lit(bytearray(b"\1")), F.lower(F.hex(rest))).otherwise(rest.cast("string"))

@@ -82,17 +82,14 @@ def tolerance_join(
     reach = F.array_distinct(
         F.array(cell(F.col(right_value) - tolerance), cell(F.col(right_value) + tolerance))
     )
-    celled_left = left.withColumn("_left_cell", cell(F.col(left_value)))
     celled_right = right.where(F.col(right_value).isNotNull()).withColumn(
         "_right_cell", F.explode(reach)
     )
     near = distance(f"r.{right_value}", f"l.{left_value}") < tolerance
+    # The left cell is no column: it is worked out where it is needed, and not shuffled.
+    same_cell = cell(F.col(f"l.{left_value}")) == F.col("r._right_cell")
     return (
-        celled_left.alias("l")
-        .join(
-            celled_right.alias("r"),
-            _pair_condition({**pairs, "_left_cell": "_right_cell"}) & near,
-            "inner",
-        )
-        .drop("_left_cell", "_right_cell")
+        left.alias("l")
+        .join(celled_right.alias("r"), _pair_condition(pairs) & same_cell & near, "inner")
+        .drop("_right_cell")
     )

@@ -15,9 +15,11 @@ from siltstone.functions import (
     is_positive,
     is_required,
     key_text,
+    packed,
     sentinel_to_null,
     timestamp_from_epoch_ms,
     translate,
+    unpacked,
     version_key,
 )
 from siltstone.operators import keep_known, membership, tolerance_join, top_row, union_tagged
@@ -143,6 +145,15 @@ def plays(logs: DataFrame, interval: str) -> DataFrame:
     The play's key stays text here; it is hashed once the play is resolved, as the short text costs
     less in the shuffles on the way.
     """
+    return worked_out(logged_plays(logs, interval))
+
+
+#: What ``worked_out`` makes of what a play was logged with.
+LOGGED = ("user_logged", "session_logged", "item_logged", "ts_logged")
+
+
+def logged_plays(logs: DataFrame, interval: str) -> DataFrame:
+    """The plays with key parts and moment as they were logged, which takes less room than what follows from them."""
     played = in_interval(logs, interval).where(
         (F.col("page") == PLAY_PAGE)
         & is_required("user_id")
@@ -151,18 +162,31 @@ def plays(logs: DataFrame, interval: str) -> DataFrame:
         & is_positive("length")
     )
     return played.select(
-        key_text("user_id", "session_id", "item_in_session").alias("play_key"),
-        timestamp_from_epoch_ms("ts").alias("ts"),
+        F.col("user_id").alias("user_logged"),
+        F.col("session_id").alias("session_logged"),
+        F.col("item_in_session").alias("item_logged"),
+        F.col("ts").alias("ts_logged"),
         id_from_text("user_id").alias("user_id"),
-        as_long("session_id").alias("session_id"),
-        as_integer("item_in_session").alias("item_in_session"),
         F.col("song").alias("played_title"),
         F.col("artist").alias("played_artist"),
         F.col("length").try_cast("double").alias("length"),
         "level",
         "location",
         "user_agent",
-        date_from_epoch_ms("ts").alias("event_date"),
+    )
+
+
+def worked_out(logged: DataFrame) -> DataFrame:
+    """Plays with their key, moment and date, from what they were logged with; other columns stay, in their order."""
+    others = [c for c in logged.columns if c not in (*LOGGED, "user_id")]
+    return logged.select(
+        key_text("user_logged", "session_logged", "item_logged").alias("play_key"),
+        timestamp_from_epoch_ms("ts_logged").alias("ts"),
+        "user_id",
+        as_long("session_logged").alias("session_id"),
+        as_integer("item_logged").alias("item_in_session"),
+        *others,
+        date_from_epoch_ms("ts_logged").alias("event_date"),
     )
 
 
@@ -228,8 +252,13 @@ def resolve_events(
     versions: DataFrame,
     interval: str,
 ) -> DataFrame:
-    """One row per play of a known user, resolved to the version nearest in length."""
-    return resolved(known_plays(logs, users, interval), playable_versions(songs, artists, versions))
+    """One row per play of a known user, resolved to the version nearest in length.
+
+    Plays meet the catalogue before the users: one shuffle by user then serves both them and ``nearest``.
+    """
+    playable = playable_versions(songs, artists, with_packed_ids(versions))
+    answered = answers(logged_plays(logs, interval), playable)
+    return nearest(worked_out(keep_known(answered, users, ["user_id"])))
 
 
 def known_plays(logs: DataFrame, users: DataFrame, interval: str) -> DataFrame:
@@ -239,11 +268,29 @@ def known_plays(logs: DataFrame, users: DataFrame, interval: str) -> DataFrame:
 
 def resolved(known: DataFrame, playable: DataFrame) -> DataFrame:
     """The event of each play that a playable version answers to: the one nearest in length."""
+    return nearest(answers(known, with_packed_ids(playable)))
+
+
+def with_packed_ids(versions: DataFrame) -> DataFrame:
+    """Version ids as ``nearest`` takes them: they are moved several times, and digests take half the room as bytes."""
+    return versions.withColumn("version_id", packed("version_id"))
+
+
+def answers(plays: DataFrame, playable: DataFrame) -> DataFrame:
+    """Each play, logged or worked out, with each version near it and the gap in length."""
     gap = distance("duration", "length").alias("gap")
-    nearest = top_row(
-        near_versions(known, playable).select("play_key", *EVENT_COLUMNS[1:], gap), ["play_key"], ["gap"]
-    )
-    return nearest.withColumn("event_id", hashed("play_key")).select(*EVENT_COLUMNS)
+    columns = [c for c in plays.columns if c not in ("played_title", "played_artist", "length")]
+    return near_versions(plays, playable).select(*columns, "version_id", "song_id", "artist_id", gap)
+
+
+def nearest(answered: DataFrame) -> DataFrame:
+    """Of the answers to each play, by known users and with packed ids, the event nearest in length.
+
+    Of two plays with one key both are of one user: the text of an id that is a number has no separator, so it
+    is what stands before the first one in the key. Rows that lie by user need not move again.
+    """
+    chosen = top_row(answered, ["user_id", "play_key"], ["gap"])
+    return chosen.withColumns({"event_id": hashed("play_key"), "version_id": unpacked("version_id")}).select(*EVENT_COLUMNS)
 
 
 def arrived_versions(playable: DataFrame, songs: DataFrame, artists: DataFrame, versions: DataFrame) -> DataFrame:

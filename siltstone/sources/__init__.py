@@ -10,6 +10,9 @@ from siltstone.sources.tables import (
     up_to_interval,
 )
 from siltstone.sources.writers import (
+    COMPRESSION,
+    FEW_PARTITIONS,
+    SIDE_COMPRESSION,
     add_missing_columns,
     clustered,
     create_table,
@@ -28,6 +31,9 @@ from siltstone.sources.writers import (
 from siltstone.sources.upsert import merge_rows, remove_keys, upsert
 
 __all__ = [
+    "COMPRESSION",
+    "FEW_PARTITIONS",
+    "SIDE_COMPRESSION",
     "add_missing_columns",
     "clustered",
     "create_table",

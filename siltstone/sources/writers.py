@@ -12,6 +12,10 @@ from siltstone.sources.tables import partition_columns, side_name, staged_view
 
 FORMAT = "parquet"
 COMPRESSION = "snappy"
+#: For tables that are dropped again: keys that are digests take half the room.
+SIDE_COMPRESSION = "zstd"
+#: Up to so many partitions, tasks that each write a file to all of them leave files of a good size.
+FEW_PARTITIONS = 8
 NEXT = "__next_"
 STAGED = "__staged_"
 #: The table property that names the folder a table had before its last replacement.
@@ -41,8 +45,10 @@ def clustered(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *columns).sortWithinPartitions(*columns)
 
 
-def create_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
-    writer = df.write.format(FORMAT).option("compression", COMPRESSION)
+def create_table(
+    df: DataFrame, table: str, partition_by: Sequence[str] = (), compression: str = COMPRESSION
+) -> None:
+    writer = df.write.format(FORMAT).option("compression", compression)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(table)

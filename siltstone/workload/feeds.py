@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.plans import silver
-from siltstone.sources import clustered, create_table, stamp_interval
+from siltstone.sources import SIDE_COMPRESSION, clustered, create_table, stamp_interval
 from siltstone.workload.scratch import new_namespace
 
 # One batch label for feeds that are loaded whole.
@@ -134,7 +134,7 @@ class Feeds:
     def play_log_table(self) -> DataFrame:
         """The whole listening log as a table, for queries that read it more than twice."""
         namespace, _ = self.scratch()
-        create_table(self.play_batch, f"{namespace}.play_log")
+        create_table(self.play_batch, f"{namespace}.play_log", (), SIDE_COMPRESSION)
         return self.spark.table(f"{namespace}.play_log")
 
     @cached_property
@@ -176,15 +176,15 @@ class Feeds:
 
     @cached_property
     def event_table(self) -> DataFrame:
-        """The resolved plays as a table, for queries that read them more than once.
+        """The resolved plays as a table, for queries that read them more than once; without ids of their own.
 
         The users are a table before. Of the log, each of the two writes takes its own columns and rows, which
         is less than the log as a table, and none plans the joins of the log twice.
         """
         namespace, _ = self.scratch()
-        create_table(self.users, f"{namespace}.users")
+        create_table(self.users, f"{namespace}.users", (), SIDE_COMPRESSION)
         events = silver.resolve_events(
             self.play_batch, self.spark.table(f"{namespace}.users"), self.songs, self.artists, self.song_versions, BATCH
         )
-        create_table(events, f"{namespace}.events")
+        create_table(events.drop("event_id"), f"{namespace}.events", (), SIDE_COMPRESSION)
         return self.spark.table(f"{namespace}.events")

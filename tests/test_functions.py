@@ -131,3 +131,13 @@ def test_dates_come_as_dates(spark):
     """The oracle compares dates as text; their type is checked here."""
     frame = spark.range(1).select(fn.date_from_epoch_ms(F.lit(0).cast("long")).alias("day"))
     assert frame.dtypes == [("day", "date")]
+
+
+def test_packed_text_comes_back_and_digests_are_half_as_long(spark):
+    digest = "0a" * 32
+    texts = [digest, digest.upper(), digest[1:], digest[:-1] + "g", "", "v1", "ab", "AB", "né", "\0", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").withColumn("p", fn.packed("t"))
+    got = df.select("t", fn.unpacked("p"), F.length("p")).collect()
+    assert [r[1] for r in got] == texts
+    assert got[0][2] == 33 and got[1][2] == 65 and got[-1][2] is None
+    assert df.where("p IS NOT NULL").select("p").distinct().count() == len(texts) - 1

@@ -4,8 +4,10 @@ import datetime as dt
 
 from conftest import rows
 from pyspark.sql import functions as F
+from test_plans import plan
 
 from siltstone.plans import silver
+from siltstone.session import session_setting
 
 LOG_SCHEMA = (
     "user_id string, session_id long, item_in_session long, ts long, page string, auth string, "
@@ -213,3 +215,35 @@ def test_copies_in_the_catalogue_do_not_multiply_plays(spark):
     events = silver.resolve_events(log, users, songs, artists, versions, DAY)
     assert rows(events.select("song_id", "artist_id").distinct()) == [("S000", "A0")]
     assert events.count() == 40
+
+
+def test_plays_are_shuffled_by_title_and_by_user_only(spark):
+    """The shuffle by user serves the known users and the nearest version of each play."""
+    df, catalogue = logs(spark, {}), feed(spark, {})
+    with session_setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        events = silver.resolve_events(
+            df, silver.users(df, DAY), silver.songs(catalogue, DAY), silver.artists(catalogue, DAY), silver.song_versions(catalogue, DAY), DAY
+        )
+        text = plan(events)
+    assert "hashpartitioning(play_key" not in text and "_left_cell" not in text
+    moved = [line for line in text.splitlines() if "Exchange hashpartitioning(" in line and "played_title" in line]
+    assert len(moved) == 1
+    assert len(events.collect()) == 1
+
+
+def test_plays_of_one_key_and_unknown_users(spark):
+    """Ids 7 and 07 are one user with keys of their own; of plays with one key, the nearest in length is kept."""
+    df = logs(
+        spark,
+        {"length": 200.006}, {"length": 200.0005, "level": "paid"}, {"user_id": "07"}, {"user_id": " 7"},
+        {"user_id": "8", "auth": "Logged Out"}, {"user_id": "abc"}, {"session_id": None, "item_in_session": 1},
+        {"session_id": 1, "item_in_session": None},
+    )
+    catalogue = feed(spark, {}, {"duration": 200.004})
+    args = (silver.users(df, DAY), silver.songs(catalogue, DAY), silver.artists(catalogue, DAY), silver.song_versions(catalogue, DAY))
+    events = silver.resolve_events(df, *args, DAY)
+    known = silver.known_plays(df, args[0], DAY)
+    slowly = silver.resolved(known, silver.playable_versions(*args[1:]))
+    assert rows(events) == rows(slowly)
+    assert sorted(r.level for r in events.collect()) == ["free", "free", "free", "paid"]
+    assert {r.version_id for r in events.collect()} <= {r.version_id for r in args[3].collect()}
