@@ -21,6 +21,7 @@ from siltstone.plans import gold, kept_facts, raw, silver
 from siltstone.plans.registry import GOLD_KEYS, SILVER_TABLES
 from siltstone.plans.values import UNRESOLVED_LIMIT
 from siltstone.sources import (
+    COMPRESSION,
     clustered,
     create_table,
     finish_replacement,
@@ -51,12 +52,16 @@ def promote(
     keys_known_unique: bool = False,
     check_keys: bool = False,
     before: Callable[[DataFrame], None] | None = None,
+    gather: bool = True,
+    compression: str = COMPRESSION,
 ) -> None:
     """Writes a staged query into its table: the first time as a new table, later as an upsert.
 
     Duplicate keys are dropped first, unless the query is known to yield each key once. ``before`` is
     called with the partitions that an upsert is about to write again. With ``check_keys`` the table's
-    keys must be unique afterwards: ``enforce_keys``.
+    keys must be unique afterwards: ``enforce_keys``. Without ``gather``, which is for few partitions, the rows
+    of a new table are not shuffled by partition; an upsert finds by itself how many it writes. A new table keeps
+    its ``compression``.
     """
     spark = staged.sparkSession
     finish_replacement(spark, table)
@@ -69,7 +74,7 @@ def promote(
 
         upsert(unique, table, keys, before, check if check_keys else None)
     else:
-        create_table(clustered(unique, partition_by), table, partition_by)
+        create_table(clustered(unique, partition_by if gather else ()), table, partition_by, compression)
         if check_keys:
             enforce_keys(spark, table, keys)
 

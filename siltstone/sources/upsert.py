@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from siltstone.sources.tables import partition_columns, side_name
 from siltstone.sources.types import fitted
 from siltstone.sources.writers import (
+    FEW_PARTITIONS,
+    SIDE_COMPRESSION,
     STAGED,
     add_missing_columns,
     clustered,
@@ -24,7 +26,13 @@ from siltstone.sources.writers import (
 
 
 def merge_rows(
-    target: DataFrame, staged: DataFrame, keys: Sequence[str], partition_by: Sequence[str] = ()
+    target: DataFrame,
+    staged: DataFrame,
+    keys: Sequence[str],
+    partition_by: Sequence[str] = (),
+    *,
+    matched_once: bool = False,
+    gather: bool = True,
 ) -> DataFrame:
     """Target rows after the upsert: matched ones take all staged values, also NULLs.
 
@@ -33,29 +41,59 @@ def merge_rows(
     updated and kept, within one partition: a second partition with the same key is what a stopped run
     left of a row that moved. The joins have the staged side, usually one interval, as the side that can
     be broadcast, so a large target need not shuffle. Only the staged rows are clustered by
-    ``partition_by``, as untouched ones already lie by partition.
+    ``partition_by``, as untouched ones already lie by partition; without ``gather`` they stay where they are.
+    With ``matched_once``, no matched key repeats in the target: unless a column is kept, the staged rows arrive
+    as they are.
     """
     keys = list(keys)
     staged_keys = staged.select(*keys)
     untouched = target.join(staged_keys, keys, "left_anti")
     kept = [name for name in target.columns if name not in staged.columns]
+    if matched_once and not kept:
+        arriving = staged.select(*target.columns)
+        return untouched.select(*target.columns).unionByName(clustered(arriving, partition_by if gather else ()))
     matched = target.join(staged_keys, keys, "left_semi")
     if partition_by:
         one_place = Window.partitionBy(*keys).orderBy(*(F.col(quoted(c)) for c in partition_by))
         matched = matched.withColumn("place_", F.dense_rank().over(one_place)).where("place_ = 1")
     arriving = staged.join(matched.select(*keys, *kept), keys, "left")
-    arriving = clustered(arriving.select(*target.columns), partition_by)
+    arriving = clustered(arriving.select(*target.columns), partition_by if gather else ())
     return untouched.select(*target.columns).unionByName(arriving)
 
 
 def refuse_repeated_keys(staged: DataFrame, keys: Sequence[str], table: str) -> None:
     """A key that arrives twice has no one right row; keys with a NULL match nothing and may repeat."""
-    named = staged.dropna(subset=list(keys)).groupBy(*keys).count()
-    repeated = named.where("count > 1").limit(1).collect()
+    named = staged.dropna(subset=list(keys))
+    # Equal keys have equal marks, of eight bytes. Only if one repeats are the keys themselves gathered.
+    if named.groupBy(_mark(named, keys)).count().where("count > 1").isEmpty():
+        return
+    repeated = named.groupBy(*keys).count().where("count > 1").limit(1).collect()
     if repeated:
         raise ValueError(f"{table}: the staged rows repeat a key, such as {repeated[0].asDict()}")
 
 
+def _mark(df: DataFrame, keys: Sequence[str]) -> Column:
+    """A hash that is equal for equal keys; keys under a collation, where unlike texts are equal, all have one."""
+    plain = [k for k in keys if "collate" not in df.schema[k].dataType.simpleString()]
+    return F.xxhash64(F.lit(0), *(F.col(quoted(k)) for k in plain)).alias("mark_")
+
+
+def touched(target: DataFrame, staged: DataFrame, keys: Sequence[str], partition_by: Sequence[str]) -> DataFrame:
+    """Partitions that hold a matched row or receive a staged one, with whether rows arrive and the most rows
+    that one key has.
+
+    Keys are compared by their marks. Should two keys share one, a partition is named in vain and its rows are
+    written again as they are, or a key counts as repeated.
+    """
+    marks = staged.dropna(subset=list(keys)).select(_mark(staged, keys))
+    held = target.dropna(subset=list(keys)).select(*partition_by, _mark(target, keys)).join(marks, "mark_", "left_semi")
+    counted = held.withColumn("rows_", F.count("*").over(Window.partitionBy("mark_")))
+    sources = counted.groupBy(*partition_by).agg(F.lit(0).alias("arrives_"), F.max("rows_").alias("rows_"))
+    arrivals = staged.select(*partition_by).distinct()
+    marked = sources.unionByName(arrivals.withColumns({"arrives_": F.lit(1), "rows_": F.lit(0)}))
+    return marked.groupBy(*partition_by).agg(F.max("arrives_").alias("arrives_"), F.max("rows_").alias("rows_"))
+
+
 def upsert(
     staged: DataFrame,
     table: str,
@@ -71,7 +109,7 @@ def upsert(
     spark = staged.sparkSession
     # Written once: it is read several times below, and must not differ between reads.
     holding = side_name(table, STAGED)
-    create_table(staged, holding)
+    create_table(staged, holding, (), SIDE_COMPRESSION)
     try:
         held, _ = fitted(spark.table(holding), spark.table(table), table, widen=False)
         refuse_repeated_keys(held, keys, table)
@@ -98,30 +136,29 @@ def _upsert_partitions(
     """Rewrites only partitions that hold a matched row or receive a staged one.
 
     Keys match across all partitions, so a row can move. The touched partitions are a small table; only
-    values of the leading partition column, for pruning, and partitions left empty reach the driver.
+    values of the leading partition column, for pruning, and partitions left empty reach the driver. Staged
+    rows of few partitions are not gathered by them.
     """
     target = spark.table(table)
     staged_keys = staged.select(*keys)
-    wanted = list(dict.fromkeys([*keys, *partition_by]))
-    left_from = target.select(*wanted).join(staged_keys, list(keys), "left_semi")
-    sources = left_from.select(*partition_by).distinct()
-    arrivals = staged.select(*partition_by).distinct()
     places_table = side_name(table, STAGED)
-    marked = sources.withColumn("arrives_", F.lit(0)).union(arrivals.withColumn("arrives_", F.lit(1)))
-    marked = marked.groupBy(*partition_by).agg(F.max("arrives_").alias("arrives_"))
-    create_table(marked, places_table)
+    create_table(touched(target, staged, keys, partition_by), places_table)
     try:
         places = spark.table(places_table)
         if before:
             before(places.select(*partition_by))
-        vacated = places.where("arrives_ = 0").drop("arrives_")
+        vacated = places.where("arrives_ = 0").select(*partition_by)
         emptied = []
         if not vacated.isEmpty():
             rest = in_places(target, vacated, partition_by).join(staged_keys, list(keys), "left_anti")
             emptied = vacated.subtract(rest.select(*partition_by)).collect()
-        if not places.isEmpty():
+        arriving, most = places.agg(F.count_if(F.col("arrives_") == 1), F.max("rows_")).first()
+        if most is not None:
             affected = in_places(target, places, partition_by)
-            replace_partitions(merge_rows(affected, staged, keys, partition_by), table)
+            merged = merge_rows(
+                affected, staged, keys, partition_by, matched_once=most <= 1, gather=arriving > FEW_PARTITIONS
+            )
+            replace_partitions(merged, table)
         # Last, so that a run that stops here is repaired by running it again.
         drop_partitions(spark, table, [place.asDict() for place in emptied])
     finally:

@@ -9,7 +9,7 @@ from siltstone.plans import gold, silver
 from siltstone.plans.kept_facts import note_changes
 from siltstone.plans.runs import LOGS, build_silver, keep_all_first_levels, promote, refresh_gold
 from siltstone.plans.values import FREE, PAID
-from siltstone.sources import clustered, create_table
+from siltstone.sources import SIDE_COMPRESSION, clustered, create_table
 from siltstone.sources.landing import INTERVAL
 from siltstone.workload.feeds import BATCH, Feeds
 from siltstone.workload.registry import ORACLES, query
@@ -170,10 +170,11 @@ def _refreshed(feeds: Feeds, name: str) -> DataFrame:
         "user_levels": silver.user_levels(logs, BATCH),
     }
     for table, rows in staged.items():
-        create_table(rows, f"{namespace}.{table}")
+        create_table(rows, f"{namespace}.{table}", (), SIDE_COMPRESSION)
     known = (spark.table(f"{namespace}.{table}") for table in ("users", "songs", "artists", "song_versions"))
     whole = silver.resolve_events(logs, *known, BATCH).withColumn("event_date", F.trunc("event_date", "year"))
-    create_table(whole, f"{namespace}.all_events")
+    # Plays of one version lie together, so that its id takes room once; the loads keep this order.
+    create_table(whole.sortWithinPartitions("version_id"), f"{namespace}.all_events", (), SIDE_COMPRESSION)
     whole, year = spark.table(f"{namespace}.all_events"), F.year("event_date")
     other = F.when(F.col("level") == PAID, FREE).otherwise(PAID)
     loads = (
@@ -183,7 +184,7 @@ def _refreshed(feeds: Feeds, name: str) -> DataFrame:
     for load in loads:
         promote(
             load, f"{namespace}.events", ["event_id"], ["event_date"], keys_known_unique=True,
-            before=lambda places: note_changes(spark, namespace, places),
+            before=lambda places: note_changes(spark, namespace, places), gather=False, compression=SIDE_COMPRESSION,
         )
         refresh_gold(spark, namespace, namespace, [name])
     facts = spark.table(f"{namespace}.{name}")

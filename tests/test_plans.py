@@ -14,6 +14,7 @@ from siltstone import operators as op
 from siltstone.plans import gold, silver
 from siltstone.session import session_setting
 from siltstone.sources import create_table, in_interval, merge_rows
+from siltstone.sources.upsert import touched
 from siltstone.workload import QUERIES
 from siltstone.workload.feeds import Feeds
 from siltstone.workload.scratch import drop_namespaces
@@ -121,6 +122,18 @@ def test_clustering_an_upsert_shuffles_the_staged_rows_only(spark, namespace):
     assert "target" in text[: text.index("REBALANCE_PARTITIONS_BY_COL")]
 
 
+def test_an_upsert_of_few_partitions_shuffles_no_staged_row(spark, namespace):
+    """Where no matched key repeats and no column is kept, staged rows are only read; keys are compared by marks."""
+    for name, count in (("target", 1000), ("staged", 10)):
+        rows = spark.range(count).select(F.sha2(F.col("id").cast("string"), 256).alias("id"), (F.col("id") % 3).alias("day"))
+        create_table(rows, f"{namespace}.{name}", ["day"] if name == "target" else [])
+    target, staged = (spark.table(f"{namespace}.{name}") for name in ("target", "staged"))
+    text = plan(merge_rows(target, staged, ["id"], ["day"], matched_once=True, gather=False))
+    assert "Exchange" not in text.replace("BroadcastExchange", "") and "LeftAnti, BuildRight" in text
+    places = plan(touched(target, staged, ["id"], ["day"]))
+    assert "xxhash64" in places and "hashpartitioning(id" not in places
+
+
 SKEW = {
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
