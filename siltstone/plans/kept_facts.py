@@ -3,7 +3,7 @@
 For each fact the gold namespace holds, beside the fact itself,
 
 - ``<fact>_sums``: per event date and key, what adds up (plays, seconds, first, last, ...);
-- ``<fact>_values``: per event date and key, the distinct values that the fact counts;
+- ``<fact>_combinations``: per event date and key, the distinct combinations of the values that the fact counts;
 - ``<fact>_measures``: per key, the two merged over all dates;
 - ``<fact>_pending``: keys whose measures are still to be merged again.
 
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from siltstone.operators.aggregates import count_where
 from siltstone.plans import gold
 from siltstone.plans.values import PAID
-from siltstone.sources import clustered, create_table, drop_partitions, replace_table, scan
+from siltstone.sources import FEW_PARTITIONS, clustered, create_table, drop_partitions, replace_table, scan
 
 DATE, EVENTS, CHANGES, PROGRESS = "event_date", "events", "events_changes", "facts_progress"
 #: What a session opens with: its first play, and among equals the order of the remaining columns.
@@ -40,6 +40,8 @@ class Fact:
     keys: tuple[str, ...]
     distinct: Mapping[str, str]
     names: tuple[str, str, str]
+    #: Counted columns, in groups whose values are kept together: those that nearly tell plays apart, and coarser ones.
+    together: tuple[tuple[str, ...], ...]
     timed: bool = False
     paid: bool = False
     opened: bool = False
@@ -51,6 +53,7 @@ FACTS = (
         ("user_id",),
         {"total_sessions": "session_id", "distinct_songs_played": "song_id", "distinct_artists_played": "artist_id"},
         ("total_plays", "first_seen_at", "last_seen_at"),
+        (("session_id", "song_id", "artist_id"),),
         timed=True,
     ),
     Fact(
@@ -58,6 +61,7 @@ FACTS = (
         ("session_id", "user_id"),
         {"distinct_songs": "song_id", "distinct_artists": "artist_id"},
         ("play_count", "started_at", "ended_at"),
+        (("song_id", "artist_id"),),
         timed=True,
         opened=True,
     ),
@@ -66,6 +70,7 @@ FACTS = (
         ("song_id",),
         {"distinct_listeners": "user_id", "distinct_sessions": "session_id", "distinct_versions_played": "version_id"},
         ("total_plays", "first_played_at", "last_played_at"),
+        (("user_id", "session_id"), ("version_id",)),
         paid=True,
     ),
     Fact(
@@ -73,6 +78,7 @@ FACTS = (
         ("artist_id",),
         {"distinct_listeners": "user_id", "distinct_songs_played": "song_id", "distinct_sessions": "session_id"},
         ("total_plays", "first_played_at", "last_played_at"),
+        (("user_id", "session_id"), ("song_id",)),
         paid=True,
     ),
 )
@@ -104,36 +110,44 @@ def _summed(fact: Fact) -> list[str]:
     return [*fact.names, *(name for name, wanted in extra.items() if wanted)]
 
 
-def daily_values(fact: Fact, events: DataFrame) -> DataFrame:
-    """The distinct values that the fact counts, per date and key, as text under the name of their count."""
-    named = [F.struct(F.lit(out).alias("measure"), F.col(c).cast("string").alias("value")) for out, c in fact.distinct.items()]
-    values = events.select(*fact.keys, DATE, F.explode(F.array(*named)).alias("x"))
-    kept = values.select(*fact.keys, "x.measure", "x.value", DATE)
-    return kept.where("value IS NOT NULL").distinct()
+def daily_combinations(fact: Fact, events: DataFrame) -> DataFrame:
+    """The distinct combinations of the values that the fact counts, per date and key; other groups' values are NULL.
 
+    One row for a play and group, where a row per value would be as many as the fact counts.
+    """
+    columns = list(fact.distinct.values())
+    kinds = {f.name: f.dataType for f in events.select(*columns).schema}
+
+    def of(group: tuple[str, ...]) -> Column:
+        return F.struct(*((F.col(c) if c in group else F.lit(None).cast(kinds[c])).alias(c) for c in columns))
+
+    rows = events.select(*fact.keys, DATE, F.explode(F.array(*map(of, fact.together))).alias("x"))
+    kept = rows.select(*fact.keys, *(F.col(f"x.{c}").alias(c) for c in columns), DATE)
+    return kept.dropna("all", subset=columns).distinct()
 
-def _same(fact: Fact) -> Column:
-    """Equal keys, NULLs included, where the other side's names end in an underscore."""
-    return reduce(and_, (F.col(k).eqNullSafe(F.col(f"{k}_")) for k in fact.keys))
 
+def _keyed(fact: Fact, df: DataFrame) -> DataFrame:
+    """The key as one value that is never NULL: NULL parts are equal, in joins as in groups, and both share a shuffle."""
+    return df.select(F.struct(*fact.keys).alias("key"), *(c for c in df.columns if c not in fact.keys))
 
-def only(fact: Fact, df: DataFrame, keys: DataFrame, how: str = "left_semi") -> DataFrame:
-    """Rows whose key, NULLs included, is among ``keys`` (or, with ``left_anti``, is not)."""
-    named = keys.select(*(F.col(k).alias(f"{k}_") for k in fact.keys))
-    return df.join(named, _same(fact), how)
 
+def only(df: DataFrame, keys: DataFrame, how: str = "left_semi") -> DataFrame:
+    """Rows whose key is among ``keys`` (or, with ``left_anti``, is not)."""
+    return df.join(keys, "key", how)
 
-def merged(fact: Fact, sums: DataFrame, values: DataFrame) -> DataFrame:
+
+def merged(fact: Fact, sums: DataFrame, combinations: DataFrame) -> DataFrame:
     """Measures per key from those of its dates."""
     plays, first, last = fact.names
     merge = {plays: F.sum, first: F.min, last: F.max, "seconds": F.sum, "paid_plays": F.sum, "opening": F.min}
-    totals = sums.groupBy(*fact.keys).agg(*(merge[c](c).alias(c) for c in _summed(fact)))
-    distinct = values.select(*fact.keys, "measure", "value").distinct()
-    counts = distinct.groupBy(*fact.keys).agg(*(count_where(F.col("measure") == c).alias(c) for c in fact.distinct))
-    named = counts.withColumnsRenamed({k: f"{k}_" for k in fact.keys})
-    joined = totals.join(named, _same(fact), "left")
+    totals = sums.groupBy("key").agg(*(merge[c](c).alias(c) for c in _summed(fact)))
+    named = [F.struct(F.lit(k).alias("measure"), F.col(c).cast("string").alias("value")) for k, c in enumerate(fact.distinct.values())]
+    values = combinations.select("key", F.explode(F.array(*named)).alias("x")).select("key", "x.measure", "x.value")
+    distinct = values.where("value IS NOT NULL").distinct()
+    counts = distinct.groupBy("key").agg(*(count_where(F.col("measure") == k).alias(c) for k, c in enumerate(fact.distinct)))
     filled = {c: F.coalesce(F.col(c), F.lit(0).cast("long")) for c in fact.distinct}
-    return joined.drop(*(f"{k}_" for k in fact.keys)).withColumns(filled).select(*fact.keys, *_summed(fact), *fact.distinct)
+    joined = totals.join(counts, "key", "left").withColumns(filled)
+    return joined.select("key.*", *_summed(fact), *fact.distinct)
 
 
 def finished(fact: Fact, measures: DataFrame, silver: Mapping[str, DataFrame]) -> DataFrame:
@@ -186,9 +200,9 @@ def _progress(spark: SparkSession, namespace: str) -> dict[str, int]:
 
 
 def _put(df: DataFrame, table: str, dates: Sequence[str | None]) -> None:
-    """Puts what ``df`` has of some dates in the place of what the table has of them."""
+    """Puts what ``df`` has of some dates in the place of what the table has of them; gathers rows of many dates."""
     spark = df.sparkSession
-    rows = clustered(df, [DATE])
+    rows = clustered(df, [DATE] if len(dates) > FEW_PARTITIONS else ())
     if spark.catalog.tableExists(table):
         drop_partitions(spark, table, [{DATE: d} for d in dates])
         rows.select(*spark.table(table).columns).write.insertInto(table)
@@ -205,29 +219,38 @@ def refresh(spark: SparkSession, fact: Fact, silver_namespace: str, namespace: s
     before the days are replaced, and dates count as seen last.
     """
     name = f"{namespace}.{fact.name}"
-    sums, values, measures, pending = (f"{name}_{x}" for x in ("sums", "values", "measures", "pending"))
+    sums, combinations, measures, pending = (f"{name}_{x}" for x in ("sums", "combinations", "measures", "pending"))
     now, seen = time.time_ns(), _progress(spark, namespace).get(fact.name, 0)
-    dates = sorted(changed_dates(spark, silver_namespace, sums, seen), key=lambda d: (d is not None, d or ""))
+    changed = changed_dates(spark, silver_namespace, sums, seen)
+    if not spark.catalog.tableExists(combinations):  # as in what was kept before there was this table
+        changed |= _dates(spark, f"{silver_namespace}.{EVENTS}")
+        changed |= _dates(spark, sums) if spark.catalog.tableExists(sums) else set()
+    dates = sorted(changed, key=lambda d: (d is not None, d or ""))
     events = on_dates(scan(spark, f"{silver_namespace}.{EVENTS}"), dates)
     versions = spark.table(f"{silver_namespace}.song_versions")
 
+    # Where no key has been merged, all are; else those of the dates, and those that a run which stopped has left.
+    first = not spark.catalog.tableExists(measures)
     if dates:
-        new = events.select(*fact.keys)
-        if spark.catalog.tableExists(sums):
-            new = new.union(on_dates(spark.table(sums), dates).select(*fact.keys))
-        new.distinct().write.format("parquet").mode("append").saveAsTable(pending)
+        if not first:
+            new = events.select(*fact.keys)
+            if spark.catalog.tableExists(sums):
+                new = new.union(on_dates(spark.table(sums), dates).select(*fact.keys))
+            new.distinct().write.format("parquet").mode("append").saveAsTable(pending)
         # A date without sums counts as changed, so they go first and come back last.
         if spark.catalog.tableExists(sums):
             drop_partitions(spark, sums, [{DATE: d} for d in dates])
-        _put(daily_values(fact, events), values, dates)
+        _put(daily_combinations(fact, events), combinations, dates)
         _put(daily_sums(fact, events, versions), sums, dates)
-    if spark.catalog.tableExists(pending):
-        keys = spark.table(pending).distinct()
-        fresh = merged(fact, only(fact, spark.table(sums), keys), only(fact, spark.table(values), keys))
-        if spark.catalog.tableExists(measures):
-            fresh = only(fact, spark.table(measures), keys, "left_anti").unionByName(fresh)
-        replace_table(fresh, measures)
-        spark.sql(f"DROP TABLE {pending}")
+    parts = (_keyed(fact, spark.table(t)) for t in (sums, combinations))
+    if first:
+        replace_table(merged(fact, *parts), measures)
+    elif spark.catalog.tableExists(pending):
+        keys = _keyed(fact, spark.table(pending)).distinct()
+        fresh = merged(fact, *(only(part, keys) for part in parts))
+        others = only(_keyed(fact, spark.table(measures)), keys, "left_anti")
+        replace_table(others.select("key.*", *others.columns[1:]).unionByName(fresh), measures)
+    spark.sql(f"DROP TABLE IF EXISTS {pending}")
     silver = {t: scan(spark, f"{silver_namespace}.{t}") for t in ("users", "user_levels", "songs", "artists")}
     replace_table(finished(fact, spark.table(measures), silver), name, check=check)
     row = spark.createDataFrame([(fact.name, now)], "fact string, seen long")

@@ -107,6 +107,38 @@ def test_a_refresh_that_stopped_is_repaired_by_the_next(spark, silver, monkeypat
     compare(spark, silver, "session_facts")
 
 
+def test_what_is_kept_grows_with_the_plays(spark, silver):
+    """A combination of values is one row, and no row is kept of keys to merge where no key was merged before."""
+    rng = random.Random(8)
+    load(spark, silver, [event(rng, k, DAYS[k % 5]) for k in range(200)])
+    refreshed(spark, silver)
+    compare(spark, silver)
+    for name, groups in (("user_facts", 1), ("session_facts", 1), ("song_facts", 2), ("artist_facts", 2)):
+        kept = spark.table(f"{silver}.{name}_combinations")
+        assert 0 < kept.count() <= 200 * groups and "measure" not in kept.columns
+        assert not spark.catalog.tableExists(f"{silver}.{name}_pending")
+
+
+def test_days_kept_without_combinations_are_worked_out_again(spark, silver):
+    """As in what was kept before there was that table; nothing has changed since."""
+    rng = random.Random(9)
+    load(spark, silver, [event(rng, k, DAYS[k % 3]) for k in range(30)])
+    refreshed(spark, silver, "user_facts")
+    spark.sql(f"DROP TABLE {silver}.user_facts_combinations")
+    assert refreshed(spark, silver, "user_facts") == {"user_facts": [d.isoformat() for d in DAYS[:3]]}
+    compare(spark, silver, "user_facts")
+
+
+@pytest.mark.parametrize("days", [2, 10])
+def test_many_dates_are_gathered_and_few_are_not(spark, silver, days):
+    """The rows are those of a snapshot either way, also after an upsert."""
+    rng, dates = random.Random(10), [dt.date(2018, 12, k + 1) for k in range(days)]
+    for keys in (range(40), range(20, 60)):
+        load(spark, silver, [event(rng, k, dates[k % days]) for k in keys])
+        refreshed(spark, silver)
+        compare(spark, silver)
+
+
 # ---- arriving keys -----------------------------------------------------------------------------
 
 
